@@ -8,6 +8,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from bookbase.functions.bind import let
 from bookbase.functions.text import strip
 
 # Named entities and the characters they stand for; `&amp;` is decoded last.
@@ -26,26 +27,28 @@ ENTITIES = {
 
 def _numeric(text, pattern, to_hex):
     """Replace each distinct numeric entity of `text` by its character."""
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
     def put(acc, code):
         char = F.decode(F.unhex(F.lpad(to_hex(code), 8, "0")), "UTF-32")
         return F.replace(acc, code, char)
 
-    return F.when(text.rlike(pattern), F.aggregate(codes, text, put)).otherwise(text)
+    def replaced(t):
+        return F.aggregate(F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0))), t, put)
+
+    return let(text, replaced)
 
 
 def unescape(c) -> Column:
     """Decode numeric entities and the named ones in ENTITIES; unknown names stay as they are."""
-    text = _numeric(
-        c, r"&#[0-9]{1,6};", lambda e: F.hex(F.regexp_extract(e, r"([0-9]+)", 1).cast("long"))
-    )
-    text = _numeric(text, r"&#[xX][0-9a-fA-F]{1,5};", lambda e: F.regexp_extract(e, r"[xX]([0-9a-fA-F]+)", 1))
-    named = text
-    for name, char in ENTITIES.items():
-        named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
-    named = F.replace(named, F.lit("&amp;"), F.lit("&"))
-    return F.when(c.contains("&"), named).otherwise(c)
+
+    def decoded(t):
+        t = _numeric(t, r"&#[0-9]{1,6};", lambda e: F.hex(F.regexp_extract(e, r"([0-9]+)", 1).cast("long")))
+        t = _numeric(t, r"&#[xX][0-9a-fA-F]{1,5};", lambda e: F.regexp_extract(e, r"[xX]([0-9a-fA-F]+)", 1))
+        for name, char in ENTITIES.items():
+            t = F.replace(t, F.lit(f"&{name};"), F.lit(char))
+        return F.replace(t, F.lit("&amp;"), F.lit("&"))
+
+    return let(c, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
 
 
 def inner_text(c) -> Column:

@@ -28,6 +28,20 @@ MISSING = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# English stop words of the common published list.
+STOP_WORDS = """
+i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself
+yourselves he him his himself she she's her hers herself it it's its itself they them their
+theirs themselves what which who whom this that that'll these those am is are was were be been
+being have has had having do does did doing a an the and but if or because as until while of at
+by for with about against between into through during before after above below to from up down
+in out on off over under again further then once here there when where why how all any both each
+few more most other some such no nor not only own same so than too very s t can will just don
+don't should should've now d ll m o re ve y ain aren aren't couldn couldn't didn didn't doesn
+doesn't hadn hadn't hasn hasn't haven haven't isn isn't ma mightn mightn't mustn mustn't needn
+needn't shan shan't shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
+""".split()
+
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 TITLE_CASE = (
     rf"^[^{_CASED}]*[\p{{Lu}}\p{{Lt}}]\p{{Ll}}*"
@@ -37,8 +51,8 @@ NAME_WORD = r"^\p{Lu}[\p{L}'’-]*\p{Ll}[\p{L}'’-]*$"
 SENTENCE_END = r"[.!?:][\"'”’)\]]*$"
 
 
-def stop_words(language="english"):
-    """Spark's own stop list, lower case."""
+def stop_words(language):
+    """Spark's stop list of another language, lower case; needs a running session."""
     return [w.lower() for w in StopWordsRemover.loadDefaultStopWords(language)]
 
 
@@ -77,6 +91,12 @@ def norm_query(c) -> Column:
     return F.lower(_col(c))
 
 
+def has_words(c) -> Column:
+    """True when `clean_text` leaves something; most texts are settled by their first character."""
+    plain = _col(c).rlike(f"[^{BLANK}`“”():;,']")
+    return plain | (clean_text(c) != "")
+
+
 def drop_stopwords(c, stop) -> Column:
     """Text without the words whose lower-case form is in `stop`, joined by one space."""
     return F.array_join(F.filter(words(c), lambda w: ~F.lower(w).isin(list(stop))), " ")

@@ -4,6 +4,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bookbase.functions.bind import let
+
 # Where the recursive form cuts, coarse to fine.
 SEPARATORS = ["\n\n", "\n", " ", ""]
 
@@ -15,15 +17,18 @@ def fixed_chunks(c, size, overlap):
     grows with the text and not with text times chunks.
     """
     step = size - overlap
-    steps = F.regexp_extract_all(c, F.lit(rf"(?s).{{1,{step}}}"), F.lit(0))
-    last = F.size(steps) - 1
-    full = F.transform(
-        steps,
-        lambda s, i: F.concat(s, F.coalesce(F.substring(F.get(steps, i + 1), 1, overlap), F.lit(""))),
-    )
-    # A short last step lies wholly inside the chunk before it.
-    inside = (F.size(steps) > 1) & (F.length(F.get(steps, last)) <= overlap)
-    return F.when(inside, F.slice(full, F.lit(1), F.greatest(last, F.lit(1)))).otherwise(full)
+
+    def complete(steps):
+        last = F.size(steps) - 1
+        full = F.transform(
+            steps,
+            lambda s, i: F.concat(s, F.coalesce(F.substring(F.get(steps, i + 1), 1, overlap), F.lit(""))),
+        )
+        # A short last step lies wholly inside the chunk before it.
+        inside = (last > 0) & (F.length(F.get(steps, last)) <= overlap)
+        return F.slice(full, F.lit(1), F.when(inside, last).otherwise(last + 1))
+
+    return let(F.regexp_extract_all(c, F.lit(rf"(?s).{{1,{step}}}"), F.lit(0)), complete)
 
 
 def _cut(text, separator):

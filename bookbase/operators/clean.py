@@ -46,7 +46,7 @@ def clean_catalogue(df: DataFrame, vocab: DataFrame, exceptions: DataFrame = Non
     are cleaned, lose their stop words and are put in lemma form. Rows are never moved: one
     projection per step, no join of the columns.
     """
-    stop = X.stop_words() if stop is None else list(stop)
+    stop = X.STOP_WORDS if stop is None else list(stop)
     df = fill_missing(df).withColumn("Author", X.strip_dates("Author"))
     df = keyword_summary(df, "Summary", vocab, exceptions, stop, n)
     df = df.withColumns({c: X.drop_stopwords(X.clean_text(c), stop) for c in TEXT_FIELDS})
@@ -55,6 +55,6 @@ def clean_catalogue(df: DataFrame, vocab: DataFrame, exceptions: DataFrame = Non
 
 def keyword_summary(df: DataFrame, column, vocab: DataFrame, exceptions=None, stop=None, n=20) -> DataFrame:
     """`column` becomes its first `n` keywords in lemma form."""
-    stop = X.stop_words() if stop is None else list(stop)
+    stop = X.STOP_WORDS if stop is None else list(stop)
     keywords = F.slice(X.keyword_tokens(column, stop), 1, n)
     return lemmatise(df.withColumn(column, F.array_join(keywords, " ")), [column], vocab, exceptions)

@@ -16,6 +16,12 @@ def matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def with_vector(rows, name):
+    """The rows of a batch or table whose list column `name` is not null."""
+    column = rows.column(rows.schema.get_field_index(name))
+    return rows.filter(pc.is_valid(column)) if column.null_count else rows
+
+
 def distances(q, c, metric):
     """Distances of every row of `q` to every row of `c`, rounded to PLACES."""
     dots = q @ c.T

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bookbase.functions.bind import let
 from bookbase.functions.text import words
 
 DIM = 64
@@ -16,29 +17,24 @@ def bucket(word, dim=DIM) -> Column:
     return (F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % dim).cast("int")
 
 
-def _runs(ordered):
-    """Last position of each run of equal values in a sorted array (from 0)."""
-    n = F.size(ordered)
-    at = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.filter(at, lambda i: (i == n - 1) | (F.get(ordered, i) != F.get(ordered, i + 1)))
+def _ends(ordered):
+    """Last position of each run of equal values in a sorted array that is not empty."""
+    last = F.size(ordered) - 1
+    return F.filter(
+        F.sequence(F.lit(0), last), lambda i: (i == last) | (F.get(ordered, i) != F.get(ordered, i + 1))
+    )
 
 
-def _lengths(ends):
-    return F.transform(ends, lambda e, i: e - F.coalesce(F.get(ends, i - 1), F.lit(-1)))
-
-
-def hashed_counts(df: DataFrame, column, dim=DIM, out="counts") -> DataFrame:
-    """Add how often each of the `dim` buckets is hit by a word of `column`, as ARRAY<INT>.
+def hashed_counts(c, dim=DIM) -> Column:
+    """ARRAY<INT> of how often each of the `dim` buckets is hit by a word of the text `c`.
 
     A document's words never leave its row: they are hashed, sorted together with one marker
     per bucket, and the run lengths less the marker are the counts. No explode, no shuffle.
     """
     marks = F.sequence(F.lit(0), F.lit(dim - 1))
-    hashed = F.transform(words(column), lambda w: bucket(w, dim))
-    staged = df.withColumn("__sorted", F.array_sort(F.concat(hashed, marks)))
-    staged = staged.withColumn("__ends", _runs(F.col("__sorted")))
-    counts = F.transform(_lengths(F.col("__ends")), lambda n: n - 1)
-    return staged.withColumn(out, counts).drop("__sorted", "__ends")
+    hashed = F.transform(words(c), lambda w: bucket(w, dim))
+    lengths = lambda ends: F.transform(ends, lambda e, i: e - F.coalesce(F.get(ends, i - 1), F.lit(-1)) - 1)
+    return let(F.array_sort(F.concat(hashed, marks)), lambda s: let(_ends(s), lengths))
 
 
 def document_frequency(df: DataFrame, counts="counts") -> DataFrame:
@@ -49,7 +45,7 @@ def document_frequency(df: DataFrame, counts="counts") -> DataFrame:
 
 def idf_weights(df: DataFrame, column, dim=DIM):
     """Inverse document frequency per bucket, a list of `dim` numbers: ln((1+N)/(1+df)) + 1."""
-    counted = hashed_counts(df.select(column), column, dim).filter(F.size(words(column)) > 0)
+    counted = df.filter(F.size(words(column)) > 0).select(hashed_counts(column, dim).alias("counts"))
     total = counted.count()
     seen = dict(document_frequency(counted).collect())
     return [math.log((1 + total) / (1 + seen.get(b, 0))) + 1 for b in range(dim)]
@@ -60,22 +56,24 @@ def embed(df: DataFrame, column, dim=DIM, idf=None, out="embedding") -> DataFram
 
     `idf` is the list made by `idf_weights`; queries must use the list of their corpus.
     """
-    counted = hashed_counts(df, column, dim, "__counts")
-    weighted = F.transform("__counts", lambda n: n.cast("double"))
+    weighted = F.transform(hashed_counts(column, dim), lambda n: n.cast("double"))
     if idf is not None:
         factors = F.array(*[F.lit(float(x)) for x in idf])
         weighted = F.zip_with(weighted, factors, lambda n, x: n * x)
-    counted = counted.withColumn("__w", weighted)
-    norm = F.sqrt(F.aggregate("__w", F.lit(0.0), lambda acc, x: acc + x * x))
-    counted = counted.withColumn("__norm", norm)
-    unit = F.transform("__w", lambda x: (x / F.col("__norm")).cast("float"))
-    return counted.withColumn(out, F.when(F.col("__norm") > 0, unit)).drop("__counts", "__w", "__norm")
+
+    def unit(w):
+        norm = F.sqrt(F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x * x))
+        scaled = lambda n: F.when(n > 0, F.transform(w, lambda x: (x / n).cast("float")))
+        return let(norm, scaled)
+
+    return df.withColumn(out, let(weighted, unit))
 
 
 def sparse(df: DataFrame, column="embedding") -> DataFrame:
     """One row per non-zero bucket: `bucket` and `weight` in place of the vector."""
     rest = [F.col(f"`{c}`") for c in df.columns if c != column]
-    rows = df.select(*rest, F.posexplode(column).alias("bucket", "weight"))
+    # The outer form keeps the optimizer from testing the vector before it is exploded.
+    rows = df.select(*rest, F.posexplode_outer(column).alias("bucket", "weight"))
     return rows.filter("weight <> 0").withColumn("bucket", F.col("bucket").cast("bigint"))
 
 

@@ -116,3 +116,11 @@ def with_batch(df: DataFrame, n=32, order="pos", out="batch") -> DataFrame:
 def with_meta(df: DataFrame, columns=("title", "author", "ebook_no", "subject"), out="meta") -> DataFrame:
     """The metadata of a document as one struct."""
     return df.withColumn(out, F.struct(*columns))
+
+
+def with_name_key(df: DataFrame, columns=("title", "author"), order="pos", out="book_key") -> DataFrame:
+    """Readable keys `title_author`; the repeats of one get `_1`, `_2`, … in file order."""
+    base = F.concat_ws("_", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    numbered = running_number(df.withColumn("__base", base), order, ["__base"], "__n")
+    name = F.when(F.col("__n") == 1, F.col("__base")).otherwise(F.concat_ws("_", "__base", F.col("__n") - 1))
+    return numbered.withColumn(out, name).drop("__base", "__n")

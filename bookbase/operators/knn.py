@@ -26,11 +26,12 @@ SLACK = 1e-5
 
 
 def _inputs(queries, corpus, qid, cid, vector, where):
-    q = queries.filter(F.col(vector).isNotNull()).select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
+    # Rows without a vector are dropped where vectors are read: a filter here would make Spark
+    # work out a lazily made vector once to test it and once more to use it.
     if where is not None:
         corpus = corpus.filter(where)
-    c = corpus.filter(F.col(vector).isNotNull()).select(F.col(cid).alias("cid"), F.col(vector).alias("cv"))
-    return q, c
+    q = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
+    return q, corpus.select(F.col(cid).alias("cid"), F.col(vector).alias("cv"))
 
 
 def _schema(q, c):
@@ -66,13 +67,14 @@ def knn(
 
 def _broadcast_knn(q, c, k, metric):
     """Exact search with the query vectors in every task; the corpus is never moved."""
-    table = q.toArrow()
+    table = D.with_vector(q.toArrow(), "qv")
     shared = q.sparkSession.sparkContext.broadcast((D.matrix(table.column("qv")), table.column("qid").combine_chunks()))
 
     def search(batches):
         vectors, ids = shared.value
         best = D.Best(len(ids), k)
         for batch in batches:
+            batch = D.with_vector(batch, "cv")
             if batch.num_rows == 0 or len(ids) == 0:
                 continue
             block = D.by_id(pa.Table.from_batches([batch]), "cid").combine_chunks()
@@ -132,6 +134,7 @@ def build_cells(
 
     def assign(batches):
         for batch in batches:
+            batch = D.with_vector(batch, "cv")
             if batch.num_rows == 0:
                 continue
             points = D.metric_space(D.matrix(batch.column(1)), metric, "corpus", top)
@@ -176,6 +179,7 @@ def _ask(q, shared, choose, columns):
     def run(batches):
         facts = shared.value
         for batch in batches:
+            batch = D.with_vector(batch, "qv")
             if batch.num_rows == 0:
                 continue
             points = D.metric_space(D.matrix(batch.column(batch.schema.get_field_index("qv"))), facts.metric, "query", facts.top)
@@ -243,7 +247,7 @@ def knn_approx(
     """The k nearest rows among the `probe` nearest cells of each query; more cells, higher recall."""
     spark = queries.sparkSession
     facts = _Cells(spark, index)
-    q = queries.filter(F.col(vector).isNotNull()).select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
+    q = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
     asked = _ask(q, spark.sparkContext.broadcast(facts), _probe(probe), ["qid", "qv"])
     found = _meet(asked, spark.read.parquet(f"{index}/vectors").select("cid", "cv", "cell"), facts, k)
     return _rank(found, k, *(names or (qid, "cid")))
@@ -262,7 +266,7 @@ def knn_cells(
     facts = _Cells(spark, index)
     shared = spark.sparkContext.broadcast(facts)
     vectors = spark.read.parquet(f"{index}/vectors").select("cid", "cv", "cell")
-    q = queries.filter(F.col(vector).isNotNull()).select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
+    q = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
     home = _rank(_meet(_ask(q, shared, _probe(1), ["qid", "qv"]), vectors, facts, k), k, "qid", "cid")
     home = materialise(home, "home")
     bound = home.filter(F.col("rank") == k).select("qid", F.col("distance").alias("bound"))

@@ -92,7 +92,7 @@ def characters_by_title(requests, store, summary="text", stop=None, rule="spans"
 
     `summary` should be text in its own case: the rules look for capitals.
     """
-    names = X.name_spans(summary, stop or X.stop_words()) if rule == "spans" else X.title_case_tokens(summary)
+    names = X.name_spans(summary, stop or X.STOP_WORDS) if rule == "spans" else X.title_case_tokens(summary)
     found = _looked_up(requests, store, F.when(F.size(names) > 0, names), embedder)
     return _answered(requests, found, F.array(F.lit(default)))
 

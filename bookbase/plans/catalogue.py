@@ -16,12 +16,12 @@ def book_vectors(books: DataFrame, embedder=None) -> DataFrame:
     `text` is the summary in its own case, so names can still be found in it; the vector is
     made of the cleaned text.
     """
-    keyed = with_meta(with_hash_key(books)).withColumn("text", F.col("summary"))
+    keyed = with_meta(with_hash_key(books.filter(X.has_words("summary")))).withColumn("text", F.col("summary"))
     if embedder is None:
         made = embed(keyed.withColumn("__clean", X.clean_text("summary")), "__clean").drop("__clean")
     else:
         made = embedder(keyed)
-    return made.filter(F.col("embedding").isNotNull()).select("book_key", "ebook_no", "text", "meta", "embedding")
+    return made.select("book_key", "ebook_no", "text", "meta", "embedding")
 
 
 def catalogue_from_pages(pages: DataFrame, vocab: DataFrame, exceptions=None, stop=None, n=20) -> DataFrame:

@@ -1,8 +1,10 @@
 """Session defaults and the shared scratch folder."""
 
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,10 +26,23 @@ def get_session(app="bookbase", master=None, **conf):
     settings = DEFAULTS | {k.replace("_", "."): str(v) for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark):
+    """Make this package importable in the Python workers of the session, once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).parent
+        name = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(name)
+        _shipped.add(application)
 
 
 _local_scratch = None
+_shipped = set()
 _made = None
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from bookbase.functions.bind import let
 from bookbase.functions.text import strip
 from bookbase.session import path_exists
 
@@ -27,7 +28,7 @@ def write_raw_catalogue(df: DataFrame, path, order="page_id"):
     """
     (
         df.orderBy(order)
-        .select(RAW_FIELDS)
+        .select([f"`{f}`" for f in RAW_FIELDS])
         .write.mode("overwrite")
         .csv(path, header=True, escape='"', emptyValue="", encoding="UTF-8")
     )
@@ -116,8 +117,10 @@ def text_to_map(df: DataFrame, column, out="fields") -> DataFrame:
     pairs = F.transform(
         parts, lambda p: F.struct(strip(F.get(p, F.lit(0))).alias("k"), strip(F.get(p, F.lit(1))).alias("v"))
     )
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    values = F.transform(
-        keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"]
-    )
-    return df.withColumn(out, F.map_from_arrays(keys, values))
+
+    def last_wins(p):
+        keys = F.array_distinct(F.transform(p, lambda x: x["k"]))
+        last = lambda k: F.element_at(F.filter(p, lambda x: x["k"] == k), -1)["v"]
+        return F.map_from_arrays(keys, F.transform(keys, last))
+
+    return df.withColumn(out, let(pairs, last_wins))
