@@ -5,10 +5,16 @@ from pyspark.sql import functions as F
 
 from bookbase.functions import text as X
 from bookbase.operators.keys import with_hash_key, with_meta
+from bookbase.session import spread_few_files
+
+
+# The key of each table whose rows hold long texts.
+TEXTS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
 def table(spark, sf_dir, name) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_few_files(df, TEXTS[name]) if name in TEXTS else df
 
 
 def books(spark, sf_dir) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bookbase.functions.bind import let
 from bookbase.functions.text import words
@@ -83,7 +84,7 @@ def embed_with(df: DataFrame, column, load, batch=32, out="embedding") -> DataFr
     `load()` runs once per task and gives a function from a list of texts to a list of vectors;
     that function gets up to `batch` texts at a time.
     """
-    schema = df.schema.add(out, "array<float>")
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
 
     def run(batches):
         model = load()

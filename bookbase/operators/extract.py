@@ -33,13 +33,11 @@ def tables_to_record(tables: DataFrame, headers=RAW_FIELDS, multi=False) -> Data
 
 def pairs_to_record(pairs: DataFrame, headers=RAW_FIELDS) -> DataFrame:
     """The record form when the pairs come as rows (page_id, pos, field, value)."""
-    known = pairs.filter(F.col("field").isin(list(headers)))
     fields = [
         F.coalesce(F.max_by("value", F.when(F.col("field") == h, F.col("pos"))), F.lit("")).alias(h)
         for h in headers
     ]
-    pages = pairs.select("page_id").distinct()
-    return pages.join(known.groupBy("page_id").agg(*fields), "page_id", "left").fillna("", list(headers))
+    return pairs.groupBy("page_id").agg(*fields)
 
 
 def page_fields(pages: DataFrame, css_class="bibrec", headers=RAW_FIELDS, multi=False) -> DataFrame:

@@ -4,7 +4,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bookbase.session import shuffle_partitions
+from bookbase.operators.joins import lookup_join
+from bookbase.session import materialise, shuffle_partitions
 
 
 def _slices(df, order, n):
@@ -119,8 +120,68 @@ def with_meta(df: DataFrame, columns=("title", "author", "ebook_no", "subject"),
 
 
 def with_name_key(df: DataFrame, columns=("title", "author"), order="pos", out="book_key") -> DataFrame:
-    """Readable keys `title_author`; the repeats of one get `_1`, `_2`, … in file order."""
+    """Readable keys `title_author`; the repeats of one get `_1`, `_2`, … in file order.
+
+    Names are given as if row by row: a suffix taken by a row before is passed over, also when
+    that row's own title ends like one.
+    """
     base = F.concat_ws("_", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     numbered = running_number(df.withColumn("__base", base), order, ["__base"], "__n")
-    name = F.when(F.col("__n") == 1, F.col("__base")).otherwise(F.concat_ws("_", "__base", F.col("__n") - 1))
-    return numbered.withColumn(out, name).drop("__base", "__n")
+    shifts = _name_shifts(numbered.select("__base", "__n", order), order)
+    lost, blocked = F.lit(0), F.array().cast("array<bigint>")
+    if shifts is not None:
+        numbered = lookup_join(numbered, shifts, "__base", order)
+        lost, blocked = F.coalesce("__lost", lost), F.coalesce("__blocked", blocked)
+    # The suffix is the n-th number that is free, counting the name without one as number 0.
+    suffix = F.aggregate(blocked, F.col("__n") - 1 + lost, lambda at, b: F.when(b <= at, at + 1).otherwise(at))
+    name = F.when(suffix == 0, F.col("__base")).otherwise(F.concat_ws("_", "__base", suffix))
+    return numbered.withColumn(out, name).drop("__base", "__n", "__lost", "__blocked")
+
+
+def _name_shifts(rows, order):
+    """(__base, __lost, __blocked) of the names that meet a suffixed form of another; None if none do.
+
+    A name `x_c` that occurs by itself and the c-th repeat of `x` want the same key; the earlier
+    row has it. `__lost` is 1 when a base lost its own name, `__blocked` has the suffixes it
+    must pass over. Only such families are looked at, and they are few.
+    """
+    firsts = rows.filter("__n = 1").select("__base", order)
+    pattern = r"(?s)^(.*)_([1-9][0-9]{0,17})$"
+    suffixed = firsts.filter(F.col("__base").rlike(pattern)).select(
+        F.col("__base").alias("child"), order, F.regexp_extract("__base", pattern, 1).alias("__base"),
+        F.regexp_extract("__base", pattern, 2).cast("bigint").alias("c"),
+    )
+    children = materialise(suffixed.join(firsts.select("__base"), "__base"), "names")
+    if children.isEmpty():
+        return None
+    # How many rows of the parent come before the first row of the child.
+    parents = children.select("__base").distinct().withColumn("__parent", F.lit(True))
+    family = lookup_join(rows, parents, "__base", order, how="inner").select("__base", order)
+    both = family.withColumn("child", F.lit(None).cast("string")).unionByName(children.select("__base", order, "child"))
+    at = running_number(both, order, ["__base"], "__at").filter("child IS NOT NULL").select("child", "__at")
+    among = running_number(children, order, ["__base"], "__among")
+    wants = among.join(at, "child").select("__base", "child", "c", (F.col("__at") - F.col("__among")).alias("before"))
+    listed = materialise(
+        wants.groupBy("__base").agg(F.sort_array(F.collect_list(F.struct("c", "before", "child"))).alias("wants")),
+        "families",
+    )
+    depth = children.agg(F.max(F.size(F.regexp_extract_all("child", F.lit(r"_[1-9][0-9]*(?=_|$)"), F.lit(0))))).first()[0]
+    lost = children.select(F.col("child").alias("__base"), F.lit(0).alias("__lost")).limit(0)
+    start = F.struct(F.array().cast("array<bigint>").alias("blocked"), F.array().cast("array<string>").alias("lost"))
+
+    def meet(held, want):
+        # The row of the parent that would take suffix c, by its number.
+        row = want["c"] - F.size(held["blocked"]) + 1 - F.coalesce("__lost", F.lit(0))
+        taken = row <= want["before"]
+        return F.struct(
+            F.when(taken, held["blocked"]).otherwise(F.concat(held["blocked"], F.array(want["c"]))).alias("blocked"),
+            F.when(taken, F.concat(held["lost"], F.array(want["child"]))).otherwise(held["lost"]).alias("lost"),
+        )
+
+    # A name hangs on its parent's fate, so there are as many turns as suffixes can be stacked.
+    for _ in range(depth):
+        met = listed.join(lost, "__base", "left").select("__base", F.aggregate("wants", start, meet).alias("met"))
+        lost = met.select(F.explode("met.lost").alias("__base"), F.lit(1).alias("__lost"))
+    met = listed.join(lost, "__base", "left").select("__base", F.aggregate("wants", start, meet).alias("met"))
+    blocked = met.select("__base", F.col("met.blocked").alias("__blocked"))
+    return materialise(blocked.join(lost, "__base", "full"), "shifts")

@@ -93,6 +93,16 @@ def materialise(df: DataFrame, name="step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_few_files(df: DataFrame, key) -> DataFrame:
+    """Deal the rows of a scan over all cores when it has fewer files than there are cores.
+
+    For row-wise text work on a handful of files; a scan of many files is left as it is, so
+    nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def path_exists(spark, path):
     """True when `path` exists on whatever file system it names."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -127,14 +127,14 @@ def in_order(items):
     return f"list_filter({items}, lambda x, i: list_position({items}, x) = i)"
 
 
-def name_line(x):
-    """Names of a text kept, everything between them turned into bars."""
+def name_line(ws):
+    """Names in a column of words kept, everything between them turned into bars."""
     core = "regexp_replace(w, '^[^\\p{L}]+|[''’]s[^\\p{L}]*$|[^\\p{L}]+$', '', 'g')"
     named = f"""regexp_matches({core}, {text(NAME_WORD)}) AND NOT list_contains({STOP}, lower({core}))
-      AND i > 1 AND NOT regexp_matches({words(x)}[i - 1], {text(SENTENCE_END)})"""
+      AND i > 1 AND NOT regexp_matches({ws}[i - 1], {text(SENTENCE_END)})"""
     opened = "CASE WHEN regexp_matches(w, '^[^\\p{L}]') THEN '| ' ELSE '' END"
     closed = "CASE WHEN regexp_matches(w, '[^\\p{L}]$') THEN ' |' ELSE '' END"
-    return f"array_to_string(list_transform({words(x)}, lambda w, i: CASE WHEN {named} THEN {opened} || {core} || {closed} ELSE '|' END), ' ')"
+    return f"array_to_string(list_transform({ws}, lambda w, i: CASE WHEN {named} THEN {opened} || {core} || {closed} ELSE '|' END), ' ')"
 
 
 def looked_up(value, default):
@@ -318,9 +318,10 @@ FROM asks LEFT JOIN top ON author = lower(text) GROUP BY qid"""
     s["lk_characters"] = looked_up(
         f"nullif(array_to_string({in_order(TITLE_CASE_LIST)}, ' | '), '')", text(L.NO_CHARACTERS)
     )
-    spans = f"regexp_extract_all({name_line('summary')}, '[^| ]+(?: [^| ]+)+')"
+    spans = f"regexp_extract_all({name_line('ws')}, '[^| ]+(?: [^| ]+)+')"
     s["lk_character_spans"] = f"""WITH {QC}, {ranked(1)},
-n AS (SELECT qid, {spans} AS names FROM hits JOIN books USING (ebook_no))
+s AS MATERIALIZED (SELECT qid, {words('summary')} AS ws FROM hits JOIN books USING (ebook_no)),
+n AS (SELECT qid, {spans} AS names FROM s)
 SELECT qid, coalesce(nullif(array_to_string({in_order('names')}, ' | '), ''), {text(L.NO_CHARACTERS)}) AS answer,
   coalesce(len(names) > 0, false) AS found FROM questions LEFT JOIN n USING (qid)"""
     s["lk_text_head"] = text_by_title(50)
@@ -347,7 +348,8 @@ matched AS (SELECT a.qid, arg_min(b.subject, b.pos) AS subject FROM asks a JOIN
 SELECT qid, coalesce(n.subject, m.subject, {text(L.NO_SUBJECT)}) AS answer, coalesce(n.subject, m.subject) IS NOT NULL AS found
 FROM asks LEFT JOIN near n USING (qid) LEFT JOIN matched m USING (qid)"""
     s["chars_title_case"] = f"SELECT DISTINCT doc_id, token FROM (SELECT doc_id, unnest({words('text')}) AS token FROM documents) WHERE regexp_matches(token, {text(TITLE_CASE)})"
-    s["chars_spans"] = f"SELECT DISTINCT doc_id, unnest(regexp_extract_all({name_line('text')}, '[^| ]+(?: [^| ]+)+')) AS name FROM documents"
+    s["chars_spans"] = f"""WITH s AS MATERIALIZED (SELECT doc_id, {words('text')} AS ws FROM documents)
+SELECT DISTINCT doc_id, unnest(regexp_extract_all({name_line('ws')}, '[^| ]+(?: [^| ]+)+')) AS name FROM s"""
     # questions
     s["q_guard"] = f"WITH {QUESTIONS} SELECT qid, text FROM questions WHERE len({words('text')}) > 7"
     s["q_retrieve"] = f"WITH {QC}, {ranked(3)} SELECT qid, rank, ebook_no, distance, summary AS text FROM hits JOIN books USING (ebook_no)"
