@@ -12,6 +12,8 @@ def matrix(column) -> np.ndarray:
     """A list column without nulls as a two-dimensional array of doubles."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if len(column) == 0:
+        return np.zeros((0, 0))
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
 

@@ -106,12 +106,12 @@ def _centres(c, cells, metric, top, seed):
                 yield pa.RecordBatch.from_arrays([pa.array(list(points), pa.list_(pa.float64()))], ["p"])
 
     points = sample.select("cv").mapInArrow(moved, "p array<double>").select(array_to_vector("p").alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=10, initMode="random").fit(points)
+    model = KMeans(k=cells, seed=seed).fit(points)
     return np.array(model.clusterCenters())
 
 
 def build_cells(
-    corpus: DataFrame, path, cells=None, metric="l2", cid="ebook_no", vector="embedding", seed=42
+    corpus: DataFrame, path, cells=None, metric="l2", cid="ebook_no", vector="embedding", seed=7
 ) -> str:
     """Write the corpus split into cells around centres, and the cells themselves; give back `path`.
 
