@@ -357,7 +357,7 @@ def lk_contains_author(spark, d):
 
 
 def lk_contains_subject(spark, d):
-    words = B.questions(spark, d).select("qid", F.array_join(F.slice(X.words("text"), 1, 2), " ").alias("text"))
+    words = B.questions(spark, d).select("qid", B.first_words("text", 2).alias("text"))
     return L.match_value(words, B.books(spark, d), "subject", L.NO_SUBJECT)
 
 
@@ -366,7 +366,7 @@ def lk_regex_author(spark, d):
 
 
 def lk_fallback(spark, d):
-    words = B.questions(spark, d).select("qid", F.array_join(F.slice(X.words("text"), 1, 2), " ").alias("text"))
+    words = B.questions(spark, d).select("qid", B.first_words("text", 2).alias("text"))
     return L.lookup_with_fallback(
         words, _store(spark, d), B.books(spark, d), "subject", L.NO_SUBJECT, max_distance=0.7
     )

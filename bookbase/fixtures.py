@@ -17,11 +17,16 @@ def table(spark, sf_dir, name) -> DataFrame:
     return spread_few_files(df, TEXTS[name]) if name in TEXTS else df
 
 
+def first_words(c, n):
+    """The first n words; the split stops after them, so a long text costs no more than a short one."""
+    return F.array_join(F.slice(F.array_remove(F.split(c, X.BLANKS, n + 2), ""), 1, n), " ")
+
+
 def books(spark, sf_dir) -> DataFrame:
     """documents as books; the title is the first six words."""
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ebook_no"),
-        F.array_join(F.slice(X.words("text"), 1, 6), " ").alias("title"),
+        first_words("text", 6).alias("title"),
         F.col("source").alias("author"),
         F.col("lang").alias("subject"),
         F.col("text").alias("summary"),
@@ -61,7 +66,7 @@ def raw_catalogue(spark, sf_dir) -> DataFrame:
         F.col("doc_id").alias("page_id"),
         F.col("lang"),
         F.format_string("%s, %s–?, 18%02d-1%d", "source", F.upper("lang"), n % 100, 900 + n % 50).alias("Author"),
-        F.when(n % 11 == 0, "None").otherwise(F.array_join(F.slice(X.words("text"), 1, 6), " ")).alias("Title"),
+        F.when(n % 11 == 0, "None").otherwise(first_words("text", 6)).alias("Title"),
         F.lit("").alias("Note"),
         F.col("text").alias("Summary"),
         F.col("lang").alias("Language"),
@@ -96,7 +101,7 @@ PAGE = (
 
 def pages_gen(spark, sf_dir) -> DataFrame:
     """part rendered as catalogue pages."""
-    return table(spark, sf_dir, "part").select(
+    return spread_few_files(table(spark, sf_dir, "part"), "p_partkey").select(
         F.col("p_partkey").alias("page_id"),
         F.format_string("/ebooks/%d", "p_partkey").alias("url"),
         F.format_string(PAGE, "p_brand", "p_name", "p_type", "p_type", "p_partkey").alias("html"),

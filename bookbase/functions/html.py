@@ -42,13 +42,16 @@ def unescape(c) -> Column:
     """Decode numeric entities and the named ones in ENTITIES; unknown names stay as they are."""
 
     def decoded(t):
-        t = _numeric(t, r"&#[0-9]{1,6};", lambda e: F.hex(F.regexp_extract(e, r"([0-9]+)", 1).cast("long")))
-        t = _numeric(t, r"&#[xX][0-9a-fA-F]{1,5};", lambda e: F.regexp_extract(e, r"[xX]([0-9a-fA-F]+)", 1))
         for name, char in ENTITIES.items():
             t = F.replace(t, F.lit(f"&{name};"), F.lit(char))
         return F.replace(t, F.lit("&amp;"), F.lit("&"))
 
-    return let(c, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
+    def numbered(t):
+        t = _numeric(t, r"&#[0-9]{1,6};", lambda e: F.hex(F.regexp_extract(e, r"([0-9]+)", 1).cast("long")))
+        return _numeric(t, r"&#[xX][0-9a-fA-F]{1,5};", lambda e: F.regexp_extract(e, r"[xX]([0-9a-fA-F]+)", 1))
+
+    plain = let(c, lambda t: F.when(t.contains("&#"), numbered(t)).otherwise(t))
+    return let(plain, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
 
 
 def inner_text(c) -> Column:
@@ -57,7 +60,7 @@ def inner_text(c) -> Column:
 
 
 def first_table(html, css_class) -> Column:
-    """Body of the first table whose class list holds `css_class`; null when there is none."""
+    """Markup of the first table whose class list holds `css_class`; null when there is none."""
     name = re.escape(css_class)
     value = (
         rf'(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"'
@@ -65,15 +68,15 @@ def first_table(html, css_class) -> Column:
         rf"|{name}(?=[\s>]))"
     )
     pattern = (
-        rf"(?s)<(?i:table)(?=\s)[^>]*?\s(?i:class)\s*=\s*{value}[^>]*>(.*?)(?:</(?i:table)\s*>|\z)"
+        rf"(?s)<(?i:table)(?=\s)[^>]*?\s(?i:class)\s*=\s*{value}[^>]*>.*?(?:</(?i:table)\s*>|\z)"
     )
     seen = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    return F.when(seen.rlike(pattern), F.regexp_extract(seen, pattern, 1))
+    return F.nullif(F.regexp_extract(seen, pattern, 0), F.lit(""))
 
 
 def _cell(row, tag):
-    pattern = rf"(?s)<(?i:{tag})\b[^>]*>(.*?)(?:</(?i:{tag})\s*>|\z)"
-    return F.when(row.rlike(pattern), inner_text(F.regexp_extract(row, pattern, 1)))
+    markup = F.regexp_extract(row, rf"(?s)<(?i:{tag})\b[^>]*>.*?(?:</(?i:{tag})\s*>|\z)", 0)
+    return let(markup, lambda m: F.when(m != "", inner_text(m)))
 
 
 def table_pairs(table) -> Column:

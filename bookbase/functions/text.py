@@ -4,11 +4,13 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that separate words, as a regex class body.
-BLANK = (
-    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The characters that do not separate words, as a regex class body. Stated from
+# this side because most characters are then settled by the first range.
+INK = (
+    r"\x21-\x{84}\x{86}-\x{9f}\x{a1}-\x{167f}\x{1681}-\x{1fff}\x{200b}-\x{2027}\x{202a}-\x{202e}"
+    r"\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}\x{00}-\x08\x0e-\x1b"
 )
+BLANKS = f"[^{INK}]+"
 
 # Decimal digits of every script plus superscript, subscript and enclosed
 # digits, as a regex class body.
@@ -62,17 +64,17 @@ def _col(c) -> Column:
 
 def words(c) -> Column:
     """Blank-separated words, none empty."""
-    return F.filter(F.split(_col(c), f"[{BLANK}]+"), lambda w: w != "")
+    return F.array_remove(F.split(_col(c), BLANKS), "")
 
 
 def squeeze(c) -> Column:
     """Blank runs to one space, none at the ends."""
-    return F.trim(F.regexp_replace(_col(c), f"[{BLANK}]+", " "))
+    return F.trim(F.regexp_replace(_col(c), BLANKS, " "))
 
 
 def strip(c) -> Column:
     """No blanks at the ends; inner ones stay."""
-    return F.regexp_replace(_col(c), f"^[{BLANK}]+|[{BLANK}]+$", "")
+    return F.regexp_replace(_col(c), f"^{BLANKS}|{BLANKS}$", "")
 
 
 def strip_dates(c) -> Column:
@@ -93,7 +95,7 @@ def norm_query(c) -> Column:
 
 def has_words(c) -> Column:
     """True when `clean_text` leaves something; most texts are settled by their first character."""
-    plain = _col(c).rlike(f"[^{BLANK}`“”():;,']")
+    plain = _col(c).rlike(f"[{INK}&&[^`“”():;,']]")
     return plain | (clean_text(c) != "")
 
 

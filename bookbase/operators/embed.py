@@ -35,7 +35,7 @@ def hashed_counts(c, dim=DIM) -> Column:
     marks = F.sequence(F.lit(0), F.lit(dim - 1))
     hashed = F.transform(words(c), lambda w: bucket(w, dim))
     lengths = lambda ends: F.transform(ends, lambda e, i: e - F.coalesce(F.get(ends, i - 1), F.lit(-1)) - 1)
-    return let(F.array_sort(F.concat(hashed, marks)), lambda s: let(_ends(s), lengths))
+    return let(F.sort_array(F.concat(hashed, marks)), lambda s: let(_ends(s), lengths))
 
 
 def document_frequency(df: DataFrame, counts="counts") -> DataFrame:

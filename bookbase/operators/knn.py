@@ -10,6 +10,8 @@ Ranks follow (distance rounded to six places, corpus id).
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,22 +94,24 @@ def _broadcast_knn(q, c, k, metric):
 # --- cells -----------------------------------------------------------------------------------
 
 
-def _centres(c, cells, metric, top, seed):
-    """Cell centres from a bounded sample of the corpus, by k-means."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+def _centres(c, n, cells, metric, top, seed):
+    """Cell centres from a bounded sample of the corpus, by k-means.
 
-    sample = c.orderBy(F.xxhash64(F.col("cid"), F.lit(seed))).limit(max(20 * cells, 1000))
+    The sample is drawn by a hash of the id, so a lazily made vector is made for it alone.
+    """
+    size = max(20 * cells, 1000)
+    drawn = F.xxhash64(F.col("cid"), F.lit(seed))
+    sample = c.filter(F.pmod(drawn, F.lit(max(1, n // (2 * size)))) == 0).orderBy(drawn).limit(size)
 
     def moved(batches):
         for batch in batches:
+            batch = D.with_vector(batch, "cv")
             if batch.num_rows:
                 points = D.metric_space(D.matrix(batch.column(0)), metric, "corpus", top)
                 yield pa.RecordBatch.from_arrays([pa.array(list(points), pa.list_(pa.float64()))], ["p"])
 
     points = sample.select("cv").mapInArrow(moved, "p array<double>").select(array_to_vector("p").alias("features"))
-    model = KMeans(k=cells, seed=seed).fit(points)
-    return np.array(model.clusterCenters())
+    return np.array(KMeans(k=cells, seed=seed).fit(points).clusterCenters())
 
 
 def build_cells(
@@ -116,11 +120,11 @@ def build_cells(
     """Write the corpus split into cells around centres, and the cells themselves; give back `path`.
 
     `path/vectors` is partitioned by cell, so a search reads the cells it asks for.
-    `path/cells` has one row per cell: centre, size and radius. A cell of any size is cut into
-    blocks of about BLOCK rows, so a cell with a third of all rows is a third of all blocks.
+    `path/cells` has one row per cell: centre, size and radius. A search cuts a cell of any size
+    into blocks of about BLOCK rows, so a cell with a third of all rows is a third of all blocks.
     """
     spark = corpus.sparkSession
-    c = corpus.filter(F.col(vector).isNotNull()).select(F.col(cid).alias("cid"), F.col(vector).alias("cv"))
+    c = corpus.select(F.col(cid).alias("cid"), F.col(vector).alias("cv"))
     n = c.count()
     if n == 0:
         raise ValueError("no vector to index")
@@ -129,7 +133,7 @@ def build_cells(
     if metric == "dot":
         square = F.aggregate("cv", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
         top = float(c.agg(F.sqrt(F.max(square))).first()[0])
-    centres = _centres(c, cells, metric, top, seed)
+    centres = _centres(c, n, cells, metric, top, seed)
     shared = spark.sparkContext.broadcast(centres)
 
     def assign(batches):
@@ -147,8 +151,8 @@ def build_cells(
 
     types = {f.name: f.dataType.simpleString() for f in c.schema}
     assigned = c.mapInArrow(assign, f"cid {types['cid']}, cv {types['cv']}, cell int, reach double")
-    spread = F.pmod(F.xxhash64("cid"), F.lit(max(1, n // (BLOCK * 64 * cells) + 1)))
-    assigned.repartition("cell", spread).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
+    # Rebalancing gathers the rows of small cells and splits a cell that is too large for a task.
+    assigned.hint("rebalance", F.col("cell")).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
     rows = [(i, [float(x) for x in centre]) for i, centre in enumerate(centres)]
     centre_rows = spark.createDataFrame(rows, "cell int, centre array<double>")
     sizes = spark.read.parquet(f"{path}/vectors").groupBy("cell").agg(

@@ -38,31 +38,39 @@ class _Forms(dict):
         return lemma
 
 
-def lemmatise(df: DataFrame, columns, vocab: DataFrame, exceptions: DataFrame = None, key=None) -> DataFrame:
+def shared_lists(vocab: DataFrame, exceptions: DataFrame = None):
+    """The word lists as a broadcast value, or None when they exceed MAX_WORDS or MAX_BYTES."""
+    width = F.octet_length("word")
+    if not fits(vocab, MAX_WORDS, MAX_BYTES, width):
+        return None
+    irregular = {}
+    if exceptions is not None:
+        if not fits(exceptions, MAX_WORDS, MAX_BYTES, width + F.octet_length("lemma")):
+            return None
+        for row in exceptions.orderBy("word", "lemma").collect():
+            irregular.setdefault(row["word"], []).append(row["lemma"])
+    known = set(vocab.select("word").toArrow().column("word").to_pylist())
+    return vocab.sparkSession.sparkContext.broadcast((known, irregular))
+
+
+def lemmatise(df: DataFrame, columns, vocab: DataFrame, exceptions: DataFrame = None, key=None, lists=None) -> DataFrame:
     """Put every word of the text `columns` in lemma form, order kept, joined by one space.
 
-    vocab(word) is the word list, exceptions(word, lemma) the irregular forms. A list within
-    MAX_WORDS and MAX_BYTES goes to every task and no row is shuffled. A larger one is joined,
-    which needs `key`, a unique column of `df`.
+    vocab(word) is the word list, exceptions(word, lemma) the irregular forms. Lists of a checked
+    size go to every task and no row is shuffled; larger ones are joined, which needs `key`, a
+    unique column of `df`. `lists` is the result of `shared_lists` when several calls share it.
     """
-    if not fits(vocab, MAX_WORDS, MAX_BYTES, F.octet_length("word")) or (
-        exceptions is not None and not fits(exceptions, MAX_WORDS, MAX_BYTES, F.octet_length("word"))
-    ):
+    lists = lists or shared_lists(vocab, exceptions)
+    if lists is None:
         if key is None:
             raise ValueError("a word list of this size needs `key`, a unique column of the table")
         for column in columns:
             df = _lemmatise_joined(df, column, vocab, exceptions, key)
         return df
-    spark = df.sparkSession
-    irregular = {}
-    for row in exceptions.orderBy("word", "lemma").collect() if exceptions is not None else []:
-        irregular.setdefault(row["word"], []).append(row["lemma"])
-    known = {row["word"] for row in vocab.select("word").collect()}
-    shared = spark.sparkContext.broadcast((known, irregular))
 
     @F.pandas_udf("string")
     def lemma_text(texts: pd.Series) -> pd.Series:
-        forms = _Forms(*shared.value)
+        forms = _Forms(*lists.value)
         return texts.map(lambda t: " ".join([forms[w] for w in t.split()]), na_action="ignore")
 
     return df.withColumns({c: lemma_text(F.col(f"`{c}`")) for c in columns})

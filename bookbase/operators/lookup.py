@@ -28,7 +28,7 @@ GRAM = 3
 PARTS = 16
 MAX_PATTERNS = 5_000
 MAX_PATTERN_BYTES = 4 << 20
-BLOCKS = 64
+TITLE_BLOCK = 50_000
 
 
 def default_embedder(column="text"):
@@ -175,7 +175,8 @@ def first_match(requests: DataFrame, books: DataFrame, columns=("author",), lite
     Copies of a title and of a request are collapsed first, and only titles and positions are
     moved; the other columns are fetched for the matched books at the end.
     """
-    titles = books.filter(F.col("title").isNotNull()).groupBy(F.lower("title").alias("key")).agg(F.min("pos").alias("pos"))
+    titles = books.groupBy(F.lower("title").alias("key")).agg(F.min("pos").alias("pos"))
+    titles = materialise(titles, "titles").filter("key IS NOT NULL")
     want = F.lower("text") if literal else F.col("text")
     r = requests.filter(F.col("text").isNotNull()).select("qid", want.alias("want"))
     wants = r.select("want").distinct()
@@ -225,7 +226,7 @@ def _regex_match(wants, titles):
     """(want, pos) with every request tried on every distinct title, and one row kept per request.
 
     Patterns cannot be indexed. Up to MAX_PATTERNS go to every task and the titles stay where
-    they are; more are dealt into blocks that meet blocks of titles.
+    they are; more are dealt into blocks that meet blocks of titles, both of bounded size.
     """
     spark = wants.sparkSession
     if fits(wants, MAX_PATTERNS, MAX_PATTERN_BYTES, F.octet_length("want")):
@@ -239,9 +240,10 @@ def _regex_match(wants, titles):
 
         hits = titles.mapInArrow(search, "want string, pos bigint")
     else:
-        blocks = F.array(*[F.lit(i).cast("bigint") for i in range(BLOCKS)])
-        left = wants.withColumn("wb", F.pmod(F.xxhash64("want"), F.lit(BLOCKS))).withColumn("tb", F.explode(blocks))
-        right = titles.withColumn("tb", F.pmod(F.xxhash64("key"), F.lit(BLOCKS))).withColumn("wb", F.explode(blocks))
+        nw, nt = -(-wants.count() // MAX_PATTERNS), max(1, -(-titles.count() // TITLE_BLOCK))
+        each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+        left = wants.select("want", F.pmod(F.xxhash64("want"), F.lit(nw)).alias("wb"), each(nt).alias("tb"))
+        right = titles.select("key", "pos", F.pmod(F.xxhash64("key"), F.lit(nt)).alias("tb"), each(nw).alias("wb"))
 
         def compare(w, t):
             best = {}

@@ -27,4 +27,4 @@ def book_vectors(books: DataFrame, embedder=None) -> DataFrame:
 def catalogue_from_pages(pages: DataFrame, vocab: DataFrame, exceptions=None, stop=None, n=20) -> DataFrame:
     """Saved pages to the clean catalogue, `page_id` kept for order."""
     raw = page_fields(pages)
-    return clean_catalogue(raw, vocab, exceptions, stop, n)
+    return clean_catalogue(raw, vocab, exceptions, stop, n, key="page_id")

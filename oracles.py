@@ -1,6 +1,6 @@
 """SQL statements that say what each registered query has to return."""
 
-from bookbase.functions.text import BLANK, DIGIT, MISSING, NAME_WORD, NOISE, SENTENCE_END, STOP_WORDS, TITLE_CASE
+from bookbase.functions.text import BLANKS, DIGIT, MISSING, NAME_WORD, NOISE, SENTENCE_END, STOP_WORDS, TITLE_CASE
 from bookbase.operators import ask as A
 from bookbase.operators import lookup as L
 from bookbase.operators.clean import FILL
@@ -17,20 +17,20 @@ def array(values):
     return "[" + ", ".join(text(v) for v in values) + "]"
 
 
-BLANKS = text(f"[{BLANK}]+")
+BLANK_RUN = text(BLANKS)
 STOP = array(STOP_WORDS)
 
 
 def words(x):
-    return f"list_filter(string_split_regex({x}, {BLANKS}), lambda w: w <> '')"
+    return f"list_filter(string_split_regex({x}, {BLANK_RUN}), lambda w: w <> '')"
 
 
 def squeeze(x):
-    return f"trim(regexp_replace({x}, {BLANKS}, ' ', 'g'))"
+    return f"trim(regexp_replace({x}, {BLANK_RUN}, ' ', 'g'))"
 
 
 def strip(x):
-    return f"regexp_replace({x}, {text(f'^[{BLANK}]+|[{BLANK}]+$')}, '', 'g')"
+    return f"regexp_replace({x}, {text(f'^{BLANKS}|{BLANKS}$')}, '', 'g')"
 
 
 def clean(x):

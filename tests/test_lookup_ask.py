@@ -83,7 +83,7 @@ def test_regex_match_both_ways(spark, books, monkeypatch):
     want = {0: 1, 1: 2, 4: 2, 5: 2, 6: 1}
     once = {x["qid"]: x["ebook_no"] for x in L.first_match(r, books, ["ebook_no"], literal=False).collect()}
     monkeypatch.setattr(L, "MAX_PATTERNS", 2)
-    monkeypatch.setattr(L, "BLOCKS", 3)
+    monkeypatch.setattr(L, "TITLE_BLOCK", 1)
     blocks = {x["qid"]: x["ebook_no"] for x in L.first_match(r, books, ["ebook_no"], literal=False).collect()}
     assert once == want and blocks == want
 
