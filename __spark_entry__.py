@@ -255,13 +255,8 @@ def embed_questions(spark, d):
     return rows.select("qid", "bucket", F.round(F.col("weight").cast("double"), 6).alias("weight"))
 
 
-def _hash_model():
-    """A stand-in for a caller's model: length and blank count of each text."""
-    return lambda texts: [[float(len(t)), float(t.count(" "))] for t in texts]
-
-
 def embed_model(spark, d):
-    made = embed.embed_with(clean_text(spark, d), "text", _hash_model)
+    made = embed.embed_with(clean_text(spark, d), "text", B.counting_model)
     e = F.col("embedding")
     return made.filter(e.isNotNull()).select(
         "doc_id", F.get(e, F.lit(0)).cast("bigint").alias("size"), F.get(e, F.lit(1)).cast("bigint").alias("blanks")

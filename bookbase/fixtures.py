@@ -149,3 +149,8 @@ def author_requests(spark, sf_dir) -> DataFrame:
     key = F.col("doc_id")
     text = F.when(key % 5 == 0, F.concat(F.lit("no "), "source")).otherwise(F.upper("source"))
     return table(spark, sf_dir, "documents").select(key.alias("qid"), text.alias("text"))
+
+
+def counting_model():
+    """A stand-in for a caller's own model: length and blank count of each text."""
+    return lambda texts: [[float(len(t)), float(t.count(" "))] for t in texts]

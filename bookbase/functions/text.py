@@ -153,5 +153,6 @@ def first_lines(c, n) -> Column:
     """The first `n` lines joined by newline; every common line ending counts; all when None."""
     if n is None:
         return _col(c)
-    lines = F.split(_col(c), r"\r\n|\r|\n")
+    # The split stops after the lines asked for; what follows stays in one piece and is dropped.
+    lines = F.split(_col(c), r"\r\n|\r|\n", n + 1)
     return F.array_join(F.slice(lines, 1, n), "\n")

@@ -1,5 +1,7 @@
 """Texts cut into overlapping chunks."""
 
+from collections import deque
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +43,12 @@ def _cut(text, separator):
 
 def _pack(pieces, size, overlap):
     """Join pieces into chunks up to `size`; a chunk opens with at most `overlap` of the one before."""
-    chunks, held, length = [], [], 0
+    chunks, held, length = [], deque(), 0
     for piece in pieces:
         if held and length + len(piece) > size:
             chunks.append("".join(held))
             while held and (length > overlap or length + len(piece) > size):
-                length -= len(held.pop(0))
+                length -= len(held.popleft())
         held.append(piece)
         length += len(piece)
     if held:

@@ -331,7 +331,7 @@ def knn_sparse(queries, corpus, k=1, dim=None, qid="qid", cid="ebook_no", where=
     """The k nearest by cosine for sparse rows (id, bucket, weight) on both sides.
 
     A join on the bucket would emit every pair that shares one; the rows of each vector are
-    packed instead and compared in blocks.
+    packed into a vector of `dim` numbers instead, and these are compared in blocks.
     """
     dim = dim or DIM
     return knn(densify(queries, qid, dim), densify(corpus, cid, dim), k, "cosine", where, qid, cid)

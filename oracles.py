@@ -167,6 +167,7 @@ def dense(metric):
 
 def dense_knn(metric, right="embeddings b"):
     d = f"round({dense(metric)}, 6)"
+    d = f"CASE WHEN {d} = 0 THEN 0.0::DOUBLE ELSE {d} END"  # no negative zero
     return f"""SELECT a.vec_id AS qid, row_number() OVER (PARTITION BY a.vec_id ORDER BY {d}, b.vec_id) AS rank,
   b.vec_id AS ebook_no, {d} AS distance
 FROM embeddings a SEMI JOIN documents ON doc_id = a.vec_id
