@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 

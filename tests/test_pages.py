@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from bookbase.functions import html as H
 from bookbase.operators import extract as E
