@@ -455,9 +455,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for metric in ("l2", "cosine", "dot"):
         named[f"knn_{metric}"] = _knn(metric)
         named[f"knn_{metric}_cells"] = _knn_cells(metric)
+    named |= _llm("queries")
     return {name: _shipping(f) for name, f in named.items()}
 
 
+def _llm(what):
+    """What the subpackage `llm` registers, if it is there."""
+    try:
+        import corpus_pipeline
+        from bookbase.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name in ("corpus_pipeline", "bookbase.llm"):
+            return {}
+        raise
+    if what == "statements":
+        return llm.statements()
+    return llm.queries() | {"pipeline": corpus_pipeline.run}
+
+
 def _shipping(query):
     def run(spark, sf_dir):
         ship(spark)
@@ -470,4 +485,4 @@ def oracle_sql() -> dict[str, str]:
     """The SQL for each query that SQL can state."""
     from oracles import statements
 
-    return statements()
+    return statements() | _llm("statements")
