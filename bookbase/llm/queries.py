@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from bookbase.llm import packing, sharding, simhash
+from bookbase.llm import mixing, packing, sharding, simhash, topk
 
 
 def _documents(spark, d):
@@ -18,6 +18,11 @@ def op2_packing(spark, d):
     return packing.pack_documents(_documents(spark, d))
 
 
+def op4_topk(spark, d):
+    vectors = spark.read.parquet(f"{d}/embeddings.parquet")
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
 def op5_sharding(spark, d):
     rows = sharding.shard_documents(_documents(spark, d), 40)
     return rows.select(
@@ -25,7 +30,26 @@ def op5_sharding(spark, d):
     )
 
 
-QUERIES = [op1_simhash, op2_packing, op5_sharding]
+def op10_mixing(spark, d):
+    rows = mixing.mix_sizes(_documents(spark, d))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "shards")
+
+
+QUERIES = [op1_simhash, op2_packing, op4_topk, op5_sharding, op10_mixing]
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
 
 
 def queries():
@@ -34,4 +58,4 @@ def queries():
 
 def statements():
     """SQL for those that SQL can state."""
-    return {}
+    return {"op4_topk": OP4_SQL}
