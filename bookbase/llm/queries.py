@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from bookbase.llm import mixing, packing, sharding, simhash, topk
+from bookbase.llm import mixing, packing, sampling, sharding, simhash, topk
 
 
 def _documents(spark, d):
@@ -30,12 +30,22 @@ def op5_sharding(spark, d):
     )
 
 
+def op9_fingerprints(spark, d):
+    rows = sampling.edited_fingerprints(_documents(spark, d))
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", sampling.fingerprint("samples").alias("fingerprint"),
+        sampling.fingerprint("edited_samples").alias("edited_fingerprint"),
+        sampling.likeness("samples", "edited_samples").alias("near_edited"),
+        sampling.likeness("samples", "next_samples").alias("near_next"),
+    )
+
+
 def op10_mixing(spark, d):
     rows = mixing.mix_sizes(_documents(spark, d))
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "shards")
 
 
-QUERIES = [op1_simhash, op2_packing, op4_topk, op5_sharding, op10_mixing]
+QUERIES = [op1_simhash, op2_packing, op4_topk, op5_sharding, op9_fingerprints, op10_mixing]
 
 OP4_SQL = """
 WITH v AS (
