@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from bookbase.llm import mixing, packing, sampling, sharding, simhash, topk
+from bookbase.llm import mixing, packing, sampling, sharding, simhash, suffixes, topk
 
 
 def _documents(spark, d):
@@ -18,6 +18,10 @@ def op2_packing(spark, d):
     return packing.pack_documents(_documents(spark, d))
 
 
+def op3_suffixes(spark, d):
+    return suffixes.passage_rows(_documents(spark, d))
+
+
 def op4_topk(spark, d):
     vectors = spark.read.parquet(f"{d}/embeddings.parquet")
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
@@ -45,7 +49,34 @@ def op10_mixing(spark, d):
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "shards")
 
 
-QUERIES = [op1_simhash, op2_packing, op4_topk, op5_sharding, op9_fingerprints, op10_mixing]
+QUERIES = [op1_simhash, op2_packing, op3_suffixes, op4_topk, op5_sharding, op9_fingerprints, op10_mixing]
+
+OP3_SQL = r"""
+WITH worded AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), passage AS (
+  SELECT doc_id, s AS start, array_to_string(words[s + 1 : s + 50], ' ') AS run
+  FROM worded, unnest(range(0, len(words) - 49)) AS u(s)
+), holder AS (
+  SELECT run, min(doc_id) AS low FROM passage GROUP BY run HAVING min(doc_id) <> max(doc_id)
+), marked AS (
+  SELECT doc_id, start, doc_id <> low AS cut FROM passage JOIN holder USING (run)
+), grown AS (
+  SELECT *, CASE WHEN start - lag(start) OVER (PARTITION BY doc_id ORDER BY start) <= 50 THEN 0 ELSE 1 END AS new
+  FROM marked
+), named AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY start) AS span FROM grown
+), cut_up AS (
+  SELECT *, start + 50 - greatest(start, coalesce(
+    max(CASE WHEN cut THEN start + 50 END)
+      OVER (PARTITION BY doc_id, span ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS fresh
+  FROM named
+)
+SELECT doc_id, min(start)::INT AS start_word, (max(start) + 50)::INT AS end_word,
+       sum(CASE WHEN cut THEN fresh ELSE 0 END)::INT AS cut_words
+FROM cut_up GROUP BY doc_id, span
+"""
 
 OP4_SQL = """
 WITH v AS (
@@ -68,4 +99,4 @@ def queries():
 
 def statements():
     """SQL for those that SQL can state."""
-    return {"op4_topk": OP4_SQL}
+    return {"op3_suffixes": OP3_SQL, "op4_topk": OP4_SQL}
