@@ -14,6 +14,14 @@ def words_of(text):
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def small_batches(spark, rows=500):
+    """Let Python workers of this session get at most `rows` rows at a time: whole texts can be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def number_rows(df: DataFrame, keys, order, out, start=0) -> DataFrame:
     """Number the rows of each group of `keys` without gaps from `start`, in no promised order.
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookbase.llm.common import number_rows
+from bookbase.llm.common import number_rows, small_batches
 from bookbase.session import materialise
 
 CAPACITY = 2048
@@ -89,6 +89,7 @@ def pieces(docs: DataFrame, tokens=None, capacity=CAPACITY, end=0) -> DataFrame:
                 {"doc_id": "Int64", "piece": "int32"}
             )
 
+    small_batches(docs.sparkSession)
     out = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(run, out)
 

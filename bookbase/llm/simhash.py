@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookbase.llm.common import components, words_of
+from bookbase.llm.common import components, small_batches, words_of
 from bookbase.session import materialise
 
 #: Pairs compared at once inside a leaf.
@@ -66,6 +66,7 @@ def fingerprints(docs: DataFrame, size=3, seed=42) -> DataFrame:
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_fingerprint(t, size, seed) for t in texts], dtype=np.uint64).astype(np.int64)
 
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", of("text").alias("fp"))
 
 
