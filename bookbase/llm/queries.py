@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from bookbase.llm import mixing, packing, sampling, sharding, simhash, suffixes, topk
+from bookbase.llm import (
+    language, mixing, packing, sampling, scoring, sharding, simhash, suffixes, topk, toxicity,
+)
 
 
 def _documents(spark, d):
@@ -34,6 +36,19 @@ def op5_sharding(spark, d):
     )
 
 
+def op6_language(spark, d):
+    return language.identify(_documents(spark, d))
+
+
+def op7_toxicity(spark, d):
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    return toxicity.score_documents(_documents(spark, d), labels)
+
+
+def op8_scoring(spark, d):
+    return scoring.score_documents(_documents(spark, d))
+
+
 def op9_fingerprints(spark, d):
     rows = sampling.edited_fingerprints(_documents(spark, d))
     return rows.select(
@@ -49,7 +64,7 @@ def op10_mixing(spark, d):
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "shards")
 
 
-QUERIES = [op1_simhash, op2_packing, op3_suffixes, op4_topk, op5_sharding, op9_fingerprints, op10_mixing]
+QUERIES = [op1_simhash, op2_packing, op3_suffixes, op4_topk, op5_sharding, op6_language, op7_toxicity, op8_scoring, op9_fingerprints, op10_mixing]
 
 OP3_SQL = r"""
 WITH worded AS (
