@@ -107,27 +107,42 @@ def leaves(points: DataFrame, words, parts, levels, radius) -> DataFrame:
 
 
 def _spanning(a, b, distance):
-    """Edges of a shortest spanning forest of the links."""
-    pairs = np.unique(np.stack([distance, np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-    parent = {}
+    """Positions of the edges of a shortest spanning forest of the links."""
+    parent, keep = {}, []
 
     def root(x):
         while parent.setdefault(x, x) != x:
             parent[x] = x = parent[parent[x]]
         return x
 
-    for d, x, y in pairs.tolist():
+    order = np.argsort(distance, kind="stable")
+    for i, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
         rx, ry = root(x), root(y)
         if rx != ry:
             parent[max(rx, ry)] = min(rx, ry)
-            yield x, y
+            keep.append(i)
+    return np.array(keep, np.int64)
 
 
-def links(points: DataFrame, words, parts, levels, radius, limit) -> DataFrame:
+def _telling(a, b, distance, nearest=3):
+    """Positions of the links of each point to its nearest ones and to the one linked with most others."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    degree = np.bincount(at, minlength=len(ids))
+    own, other = at, np.concatenate([at[len(a):], at[: len(a)]])
+    link, far = np.tile(np.arange(len(a)), 2), np.tile(distance, 2)
+    picked = []
+    for order, most in ((np.lexsort((other, far, own)), nearest), (np.lexsort((other, far, -degree[other], own)), 1)):
+        rank = np.arange(len(order)) - np.searchsorted(own[order], own[order])
+        picked.append(link[order[rank < most]])
+    return np.unique(np.concatenate(picked))
+
+
+def links(points: DataFrame, words, parts, levels, radius, limit, more=False) -> DataFrame:
     """(a, b) ids of linked points, enough of them to join every group of points linked in a leaf.
 
     Links are pairs within `limit` bits over all words. A leaf gives the edges of its shortest
-    spanning forest rather than all its pairs. Rows arrive sorted by leaf, homes first, and
+    spanning forest rather than all its pairs; with `more`, also each point's links to its
+    nearest ones and to the hub of its group. Rows arrive sorted by leaf, homes first, and
     pairs are compared in chunks; a task holds one leaf of fingerprints at a time.
     """
 
@@ -153,10 +168,17 @@ def links(points: DataFrame, words, parts, levels, radius, limit) -> DataFrame:
 
     def shrunk(found):
         a, b, d = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*found) if found else ((), (), ())))
-        known = {(x, y): z for x, y, z in zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), d.tolist())}
-        kept = list(_spanning(a, b, d)) if len(a) else []
-        pick = np.array(kept, np.int64).reshape(-1, 2)
-        return pick[:, 0], pick[:, 1], np.array([known[tuple(p)] for p in kept], np.int64)
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        if not len(low):
+            return low, high, d
+        order = np.lexsort((high, low))
+        low, high, d = low[order], high[order], d[order]
+        new = np.r_[True, (np.diff(low) != 0) | (np.diff(high) != 0)]
+        low, high, d = low[new], high[new], d[new]
+        keep = _spanning(low, high, d)
+        if more:
+            keep = np.union1d(keep, _telling(low, high, d))
+        return low[keep], high[keep], d[keep]
 
     def run(batches):
         held = None
@@ -182,9 +204,9 @@ def links(points: DataFrame, words, parts, levels, radius, limit) -> DataFrame:
     return dealt.mapInPandas(run, "a bigint, b bigint").distinct()
 
 
-def depth(n, block):
-    """Levels of a tree over 32 bits: enough that few strangers meet in a leaf of n points."""
-    return 4 if n < 50_000 else 8 if n < 1_000_000_000 else 16
+def depth(n):
+    """Levels of a tree over 16 or 32 bits: enough that few strangers meet in a leaf of n points."""
+    return 4 if n < 500_000 else 8 if n < 50_000_000 else 16
 
 
 def near_groups(docs: DataFrame, size=3, seed=42, radius=2) -> DataFrame:
@@ -201,7 +223,7 @@ def near_groups(docs: DataFrame, size=3, seed=42, radius=2) -> DataFrame:
     trees = 2
     parts = [(0, 0, 32), (0, 32, 32)]
     found = links(
-        points.select(F.col("fp").alias("id"), "fp"), ["fp"], parts, depth(points.count(), 32), radius // trees, radius
+        points.select(F.col("fp").alias("id"), "fp"), ["fp"], parts, depth(points.count()), radius // trees, radius
     )
     roots = components(found)
     grouped = points.join(roots.withColumnRenamed("node", "fp"), "fp")
@@ -211,3 +233,104 @@ def near_groups(docs: DataFrame, size=3, seed=42, radius=2) -> DataFrame:
         "fp", F.coalesce("component_id", "least").alias("component_id")
     )
     return marked.join(all_points, "fp").select("doc_id", "fp", "component_id")
+
+
+#: Word fingerprints (128 bits) of texts whose shingles agree in 0.8 differ in fewer bits than this;
+#: eight trees find every pair within 15 bits, and nearly all of those up to here.
+CANDIDATE_BITS, PARTS = 22, [(w, first, 16) for w in (0, 1) for first in (0, 16, 32, 48)]
+
+
+def shingle_set(text, size):
+    """Sorted distinct 32-bit hashes of the word shingles of a text; of all its words if they are fewer."""
+    words = words_of(text)
+    if len(words) < size:
+        shingles = {b" ".join(words)}
+    else:
+        shingles = set(map(b" ".join, zip(*(words[i:] for i in range(size)))))
+    return np.unique(np.fromiter(map(xxhash.xxh32_intdigest, shingles), np.uint32, len(shingles)))
+
+
+def _same_shingles(pairs, similarity):
+    def run(batches):
+        for pdf in batches:
+            keep = []
+            for one, two in zip(pdf["one"], pdf["two"]):
+                x, y = np.frombuffer(one, np.uint32), np.frombuffer(two, np.uint32)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield pdf.loc[keep, ["a", "b"]]
+
+    return pairs.mapInPandas(run, "a bigint, b bigint")
+
+
+def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
+    """same (hash of a text), least (smallest doc_id of its rows), copies (rows with that doc_id), root.
+
+    Texts with one root form a group. Candidates come from the trees over the SimHash of each
+    text's distinct words; they are linked if the Jaccard similarity of their shingles of `size`
+    words is `similarity` or more, counted exactly. A leaf hands over its shortest spanning
+    forest and each text's nearest candidates and hub, not all its pairs.
+    """
+
+    def printed(batches):
+        for pdf in batches:
+            prints = np.array([word_fingerprint(t) for t in pdf["text"]], np.uint64).reshape(-1, 2).view(np.int64)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "same": pdf["same"], "f0": prints[:, 0], "f1": prints[:, 1]})
+
+    spark = docs.sparkSession
+    small_batches(spark)
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("same", F.xxhash64("text"))
+    marked = materialise(rows.mapInPandas(printed, "doc_id bigint, same bigint, f0 bigint, f1 bigint"), "fingerprints")
+    by_id = marked.groupBy("same", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("f0").alias("f0"), F.first("f1").alias("f1"))
+    least = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    points = by_id.groupBy("same").agg(
+        F.min(least).alias("least"), F.first("f0").alias("f0"), F.first("f1").alias("f1"),
+    )
+    points = materialise(points, "points")
+    words = ["f0", "f1"]
+    levels = depth(points.count())
+    near = links(points.select(F.col("same").alias("id"), *words), words, PARTS, levels, 1, CANDIDATE_BITS, more=True)
+    near = materialise(near, "candidates")
+
+    ends = near.select("a").union(near.select("b")).distinct().withColumnRenamed("a", "same")
+    wanted = ends.join(points, "same").select(F.col("same").alias("w_same"), "least")
+    asked = rows.join(wanted, (F.col("same") == F.col("w_same")) & (least == F.col("least")))
+
+    def sets(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"same": pdf["same"], "shingles": [shingle_set(t, size).tobytes() for t in pdf["text"]]})
+
+    known = materialise(asked.select("same", "text").mapInPandas(sets, "same bigint, shingles binary"), "shingles")
+    known = known.dropDuplicates(["same"])
+    left = near.join(known.select(F.col("same").alias("a"), F.col("shingles").alias("one")), "a")
+    pairs = left.join(known.select(F.col("same").alias("b"), F.col("shingles").alias("two")), "b")
+    roots = components(_same_shingles(pairs.select("a", "b", "one", "two"), similarity))
+    grouped = points.select("same", "least").join(roots.withColumnRenamed("node", "same"), "same", "left")
+    copies = by_id.select(F.col("same").alias("c_same"), least.alias("c_least"), F.col("n").alias("copies"))
+    return grouped.join(copies, (F.col("same") == F.col("c_same")) & (F.col("least") == F.col("c_least"))).select(
+        "same", "least", "copies", F.coalesce("root", "same").alias("root")
+    )
+
+
+def drop_near_duplicates(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
+    """`docs` with one row of each group of near duplicates: that of the smallest doc_id.
+
+    Keeps all columns. A null text counts as empty; empty texts are copies of each other. Of rows that
+    agree in doc_id and text one stays; a row without a doc_id stays only if its whole group
+    has none. Ties between different texts of one doc_id go by a hash of the text.
+    """
+    groups = duplicate_texts(docs, size, similarity)
+    first = F.min(F.struct("least", "same", "copies")).alias("first")
+    kept = materialise(groups.groupBy("root").agg(first).select("first.*"), "kept")
+    kept = kept.select(F.col("least").alias("__least"), F.col("same").alias("__same"), F.col("copies").alias("__copies"))
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("__id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("__hash"),
+    )
+    met = packed.join(kept, (F.col("__hash") == F.col("__same")) & (F.col("__id") == F.col("__least")))
+    out = met.filter("__copies = 1")
+    if not kept.filter("__copies > 1").isEmpty():
+        out = out.union(met.filter("__copies > 1").dropDuplicates(["__hash", "__id"]))
+    return out.select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
