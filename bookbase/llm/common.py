@@ -55,7 +55,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Rounds of hanging each node's larger neighbours, then its smaller ones, under the smallest
     (large and small stars) until nothing moves; every round is a written table. Minima are
-    combined before they are shuffled, and the joins back are plain ones, so that adaptive
+    combined before they are shuffled and written before they are joined back, so that adaptive
     execution can split a hub.
     """
     now = _forward(edges.select("a", "b"))
@@ -70,9 +70,11 @@ def components(edges: DataFrame) -> DataFrame:
         state = (count, total)
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = materialise(least, "least")
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = _forward(large)
-        small = large.groupBy("b").agg(F.min("a").alias("m"))
+        large = materialise(large, "large")
+        small = materialise(large.groupBy("b").agg(F.min("a").alias("m")), "small")
         hung = large.join(small, "b")
         now = _forward(hung.select("a", F.col("m").alias("b")).union(hung.select("b", "m")))
     # Every node but a root has one edge now, to its root.

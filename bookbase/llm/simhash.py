@@ -232,7 +232,8 @@ def near_groups(docs: DataFrame, size=3, seed=42, radius=2) -> DataFrame:
     all_points = points.join(linked, "fp", "left").select(
         "fp", F.coalesce("component_id", "least").alias("component_id")
     )
-    return marked.join(all_points, "fp").select("doc_id", "fp", "component_id")
+    # Written, so that Spark can split the rows of a fingerprint that very many texts share.
+    return marked.join(materialise(all_points, "named"), "fp").select("doc_id", "fp", "component_id")
 
 
 #: Word fingerprints (128 bits) of texts whose shingles agree in 0.8 differ in fewer bits than this;

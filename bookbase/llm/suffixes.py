@@ -116,7 +116,8 @@ def repeats(docs: DataFrame, length=LENGTH, gram=GRAM) -> DataFrame:
         F.min("id").alias("first"), F.max("id").alias("last")
     )
     shared = kept.filter("key IS NOT NULL").groupBy("key").agg(F.min("same").alias("low"), F.max("same").alias("high"))
-    shared = shared.filter("low <> high").select("key")
+    # Written tables on both sides of a join let Spark split a hot key of it.
+    shared = materialise(shared.filter("low <> high").select("key"), "shared")
     firsts = groups.select(F.col("same").alias("first_same"), "first")
     own = kept.join(shared, "key").groupBy("id", "same").agg(F.collect_set("key").alias("keys"))
     own = own.join(firsts, (F.col("same") == F.col("first_same")) & (F.col("id") == F.col("first")))
@@ -124,6 +125,7 @@ def repeats(docs: DataFrame, length=LENGTH, gram=GRAM) -> DataFrame:
                     (F.col("id") == F.col("own")) & (F.col("same") == F.col("own_same")))
     found = materialise(_extended(met.select("id", "text", "keys"), length, gram), "passages")
     holders = found.groupBy("run").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
+    holders = materialise(holders, "holders")
     marked = found.join(holders, "run").select("id", "start", (F.col("id") != F.col("low")).alias("cut"))
     starts = marked.groupBy("id").agg(
         F.collect_list("start").alias("starts"), F.collect_list(F.when(F.col("cut"), F.col("start"))).alias("cut_starts")
