@@ -50,6 +50,19 @@ def number_rows(df: DataFrame, keys, order, out, start=0) -> DataFrame:
     return joined.select(*df.columns, (F.col("__inside") + F.col("__start")).cast("bigint").alias(out))
 
 
+def some_by_hash(df: DataFrame, keys, by, most) -> DataFrame:
+    """Up to `most` rows of each group of `keys`, those of the smallest hashes of `by`.
+
+    Groups are thinned by a share of the hash that leaves about four times as many before they are
+    sorted, so no task gets more than that of a group.
+    """
+    mixed = F.pmod(F.xxhash64(by, F.lit(17)), F.lit(1 << 30))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
+    thin = df.join(sizes, list(keys)).filter(mixed < F.least(F.lit(1.0), F.lit(4.0 * most) / F.col("__size")) * (1 << 30))
+    first = Window.partitionBy(*keys).orderBy(mixed, by)
+    return thin.withColumn("__nth", F.row_number().over(first)).filter(F.col("__nth") <= most).select(*df.columns)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of `edges` (a, b: bigint); root is the smallest node it can reach.
 

@@ -10,10 +10,10 @@ Since both layers are linear, scoring adds one row of class scores per subword.
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookbase.llm.common import small_batches
+from bookbase.llm.common import small_batches, some_by_hash
 
 BUCKETS, WIDTH = 1 << 14, 16
 
@@ -72,8 +72,12 @@ class Model:
         return x / x.sum(1, keepdims=True)
 
 
-def train(rows, languages, epochs=30, rate=8.0, seed=0):
-    """A Model from rows (language number, buckets, shares)."""
+def train(rows, languages, epochs=12, rate=0.3, seed=0):
+    """A Model from rows (language number, buckets, shares).
+
+    Stochastic gradient descent on the cross entropy, languages weighing the same; the step of each
+    weight shrinks with the gradients it has seen.
+    """
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
     kept_out = [rows[i] for i in order[: len(rows) // 5]]
@@ -81,29 +85,26 @@ def train(rows, languages, epochs=30, rate=8.0, seed=0):
     deep = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
     wide = rng.normal(0, 0.1, (WIDTH, len(languages))).astype(np.float32)
     base = np.zeros(len(languages), np.float32)
+    seen = [np.full_like(x, 1e-8) for x in (deep, wide, base)]
     count = np.bincount([r[0] for r in used], minlength=len(languages))
     weight = len(used) / len(languages) / np.maximum(count, 1)
-    steps, step = epochs * -(-len(used) // 16), 0
     for _ in range(epochs):
         for chunk in np.array_split(rng.permutation(len(used)), -(-len(used) // 16)):
             batch = [used[i] for i in chunk]
             y = np.array([r[0] for r in batch])
-            at = np.concatenate([r[1] for r in batch])
-            share = np.concatenate([r[2] for r in batch])[:, None]
-            owner = np.repeat(np.arange(len(batch)), [len(r[1]) for r in batch])
-            mean = np.zeros((len(batch), WIDTH), np.float32)
-            np.add.at(mean, owner, deep[at] * share)
+            at, where = np.unique(np.concatenate([r[1] for r in batch]), return_inverse=True)
+            bag = np.zeros((len(batch), len(at)), np.float32)
+            bag[np.repeat(np.arange(len(batch)), [len(r[1]) for r in batch]), where] = np.concatenate([r[2] for r in batch])
+            mean = bag @ deep[at]
             x = mean @ wide + base
             p = np.exp(x - x.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             p[np.arange(len(y)), y] -= 1
             p *= (weight[y] / len(batch))[:, None]
-            now = rate * (1 - step / steps)
-            back = p @ wide.T
-            wide -= now * mean.T @ p
-            base -= now * 0.1 * p.sum(0)
-            np.subtract.at(deep, at, now * 20 * back[owner] * share)
-            step += 1
+            steps = (bag.T @ (p @ wide.T), mean.T @ p, p.sum(0))
+            for values, square, step, part in zip((deep, wide, base), seen, steps, (at, slice(None), slice(None))):
+                square[part] += step * step
+                values[part] -= rate * step / np.sqrt(square[part])
     model = Model((deep @ wide).astype(np.float32), base, languages)
     _calibrate(model, kept_out or rows)
     return model
@@ -139,8 +140,7 @@ def fit(docs: DataFrame, sample=SAMPLE) -> Model:
     """
     small_batches(docs.sparkSession)
     fine = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = fine.select("doc_id", "lang").withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= sample)
+    chosen = some_by_hash(fine.select("doc_id", "lang"), ["lang"], "doc_id", sample)
 
     def run(batches):
         for pdf in batches:
@@ -149,7 +149,6 @@ def fit(docs: DataFrame, sample=SAMPLE) -> Model:
                 "lang": pdf["lang"], "at": [b[0].astype(np.int32).tobytes() for b in made], "share": [b[1].tobytes() for b in made],
             })
 
-    chosen = ids.select("doc_id", "lang")
     texts = fine.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])  # sample rows a language
     rows = texts.mapInPandas(run, "lang string, at binary, share binary").toPandas()
     languages = sorted(rows["lang"].unique())

@@ -49,10 +49,11 @@ def signatures(terms_of: DataFrame, keys, samples=SAMPLES) -> DataFrame:
 
     Without a shuffle of its own if `terms_of` is clustered by some of `keys` already.
     """
-    counted = terms_of.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
-    hashed = counted.select(*keys, F.xxhash64("term").alias("h"), F.log(F.col("n").cast("double")).alias("w"))
-    least = hashed.groupBy(*keys).agg(*[F.min(a).alias(f"s{k}") for k, a in enumerate(draws(F.col("h"), F.col("w"), samples))])
-    return least.select(*keys, F.array(*[f"s{k}" for k in range(samples)]).alias("samples"))
+    counted = terms_of.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("__n"))
+    hashed = counted.select(*keys, F.xxhash64("term").alias("__h"), F.log(F.col("__n").cast("double")).alias("__w"))
+    drawn = draws(F.col("__h"), F.col("__w"), samples)
+    least = hashed.groupBy(*keys).agg(*[F.min(a).alias(f"__s{k}") for k, a in enumerate(drawn)])
+    return least.select(*keys, F.array(*[f"__s{k}" for k in range(samples)]).alias("samples"))
 
 
 def fingerprint(samples):

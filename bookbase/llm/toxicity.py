@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookbase.llm.common import small_batches
+from bookbase.llm.common import small_batches, some_by_hash
 
 ORDER, SPAN, DECAY = 4, 7, 0.6
 
@@ -281,11 +281,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample=SAMPLE) -> Machine:
     words. Without toxic or without clean rows the machine scores every text by their share.
     """
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    mixed = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = None
-    for value in (0, 1):
-        part = known.filter(F.col("toxic") == value).orderBy(*mixed).limit(sample)
-        chosen = part if chosen is None else chosen.union(part)
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = some_by_hash(known, ["toxic"], "doc_id", sample)
 
     def run(batches):
         for pdf in batches:
