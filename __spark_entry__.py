@@ -17,7 +17,7 @@ from bookbase.operators import ask as A
 from bookbase.operators import chunk as C
 from bookbase.operators import clean, embed, extract, keys, knn, lemma
 from bookbase.operators import lookup as L
-from bookbase.plans.catalogue import book_vectors, catalogue_from_pages
+from bookbase.plans.catalogue import book_vectors, books_from_catalogue, build_store, catalogue_from_pages, dropped_books
 from bookbase.plans.questions import prepare_batch
 from bookbase.session import materialise, scratch_path, ship
 from bookbase.sources import catalogue as cat
@@ -171,7 +171,7 @@ def clean_lemma(spark, d):
 
 
 def clean_lemma_joined(spark, d):
-    return lemma._lemmatise_joined(clean_text(spark, d), "text", B.vocabulary(spark, d), None, "doc_id")
+    return lemma.lemmatise(B.table(spark, d, "documents").select("doc_id", X.clean_text("text").alias("text")), ["text"], B.vocabulary(spark, d))
 
 
 def clean_keywords(spark, d):
@@ -189,6 +189,30 @@ def catalogue_job(spark, d):
     return made.select("page_id", *[f"`{f}`" for f in cat.CLEAN_FIELDS])
 
 
+def _catalogue_books(spark, d):
+    raw = B.raw_catalogue(spark, d).select("page_id", *[f"`{f}`" for f in cat.CLEAN_FIELDS])
+    raw = raw.withColumn("Raw Summary", F.col("Summary"))
+    return books_from_catalogue(clean.clean_catalogue(raw, B.vocabulary(spark, d), stop=STOP))
+
+
+def catalogue_books(spark, d):
+    return _catalogue_books(spark, d)
+
+
+def catalogue_dropped(spark, d):
+    return dropped_books(_catalogue_books(spark, d))
+
+
+def _built(spark, d):
+    return build_store(B.books(spark, d), scratch_path(spark, "store"), scratch_path(spark, "index"))
+
+
+def build_store_rows(spark, d):
+    store, index = _built(spark, d)
+    indexed = spark.read.parquet(f"{index}/vectors").select(F.col("cid").alias("ebook_no"))
+    return store.join(indexed, "ebook_no").select("book_key", "ebook_no", "meta.title", "meta.author", "text")
+
+
 # --- keys and chunks -------------------------------------------------------------------------
 
 
@@ -314,13 +338,18 @@ def lk_books_by_author(spark, d):
 
 
 def lk_books_by_author_exact(spark, d):
-    return _line(L.books_by_author(B.author_requests(spark, d), _store(spark, d), mode="exact"))
+    return L.books_by_author(B.author_requests(spark, d), _store(spark, d), mode="exact")
 
 
 def lk_author(spark, d):
     return L.author_by_title(_requests(spark, d), _store(spark, d))
 
 
+def lk_author_indexed(spark, d):
+    store, index = _built(spark, d)
+    return L.author_by_title(_requests(spark, d), store, index=index)
+
+
 def lk_subject(spark, d):
     return L.subject_by_title(_requests(spark, d), _store(spark, d))
 
@@ -344,7 +373,8 @@ def lk_text_head(spark, d):
 
 
 def lk_text_full(spark, d):
-    return L.text_by_title(_requests(spark, d), _store(spark, d), _texts(spark, d), lines=None)
+    texts = B.table(spark, d, "documents").select(F.col("doc_id").alias("ebook_no"), "text")
+    return L.text_by_title(_requests(spark, d), _store(spark, d), texts, lines=None)
 
 
 def lk_contains_author(spark, d):
@@ -352,8 +382,7 @@ def lk_contains_author(spark, d):
 
 
 def lk_contains_subject(spark, d):
-    words = B.questions(spark, d).select("qid", B.first_words("text", 2).alias("text"))
-    return L.match_value(words, B.books(spark, d), "subject", L.NO_SUBJECT)
+    return L.match_value(_requests(spark, d), B.books(spark, d), "subject", L.NO_SUBJECT)
 
 
 def lk_regex_author(spark, d):
@@ -361,9 +390,8 @@ def lk_regex_author(spark, d):
 
 
 def lk_fallback(spark, d):
-    words = B.questions(spark, d).select("qid", B.first_words("text", 2).alias("text"))
     return L.lookup_with_fallback(
-        words, _store(spark, d), B.books(spark, d), "subject", L.NO_SUBJECT, max_distance=0.7
+        _requests(spark, d), _store(spark, d), B.books(spark, d), "subject", L.NO_SUBJECT, max_distance=0.7
     )
 
 
@@ -435,7 +463,8 @@ _QUERIES = [
     src_page_ids, src_pages, sink_raw_roundtrip, src_first_n, sink_clean_roundtrip, src_clean, row_to_text,
     text_to_fields, vec_load_or_create, vec_append_new, vec_count, vec_peek, page_pairs, page_fields,
     page_fields_multi, page_head, clean_fill, clean_author, clean_text, clean_stopwords, clean_lemma,
-    clean_lemma_joined, clean_keywords, clean_catalogue, catalogue_job, key_hash, key_uuid, key_seq, key_name,
+    clean_lemma_joined, clean_keywords, clean_catalogue, catalogue_job, catalogue_books, catalogue_dropped,
+    build_store_rows, lk_author_indexed, key_hash, key_uuid, key_seq, key_name,
     batch_no, meta_struct, chunk_fixed, chunk_recursive, embed_hash, embed_idf, embed_norm, embed_questions,
     embed_model, knn_filtered, knn_approx, knn_rank_all, knn_sparse, lk_books_by_author,
     lk_books_by_author_exact, lk_author, lk_subject, lk_characters, lk_character_spans, lk_text_head, lk_text_full,

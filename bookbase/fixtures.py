@@ -145,10 +145,10 @@ def pattern_requests(spark, sf_dir) -> DataFrame:
 
 
 def author_requests(spark, sf_dir) -> DataFrame:
-    """Every document asks for its own author, every fifth for one that does not exist."""
-    key = F.col("doc_id")
-    text = F.when(key % 5 == 0, F.concat(F.lit("no "), "source")).otherwise(F.upper("source"))
-    return table(spark, sf_dir, "documents").select(key.alias("qid"), text.alias("text"))
+    """Every author is asked for once, by the first document; some in words that no author has."""
+    first = table(spark, sf_dir, "documents").groupBy("source").agg(F.min("doc_id").alias("qid"))
+    text = F.when(F.col("qid") % 5 == 0, F.concat(F.lit("no "), "source")).otherwise(F.upper("source"))
+    return first.select("qid", text.alias("text"))
 
 
 def counting_model():

@@ -4,6 +4,7 @@ Bounded to flat markup: a table nested inside the picked one ends it early.
 """
 
 import re
+from html import entities
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,47 +12,58 @@ from pyspark.sql import functions as F
 from bookbase.functions.bind import let
 from bookbase.functions.text import strip
 
-# Named entities and the characters they stand for; `&amp;` is decoded last.
-ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
-    "agrave": "à", "acirc": "â", "auml": "ä", "aacute": "á", "aring": "å", "aelig": "æ",
-    "ccedil": "ç", "egrave": "è", "eacute": "é", "ecirc": "ê", "euml": "ë",
-    "iacute": "í", "icirc": "î", "iuml": "ï", "ntilde": "ñ",
-    "oacute": "ó", "ocirc": "ô", "ouml": "ö", "oslash": "ø", "oelig": "œ",
-    "ugrave": "ù", "uacute": "ú", "ucirc": "û", "uuml": "ü", "szlig": "ß",
-    "Eacute": "É", "Egrave": "È", "Agrave": "À", "Ccedil": "Ç", "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü",
-    "ldquo": "“", "rdquo": "”", "lsquo": "‘", "rsquo": "’", "laquo": "«", "raquo": "»",
-    "ndash": "–", "mdash": "—", "hellip": "…", "copy": "©",
-}
+#: Names of HTML's own table with their semicolon, each between a start and an end mark, then its text.
+NAMES = "".join(f"\x01{name}\x02{text}" for name, text in sorted(entities.html5.items()) if name.endswith(";")) + "\x01"
 
+# What HTML reads the code points 128 to 159 as.
+C1 = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
 
-def _numeric(text, pattern, to_hex):
-    """Replace each distinct numeric entity of `text` by its character."""
 
-    def put(acc, code):
-        char = F.decode(F.unhex(F.lpad(to_hex(code), 8, "0")), "UTF-32")
-        return F.replace(acc, code, char)
+def _character(code):
+    """The character that HTML reads a numeric entity of this code point as."""
+    none = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (
+        F.when(none, F.lit("\ufffd"))
+        .when(code.between(128, 159), F.substring(F.lit(C1), (code - 127).cast("int"), F.lit(1)))
+        .otherwise(plain)
+    )
+
+
+def _decoded(piece):
+    """A piece of text that stood behind `&`, its entity decoded."""
 
-    def replaced(t):
-        return F.aggregate(F.array_distinct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0))), t, put)
+    def shown(entity):
+        decimal = F.regexp_extract(entity, "^#([0-9]{1,9});$", 1)
+        hexadecimal = F.regexp_extract(entity, "^#[xX]([0-9a-fA-F]{1,8});$", 1)
+        mark = F.concat(F.lit("\x01"), entity, F.lit("\x02"))
+        at = F.instr(F.lit(NAMES), mark)
+        named = F.substring_index(F.substring(F.lit(NAMES), at + F.length(mark), F.lit(8)), "\x01", 1)
+        rest = F.substring(piece, F.length(entity) + 1, F.length(piece))
+        return (
+            F.when(entity == "", F.concat(F.lit("&"), piece))
+            .when(decimal != "", F.concat(_character(decimal.cast("bigint")), rest))
+            .when(hexadecimal != "", F.concat(_character(F.conv(hexadecimal, 16, 10).cast("bigint")), rest))
+            .when(entity.startswith("#"), F.concat(F.lit("\ufffd"), rest))
+            .when(at > 0, F.concat(named, rest))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
 
-    return let(text, replaced)
+    return let(F.regexp_extract(piece, "^(#[0-9]+;|#[xX][0-9a-fA-F]+;|[A-Za-z][A-Za-z0-9]*;)", 1), shown)
 
 
 def unescape(c) -> Column:
-    """Decode numeric entities and the named ones in ENTITIES; unknown names stay as they are."""
+    """Decode the numeric entities and all named ones of HTML, from left to right in one pass.
 
-    def decoded(t):
-        for name, char in ENTITIES.items():
-            t = F.replace(t, F.lit(f"&{name};"), F.lit(char))
-        return F.replace(t, F.lit("&amp;"), F.lit("&"))
+    Entities end in a semicolon; unknown names stay as they are. What an entity stands for is not
+    decoded again.
+    """
 
-    def numbered(t):
-        t = _numeric(t, r"&#[0-9]{1,6};", lambda e: F.hex(F.regexp_extract(e, r"([0-9]+)", 1).cast("long")))
-        return _numeric(t, r"&#[xX][0-9a-fA-F]{1,5};", lambda e: F.regexp_extract(e, r"[xX]([0-9a-fA-F]+)", 1))
+    def joined(pieces):
+        rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _decoded)
+        return F.concat(F.element_at(pieces, 1), F.array_join(rest, ""))
 
-    plain = let(c, lambda t: F.when(t.contains("&#"), numbered(t)).otherwise(t))
-    return let(plain, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
+    return let(c, lambda t: F.when(t.contains("&"), let(F.split(t, "&"), joined)).otherwise(t))
 
 
 def inner_text(c) -> Column:

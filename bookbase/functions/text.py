@@ -4,6 +4,8 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from bookbase.functions.bind import let
+
 # The characters that do not separate words, as a regex class body. Stated from
 # this side because most characters are then settled by the first range.
 INK = (
@@ -12,6 +14,9 @@ INK = (
 )
 BLANKS = f"[^{INK}]+"
 
+# What ends a line.
+LINE_END = r"\r\n|[\n-\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+
 # Decimal digits of every script plus superscript, subscript and enclosed
 # digits, as a regex class body.
 DIGIT = (
@@ -150,9 +155,18 @@ def name_spans(c, stop) -> Column:
 
 
 def first_lines(c, n) -> Column:
-    """The first `n` lines joined by newline; every common line ending counts; all when None."""
+    """The first `n` lines joined by newline; all of the text when None.
+
+    Every line ending that Unicode knows counts; one that ends the text begins no line.
+    """
     if n is None:
         return _col(c)
     # The split stops after the lines asked for; what follows stays in one piece and is dropped.
-    lines = F.split(_col(c), r"\r\n|\r|\n", n + 1)
-    return F.array_join(F.slice(lines, 1, n), "\n")
+    pieces = F.split(_col(c), LINE_END, n + 1)
+
+    def taken(p):
+        # A text that ends in a line ending leaves an empty last piece, which is not a line.
+        lines = F.when((F.size(p) <= n) & (F.element_at(p, -1) == ""), F.size(p) - 1).otherwise(F.lit(n))
+        return F.array_join(F.slice(p, F.lit(1), lines), "\n")
+
+    return let(pieces, taken)

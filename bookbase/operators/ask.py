@@ -56,9 +56,9 @@ def valid_questions(df: DataFrame, min_words=8, session=None, order=None) -> Dat
     return df.filter(F.size(X.words("text")) >= min_words)
 
 
-def retrieve(questions: DataFrame, store: DataFrame, k=1, embedder=None) -> DataFrame:
+def retrieve(questions: DataFrame, store: DataFrame, k=1, embedder=None, index=None) -> DataFrame:
     """The k nearest documents of each question: (qid, rank, ebook_no, distance, text)."""
-    hits = L.materialise(L.nearest(questions, store, k, embedder=embedder), "hits")
+    hits = L.materialise(L.nearest(questions, store, k, embedder=embedder, index=index), "hits")
     texts = store.join(hits.select("ebook_no").distinct(), "ebook_no", "left_semi").select("ebook_no", "text")
     return lookup_join(hits, texts, "ebook_no", "qid").select("qid", "rank", "ebook_no", "distance", "text")
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookbase.functions import text as X
-from bookbase.operators.lemma import lemmatise, shared_lists
+from bookbase.operators.lemma import lemmatise
 
 # What stands in for a missing field.
 FILL = {
@@ -15,8 +15,8 @@ FILL = {
     "EBook-No.": "undefined ebook number",
     "Release Date": "undefined release date",
 }
-REQUIRED = ["Author", "Title", "Summary", "Subject", "EBook-No."]
-TEXT_FIELDS = ["Author", "Title", "Summary", "Subject"]
+REQUIRED = [field for field in FILL if field != "Release Date"]
+TEXT_FIELDS = [field for field in REQUIRED if field != "EBook-No."]
 
 
 def fill_missing(df: DataFrame, defaults=FILL, markers=X.MISSING) -> DataFrame:
@@ -39,29 +39,22 @@ def require_columns(df: DataFrame, columns=REQUIRED) -> DataFrame:
     return df
 
 
-def clean_catalogue(
-    df: DataFrame, vocab: DataFrame, exceptions: DataFrame = None, stop=None, n=20, key=None
-) -> DataFrame:
+def clean_catalogue(df: DataFrame, vocab: DataFrame, exceptions: DataFrame = None, stop=None, n=20) -> DataFrame:
     """The whole pass over a raw catalogue; number, date and any other column stay untouched.
 
     Author loses its years; Summary becomes its first `n` keywords; then all four text columns
-    are cleaned, lose their stop words and are put in lemma form. Rows are never moved: one
-    projection per step, no join of the columns. `key`, a unique column, is needed for a word
-    list too large to be sent to every task.
+    are cleaned, lose their stop words and are put in lemma form.
     """
-    lists = shared_lists(vocab, exceptions)
     stop = X.STOP_WORDS if stop is None else list(stop)
     df = fill_missing(df).withColumn("Author", X.strip_dates("Author"))
-    df = keyword_summary(df, "Summary", vocab, exceptions, stop, n, key, lists)
+    df = keyword_summary(df, "Summary", vocab, exceptions, stop, n)
     df = df.withColumns({c: X.drop_stopwords(X.clean_text(c), stop) for c in TEXT_FIELDS})
-    return lemmatise(df, TEXT_FIELDS, vocab, exceptions, key, lists)
+    return lemmatise(df, TEXT_FIELDS, vocab, exceptions)
 
 
-def keyword_summary(
-    df: DataFrame, column, vocab: DataFrame, exceptions=None, stop=None, n=20, key=None, lists=None
-) -> DataFrame:
+def keyword_summary(df: DataFrame, column, vocab: DataFrame, exceptions=None, stop=None, n=20) -> DataFrame:
     """`column` becomes its first `n` keywords in lemma form."""
     stop = X.STOP_WORDS if stop is None else list(stop)
     keywords = F.slice(X.keyword_tokens(column, stop), 1, n)
     df = df.withColumn(column, F.array_join(keywords, " "))
-    return lemmatise(df, [column], vocab, exceptions, key, lists)
+    return lemmatise(df, [column], vocab, exceptions)

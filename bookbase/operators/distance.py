@@ -28,7 +28,13 @@ def distances(q, c, metric):
     """Distances of every row of `q` to every row of `c`, rounded to PLACES."""
     dots = q @ c.T
     if metric == "l2":
-        d = np.maximum((q * q).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2.0 * dots, 0.0)
+        a, b = (q * q).sum(1), (c * c).sum(1)
+        if a.max(initial=0.0) + b.max(initial=0.0) < 1e6:
+            d = np.maximum(a[:, None] + b[None, :] - 2.0 * dots, 0.0)
+        else:  # the difference of large numbers would lose the places that are given
+            d = np.zeros(dots.shape)
+            for x, y in zip(q.T, c.T):
+                d += (x[:, None] - y[None, :]) ** 2
     elif metric == "dot":
         d = 1.0 - dots
     else:
@@ -77,6 +83,14 @@ class Best:
         self.values[rows] = np.sort(np.partition(both, k - 1, axis=1)[:, :k], axis=1)
 
 
+def first_of_each(found, k):
+    """The k first rows of each `qid` by distance, then id."""
+    ordered = found.sort_by([("qid", "ascending"), ("distance", "ascending"), ("cid", "ascending")])
+    numbers = ordered.column("qid").to_numpy()
+    place = np.arange(len(numbers)) - np.searchsorted(numbers, numbers)
+    return ordered.filter(pa.array(place < k)).combine_chunks()
+
+
 def nearest_rows(q, qids, c, cids, k, metric, best=None):
     """Candidate rows (query, corpus id, distance): at most k per query, id order inside ties."""
     step = max(1, _CELLS_AT_ONCE // max(1, len(c)))

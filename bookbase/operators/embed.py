@@ -94,7 +94,10 @@ def embed_with(df: DataFrame, column, load, batch=32, out="embedding") -> DataFr
             filled = [i for i, t in enumerate(texts) if t]
             for start in range(0, len(filled), batch):
                 picked = filled[start : start + batch]
-                for i, vector in zip(picked, model([texts[i] for i in picked])):
+                made = model([texts[i] for i in picked])
+                if len(made) != len(picked):
+                    raise ValueError(f"the model gave {len(made)} vectors for {len(picked)} texts")
+                for i, vector in zip(picked, made):
                     vectors[i] = [float(x) for x in vector]
             column_out = pa.array(vectors, pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([*table.columns, column_out], [*table.schema.names, out])

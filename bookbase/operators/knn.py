@@ -2,8 +2,8 @@
 
 `knn` is exact. A query side of checked size is sent to every task and the corpus is read
 once, unshuffled; a larger one goes through cells (`knn_cells`), which compare a query only
-with cells that can still hold one of its neighbours. `knn_approx` looks into the nearest
-cells alone. Every task keeps at most k rows per query, never all pairs.
+with cells that can still hold one of its neighbours. Both give the same rows. `knn_approx` looks
+into the nearest cells alone. Every task gives at most k rows per query, never all pairs.
 
 Ranks follow (distance rounded to six places, corpus id).
 """
@@ -24,7 +24,9 @@ MAX_QUERIES = 20_000
 MAX_BYTES = 64 << 20
 BLOCK = 4096
 MAX_CELLS = 4096
-SLACK = 1e-5
+#: Half of the last place that a rounded distance is given to, and the rounding of doubles as a
+#: share of the squared lengths that a distance is made of.
+HALF_PLACE, ROUNDING = 0.5 * 10.0**-D.PLACES, 1e-13
 
 
 def _inputs(queries, corpus, qid, cid, vector, where):
@@ -56,14 +58,19 @@ def knn(
 
     metric: `l2` (squared Euclidean), `cosine` (1 - cosine) or `dot` (1 - inner product).
     `where` filters the corpus before the search. Queries without a vector have no rows.
-    `index`, a folder written by `build_cells`, is used when the query side is too large to be
-    sent to every task; without one the cells are made for this call.
+    `index`, a folder that `build_cells` wrote for this corpus and metric, is searched instead of
+    the corpus whatever the number of queries; it cannot be filtered, so with `where` the corpus
+    is. Without one, queries that fit go to every task, and for more cells are made for this call.
     """
     q, c = _inputs(queries, corpus, qid, cid, vector, where)
+    if index is not None and where is None:
+        made_for = _Cells(q.sparkSession, index).metric
+        if made_for != metric:
+            raise ValueError(f"the index is for {made_for}, not {metric}")
+        return knn_cells(q, index, k, qid="qid", vector="qv", names=(qid, cid))
     if fits(q, MAX_QUERIES, MAX_BYTES, 8 * F.size("qv")):
         return _rank(_broadcast_knn(q, c, k, metric), k, qid, cid)
-    if index is None or where is not None:
-        index = build_cells(c, scratch_path(c.sparkSession, "cells"), metric=metric, cid="cid", vector="cv")
+    index = build_cells(c, scratch_path(c.sparkSession, "cells"), metric=metric, cid="cid", vector="cv")
     return knn_cells(q, index, k, qid="qid", vector="qv", names=(qid, cid))
 
 
@@ -74,21 +81,21 @@ def _broadcast_knn(q, c, k, metric):
 
     def search(batches):
         vectors, ids = shared.value
-        best = D.Best(len(ids), k)
+        numbers, best, held = pa.array(np.arange(len(ids))), D.Best(len(ids), k), None
         for batch in batches:
             batch = D.with_vector(batch, "cv")
             if batch.num_rows == 0 or len(ids) == 0:
                 continue
             block = D.by_id(pa.Table.from_batches([batch]), "cid").combine_chunks()
             found = D.nearest_rows(
-                vectors, ids, D.matrix(block.column("cv")), block.column("cid").combine_chunks(), k, metric, best
+                vectors, numbers, D.matrix(block.column("cv")), block.column("cid").combine_chunks(), k, metric, best
             )
-            yield from found.to_batches()
+            held = D.first_of_each(found if held is None else pa.concat_tables([held, found]), k)
+        if held is not None:
+            named = held.set_column(0, "qid", ids.take(held.column("qid").combine_chunks()))
+            yield from named.to_batches()
 
-    # A task gives k rows per query whatever it reads, so a corpus of very many splits is read
-    # by a number of tasks that follows the cluster, not the corpus. Nothing is shuffled.
-    tasks = 2 * q.sparkSession.sparkContext.defaultParallelism
-    return c.coalesce(tasks).mapInArrow(search, _schema(q, c))
+    return c.mapInArrow(search, _schema(q, c))
 
 
 # --- cells -----------------------------------------------------------------------------------
@@ -111,6 +118,8 @@ def _centres(c, n, cells, metric, top, seed):
                 yield pa.RecordBatch.from_arrays([pa.array(list(points), pa.list_(pa.float64()))], ["p"])
 
     points = sample.select("cv").mapInArrow(moved, "p array<double>").select(array_to_vector("p").alias("features"))
+    if cells == 1:
+        return np.array([points.first()["features"].toArray()])
     return np.array(KMeans(k=cells, seed=seed).fit(points).clusterCenters())
 
 
@@ -122,13 +131,21 @@ def build_cells(
     `path/vectors` is partitioned by cell, so a search reads the cells it asks for.
     `path/cells` has one row per cell: centre, size and radius. A search cuts a cell of any size
     into blocks of about BLOCK rows, so a cell with a third of all rows is a third of all blocks.
+    Without `cells` there are as many as the root of the number of vectors, up to MAX_CELLS, whose
+    centres every task holds; asking for more is an error. A corpus without vectors has no cell.
     """
+    if cells is not None and not 1 <= cells <= MAX_CELLS:
+        raise ValueError(f"cells goes from 1 to {MAX_CELLS}")
     spark = corpus.sparkSession
-    c = corpus.select(F.col(cid).alias("cid"), F.col(vector).alias("cv"))
+    # Counted, sampled and assigned from a written table: a lazily made vector is made once.
+    c = materialise(corpus.select(F.col(cid).alias("cid"), F.col(vector).alias("cv")), "corpus").filter("cv IS NOT NULL")
     n = c.count()
     if n == 0:
-        raise ValueError("no vector to index")
-    cells = min(n, MAX_CELLS, cells or int(max(1, min(MAX_CELLS, n**0.5))))
+        c.select("cid", "cv", F.lit(0).alias("cell")).write.mode("overwrite").parquet(f"{path}/vectors")
+        none = "cell int, centre array<double>, size bigint, radius double, metric string, top double"
+        spark.createDataFrame([(0, [], 0, 0.0, metric, 0.0)], none).write.mode("overwrite").parquet(f"{path}/cells")
+        return path
+    cells = min(n, cells or int(max(1, min(MAX_CELLS, n**0.5))))
     top = 0.0
     if metric == "dot":
         square = F.aggregate("cv", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
@@ -170,11 +187,14 @@ class _Cells:
         if not path_exists(spark, f"{path}/cells/_SUCCESS"):
             raise FileNotFoundError(path)
         rows = spark.read.parquet(f"{path}/cells").orderBy("cell").collect()
+        self.metric, self.top = rows[0]["metric"], rows[0]["top"]
+        rows = [r for r in rows if r["size"]]
         self.ids = np.array([r["cell"] for r in rows], np.int32)
         self.centres = np.array([r["centre"] for r in rows])
         self.sizes = np.array([r["size"] for r in rows], np.int64)
         self.radii = np.array([r["radius"] for r in rows])
-        self.metric, self.top = rows[0]["metric"], rows[0]["top"]
+        #: Greatest squared length of an indexed vector.
+        self.reach = max(((np.linalg.norm(c) + r) ** 2 for c, r in zip(self.centres, self.radii)), default=0.0)
 
 
 def _ask(q, shared, choose, columns):
@@ -184,7 +204,7 @@ def _ask(q, shared, choose, columns):
         facts = shared.value
         for batch in batches:
             batch = D.with_vector(batch, "qv")
-            if batch.num_rows == 0:
+            if batch.num_rows == 0 or len(facts.ids) == 0:
                 continue
             points = D.metric_space(D.matrix(batch.column(batch.schema.get_field_index("qv"))), facts.metric, "query", facts.top)
             away = D.euclid(points, facts.centres)
@@ -252,7 +272,7 @@ def knn_approx(
     spark = queries.sparkSession
     facts = _Cells(spark, index)
     q = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
-    asked = _ask(q, spark.sparkContext.broadcast(facts), _probe(probe), ["qid", "qv"])
+    asked = materialise(_ask(q, spark.sparkContext.broadcast(facts), _probe(probe), ["qid", "qv"]), "asked")
     found = _meet(asked, spark.read.parquet(f"{index}/vectors").select("cid", "cv", "cell"), facts, k)
     return _rank(found, k, *(names or (qid, "cid")))
 
@@ -271,7 +291,9 @@ def knn_cells(
     shared = spark.sparkContext.broadcast(facts)
     vectors = spark.read.parquet(f"{index}/vectors").select("cid", "cv", "cell")
     q = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
-    home = _rank(_meet(_ask(q, shared, _probe(1), ["qid", "qv"]), vectors, facts, k), k, "qid", "cid")
+    q = materialise(q, "queries")
+    asked = materialise(_ask(q, shared, _probe(1), ["qid", "qv"]), "asked")
+    home = _rank(_meet(asked, vectors, facts, k), k, "qid", "cid")
     home = materialise(home, "home")
     bound = home.filter(F.col("rank") == k).select("qid", F.col("distance").alias("bound"))
 
@@ -285,12 +307,15 @@ def knn_cells(
             square = (vectors * vectors).sum(1) + facts.top**2 - 2.0 * (1.0 - bounds)
         else:
             square = bounds
-        reach = np.sqrt(np.maximum(square, 0.0) + SLACK)
-        mask = away - facts.radii[None, :] <= reach[:, None] + SLACK
+        points = D.metric_space(vectors, facts.metric, "query", facts.top)
+        lengths = (points * points).sum(1) + facts.reach
+        slack = ROUNDING * lengths
+        reach = np.sqrt(np.maximum(square, 0.0) + 4 * HALF_PLACE + slack)
+        mask = away - facts.radii[None, :] <= (reach + 2 * np.sqrt(slack))[:, None]
         mask[np.arange(len(mask)), away.argmin(1)] = False
         return mask
 
-    far = _ask(q.join(bound, "qid", "left"), shared, reachable, ["qid", "qv", "bound"])
+    far = materialise(_ask(q.join(bound, "qid", "left"), shared, reachable, ["qid", "qv", "bound"]), "asked")
     found = home.select("qid", "cid", "distance").unionByName(_meet(far, vectors, facts, k))
     return _rank(found, k, *(names or (qid, "cid")))
 

@@ -3,12 +3,12 @@
 The result depends on the word list given: a form the list does not hold is left alone.
 """
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookbase.functions.text import words
-from bookbase.operators.joins import fits, lookup_join
+from bookbase.operators.joins import lookup_join
+from bookbase.session import materialise
 
 # Noun endings and what replaces them, in order of trial.
 NOUN_RULES = [
@@ -16,64 +16,33 @@ NOUN_RULES = [
     ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
 ]
 
-MAX_WORDS = 500_000
-MAX_BYTES = 16 << 20
-_CACHE = 200_000
-
-
-class _Forms(dict):
-    """word -> lemma, filled on demand and emptied when it has grown too large."""
-
-    def __init__(self, known, irregular):
-        self.known, self.irregular = known, irregular
-
-    def __missing__(self, word):
-        if len(self) >= _CACHE:
-            self.clear()
-        forms = self.irregular.get(word) or [
-            word[: -len(end)] + new for end, new in NOUN_RULES if word.endswith(end)
-        ]
-        found = [f for f in [word, *forms] if f and f in self.known]
-        lemma = self[word] = min(found, key=len, default=word)
-        return lemma
-
-
-def shared_lists(vocab: DataFrame, exceptions: DataFrame = None):
-    """The word lists as a broadcast value, or None when they exceed MAX_WORDS or MAX_BYTES."""
-    width = F.octet_length("word")
-    if not fits(vocab, MAX_WORDS, MAX_BYTES, width):
-        return None
-    irregular = {}
-    if exceptions is not None:
-        if not fits(exceptions, MAX_WORDS, MAX_BYTES, width + F.octet_length("lemma")):
-            return None
-        for row in exceptions.orderBy("word", "lemma").collect():
-            irregular.setdefault(row["word"], []).append(row["lemma"])
-    known = set(vocab.select("word").toArrow().column("word").to_pylist())
-    return vocab.sparkSession.sparkContext.broadcast((known, irregular))
-
-
-def lemmatise(df: DataFrame, columns, vocab: DataFrame, exceptions: DataFrame = None, key=None, lists=None) -> DataFrame:
+def lemmatise(df: DataFrame, columns, vocab: DataFrame, exceptions: DataFrame = None) -> DataFrame:
     """Put every word of the text `columns` in lemma form, order kept, joined by one space.
 
-    vocab(word) is the word list, exceptions(word, lemma) the irregular forms. Lists of a checked
-    size go to every task and no row is shuffled; larger ones are joined, which needs `key`, a
-    unique column of `df`. `lists` is the result of `shared_lists` when several calls share it.
+    vocab(word) is the word list, exceptions(word, lemma) the irregular forms, both of any size.
+    The lemma of each distinct word is found once by a join with the word list, and given back to
+    the words of the texts by a join that deals out frequent words. Nulls stay null.
     """
-    lists = lists or shared_lists(vocab, exceptions)
-    if lists is None:
-        if key is None:
-            raise ValueError("a word list of this size needs `key`, a unique column of the table")
-        for column in columns:
-            df = _lemmatise_joined(df, column, vocab, exceptions, key)
-        return df
-
-    @F.pandas_udf("string")
-    def lemma_text(texts: pd.Series) -> pd.Series:
-        forms = _Forms(*lists.value)
-        return texts.map(lambda t: " ".join([forms[w] for w in t.split()]), na_action="ignore")
-
-    return df.withColumns({c: lemma_text(F.col(f"`{c}`")) for c in columns})
+    # Row numbers are only told apart within this call; written down, they stay what they are.
+    rows = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    texts = F.array(*[F.struct(F.lit(i).alias("column"), words(f"`{c}`").alias("words")) for i, c in enumerate(columns)])
+    each = rows.select("__row", F.explode(texts).alias("t"))
+    tokens = each.select("__row", "t.column", F.posexplode("t.words").alias("pos", "word"))
+    changed = materialise(lemma_table(tokens, vocab, exceptions), "lemmas")
+    used = lookup_join(tokens, changed, "word", "__row")
+    joined = used.groupBy("__row", "column").agg(
+        F.array_join(
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("pos", F.coalesce("lemma", "word").alias("w")))), lambda t: t["w"]
+            ),
+            " ",
+        ).alias("text")
+    )
+    wide = joined.groupBy("__row").agg(
+        *[F.max(F.when(F.col("column") == i, F.col("text"))).alias(f"__text{i}") for i in range(len(columns))]
+    )
+    new = {c: F.when(F.col(f"`{c}`").isNotNull(), F.coalesce(f"__text{i}", F.lit(""))) for i, c in enumerate(columns)}
+    return rows.join(wide, "__row", "left").select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
 def lemma_table(words_df: DataFrame, vocab: DataFrame, exceptions: DataFrame = None) -> DataFrame:
@@ -97,21 +66,3 @@ def lemma_table(words_df: DataFrame, vocab: DataFrame, exceptions: DataFrame = N
     known = tried.join(vocab.select(F.col("word").alias("form")).distinct(), "form")
     best = known.groupBy("word").agg(F.min_by("form", F.struct(F.length("form"), "turn")).alias("lemma"))
     return best.filter("lemma <> word")
-
-
-def _lemmatise_joined(df, column, vocab, exceptions, key):
-    tokens = df.select(key, F.posexplode(words(f"`{column}`")).alias("pos", "word"))
-    changed = lemma_table(tokens, vocab, exceptions)
-    used = lookup_join(tokens, changed, "word", key)
-    texts = used.groupBy(key).agg(
-        F.array_join(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("pos", F.coalesce("lemma", "word").alias("w")))),
-                lambda t: t["w"],
-            ),
-            " ",
-        ).alias("__text")
-    )
-    joined = df.join(texts, key, "left")
-    text = F.when(F.col(f"`{column}`").isNotNull(), F.coalesce("__text", F.lit("")))
-    return joined.withColumn(column, text).drop("__text").select(df.columns)

@@ -8,7 +8,7 @@ Every request keeps its row; a miss gives the default. `store` is a vector table
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,19 +41,20 @@ def default_embedder(column="text"):
     return run
 
 
-def nearest(requests: DataFrame, store: DataFrame, k=1, metric="l2", where=None, embedder=None) -> DataFrame:
+def nearest(requests: DataFrame, store: DataFrame, k=1, metric="l2", where=None, embedder=None, index=None) -> DataFrame:
     """(qid, rank, ebook_no, distance) of the k nearest books of each request.
 
-    A request table that has an `embedding` already is taken as it is.
+    A request table that has an `embedding` already is taken as it is. `index`, written by
+    `build_cells` for the store, is searched in its place; all lookups hand theirs on.
     """
     if "embedding" not in requests.columns:
         requests = (embedder or default_embedder())(requests.withColumn("text", X.norm_query("text")))
-    return knn(requests, store, k, metric, where)
+    return knn(requests, store, k, metric, where, index=index)
 
 
-def _looked_up(requests, store, value, embedder, where=None):
+def _looked_up(requests, store, value, embedder, index=None):
     """(qid, found value) of the nearest book; the value is worked out for the hit books only."""
-    hits = materialise(nearest(requests, store, 1, where=where, embedder=embedder), "hits")
+    hits = materialise(nearest(requests, store, 1, embedder=embedder, index=index), "hits")
     wanted = store.join(hits.select("ebook_no").distinct(), "ebook_no", "left_semi")
     values = wanted.select("ebook_no", value.alias("value"))
     return lookup_join(hits, values, "ebook_no", "qid").select("qid", "value")
@@ -75,35 +76,35 @@ def _scalar(df, column):
     return F.try_element_at(c, F.lit(1)) if isinstance(field.dataType, T.ArrayType) else c
 
 
-def author_by_title(requests, store, default=NO_AUTHOR, embedder=None) -> DataFrame:
+def author_by_title(requests, store, default=NO_AUTHOR, embedder=None, index=None) -> DataFrame:
     """Author of the nearest book."""
-    found = _looked_up(requests, store, F.col("meta.author"), embedder)
+    found = _looked_up(requests, store, F.col("meta.author"), embedder, index)
     return _answered(requests, found, F.lit(default))
 
 
-def subject_by_title(requests, store, default=NO_SUBJECT, embedder=None) -> DataFrame:
+def subject_by_title(requests, store, default=NO_SUBJECT, embedder=None, index=None) -> DataFrame:
     """Subject of the nearest book; the first one when there are several."""
-    found = _looked_up(requests, store, _scalar(store, "meta.subject"), embedder)
+    found = _looked_up(requests, store, _scalar(store, "meta.subject"), embedder, index)
     return _answered(requests, found, F.lit(default))
 
 
-def characters_by_title(requests, store, summary="text", stop=None, rule="spans", default=NO_CHARACTERS, embedder=None) -> DataFrame:
+def characters_by_title(requests, store, summary="text", stop=None, rule="spans", default=NO_CHARACTERS, embedder=None, index=None) -> DataFrame:
     """Names in the summary of the nearest book, as a list; `rule` is `spans` or `title_case`.
 
     `summary` should be text in its own case: the rules look for capitals.
     """
     names = X.name_spans(summary, stop or X.STOP_WORDS) if rule == "spans" else X.title_case_tokens(summary)
-    found = _looked_up(requests, store, F.when(F.size(names) > 0, names), embedder)
+    found = _looked_up(requests, store, F.when(F.size(names) > 0, names), embedder, index)
     return _answered(requests, found, F.array(F.lit(default)))
 
 
-def text_by_title(requests, store, texts: DataFrame, lines=50, default=NO_TEXT, embedder=None) -> DataFrame:
+def text_by_title(requests, store, texts: DataFrame, lines=50, default=NO_TEXT, embedder=None, index=None) -> DataFrame:
     """The first `lines` lines of the nearest book's text, or all of it when None.
 
     texts(ebook_no, text). A request without a near book gets the default; a book without a
     text gives null, as a failed fetch would.
     """
-    hits = materialise(nearest(requests, store, 1, embedder=embedder), "hits")
+    hits = materialise(nearest(requests, store, 1, embedder=embedder, index=index), "hits")
     wanted = texts.join(hits.select("ebook_no").distinct(), "ebook_no", "left_semi")
     heads = wanted.select("ebook_no", X.first_lines("text", lines).alias("value"))
     found = lookup_join(hits, heads, "ebook_no", "qid").select("qid", "value", F.lit(True).alias("hit"))
@@ -115,18 +116,19 @@ def text_by_title(requests, store, texts: DataFrame, lines=50, default=NO_TEXT,
     )
 
 
-def books_by_author(requests, store, k=5, mode="nearest", default=NO_TITLE, embedder=None) -> DataFrame:
+def books_by_author(requests, store, k=5, mode="nearest", default=NO_TITLE, embedder=None, index=None) -> DataFrame:
     """Titles for an author request, as a list; empty when there are none.
 
-    `nearest`: titles of the k nearest summaries in rank order. `exact`: the first k titles, in
-    key order, of the author that equals the request but for case.
+    `nearest`: titles of the k nearest summaries in rank order, as a list in one row. `exact`: all
+    titles of the author that equals the request but for case, a row for each; a request
+    without any has one row, not found.
     """
     none = F.array().cast("array<string>")
     titles_of = F.coalesce(F.transform("t", lambda x: F.coalesce(x["title"], F.lit(default))), none)
     answer = ["qid", titles_of.alias("answer"), F.col("t").isNotNull().alias("found")]
     if mode == "exact":
-        return _books_of_author(requests, store, k).select(*answer)
-    hits = materialise(nearest(requests, store, k, embedder=embedder), "hits")
+        return _books_of_author(requests, store, default)
+    hits = materialise(nearest(requests, store, k, embedder=embedder, index=index), "hits")
     titles = store.join(hits.select("ebook_no").distinct(), "ebook_no", "left_semi").select(
         "ebook_no", "meta.title"
     )
@@ -136,21 +138,16 @@ def books_by_author(requests, store, k=5, mode="nearest", default=NO_TITLE, embe
     return requests.select("qid").join(lists, "qid", "left").select(*answer)
 
 
-def _books_of_author(requests, store, k):
-    """(qid, titles): the first k books of the author in key order.
-
-    The cut to k per author is made before the shuffle and again after it, so an author of any
-    number of books costs k rows per task.
-    """
-    first = Window.partitionBy("author").orderBy("ebook_no")
-    books = (
-        store.select(F.lower("meta.author").alias("author"), "ebook_no", F.col("meta.title").alias("title"))
-        .withColumn("rank", F.row_number().over(first))
-        .filter(F.col("rank") <= k)
+def _books_of_author(requests, store, default):
+    """A row for each request and book of its author."""
+    books = store.select(
+        F.lower("meta.author").alias("author"), "ebook_no", F.coalesce("meta.title", F.lit(default)).alias("title")
+    )
+    asked = requests.select("qid", X.norm_query("text").alias("author"))
+    met = asked.join(books, "author", "left")
+    return met.select(
+        "qid", "ebook_no", F.coalesce("title", F.lit(default)).alias("answer"), F.col("ebook_no").isNotNull().alias("found")
     )
-    lists = books.groupBy("author").agg(F.sort_array(F.collect_list(F.struct("rank", "title"))).alias("t"))
-    r = requests.select("qid", X.norm_query("text").alias("author"))
-    return lookup_join(r, lists, "author", "qid").select("qid", "t")
 
 
 # --- pattern lookup --------------------------------------------------------------------------
@@ -284,13 +281,13 @@ def match_value(requests, books, column, default, literal=True) -> DataFrame:
     return _answered(requests, found, F.lit(default))
 
 
-def lookup_with_fallback(requests, store, books, column, default, max_distance=None, where=None, embedder=None) -> DataFrame:
+def lookup_with_fallback(requests, store, books, column, default, max_distance=None, where=None, embedder=None, index=None) -> DataFrame:
     """`column` of the nearest book; of the first title match when the search gives nothing; else the default.
 
     The search gives nothing for a request without words, when `where` leaves no book, or when
     the nearest one is farther than `max_distance`.
     """
-    hits = nearest(requests, store, 1, where=where, embedder=embedder)
+    hits = nearest(requests, store, 1, where=where, embedder=embedder, index=index)
     if max_distance is not None:
         hits = hits.filter(F.col("distance") <= max_distance)
     hits = materialise(hits, "hits")

@@ -4,6 +4,7 @@ import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,7 @@ def ship(spark):
 
 _local_scratch = None
 _shipped = set()
-_made = None
+_made = ContextVar("scratch folders of the innermost scope", default=None)
 
 
 def scratch_path(spark, name):
@@ -60,8 +61,9 @@ def scratch_path(spark, name):
         _local_scratch = _local_scratch or tempfile.mkdtemp(prefix="bookbase-")
         base = _local_scratch
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _made is not None:
-        _made.append(path)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
@@ -69,17 +71,18 @@ def scratch_path(spark, name):
 def scratch_scope(spark):
     """Delete the scratch folders made inside the block when it ends.
 
-    For jobs that repeat, such as micro-batches: nothing may read a result lazily afterwards.
+    For jobs that repeat, such as micro-batches: nothing may read a result lazily afterwards. Scopes
+    that overlap in different threads keep their folders apart.
     """
-    global _made
-    outer, _made = _made, []
+    made = []
+    token = _made.set(made)
     try:
         yield
     finally:
-        for path in _made:
+        _made.reset(token)
+        for path in made:
             jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
             jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
-        _made = outer
 
 
 def materialise(df: DataFrame, name="step") -> DataFrame:
@@ -93,14 +96,43 @@ def materialise(df: DataFrame, name="step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def has_data(spark, path):
+    """True when the folder `path` holds files other than markers, whether or not a writer marked it done."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(jvm_path):
+        return False
+    return any(not f.getPath().getName().startswith(("_", ".")) for f in system.listStatus(jvm_path))
+
+
+def half_written(spark, path):
+    """True when a writer left its unfinished files in the folder `path`."""
+    return path_exists(spark, f"{path}/_temporary")
+
+
+def publish(df: DataFrame, path):
+    """Write `df` beside `path` and move it there whole, so that `path` never holds part of it."""
+    spark = df.sparkSession
+    side = f"{path.rstrip('/')}.building-{uuid.uuid4().hex}"
+    df.write.parquet(side)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(target) and not has_data(spark, path):
+        system.delete(target, True)
+    if system.exists(target) or not system.rename(hadoop(side), target):
+        raise FileExistsError(f"{path} was made meanwhile; the new table is at {side}")
+
+
 def spread_few_files(df: DataFrame, key) -> DataFrame:
-    """Deal the rows of a scan over all cores when it has fewer files than there are cores.
+    """Deal the rows of a small scan over all cores.
 
-    For row-wise text work on a handful of files; a scan of many files is left as it is, so
-    nothing is shuffled at scale.
+    For row-wise work on a handful of small files: only a scan of fewer partitions than there are
+    cores is dealt out, and Spark makes a partition of every few megabytes, so a scan that
+    is dealt out is small.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def path_exists(spark, path):

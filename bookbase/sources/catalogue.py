@@ -60,8 +60,8 @@ def with_file_position(df: DataFrame, out="pos") -> DataFrame:
     )
 
 
-def read_raw_catalogue(spark, path, n_rows=5000, fields=CLEAN_FIELDS) -> DataFrame:
-    """The named fields of the first `n_rows` rows (all when None) with their file order `pos`.
+def read_raw_catalogue(spark, path, n_rows=None, fields=CLEAN_FIELDS) -> DataFrame:
+    """The named fields of the first `n_rows` rows (all by default) with their file order `pos`.
 
     Quoted line breaks and delimiters are kept, a byte-order mark is tolerated. The cap is a
     filter on `pos`: no sort and no single-task limit.

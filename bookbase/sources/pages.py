@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 PAGE_URL = "https://www.gutenberg.org/ebooks/%d"
 
 
-def page_ids(spark, n=5000, template=PAGE_URL) -> DataFrame:
+def page_ids(spark, n, template=PAGE_URL) -> DataFrame:
     """Ids 0 .. n-1 with the address of each page."""
     return spark.range(n).select(
         F.col("id").alias("page_id"), F.format_string(template, F.col("id")).alias("url")

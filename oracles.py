@@ -117,8 +117,7 @@ hits AS (SELECT qn.id AS qid, cn.id AS ebook_no, round(greatest({distance}, 0),
 
 QC = f"""{QUESTIONS}, {BOOKS}, {embedded('q', 'SELECT qid AS id, text FROM questions')},
 {embedded('c', 'SELECT doc_id AS id, text FROM documents')}"""
-WORDS2 = f"""asks AS (SELECT conv_id * 100 + turn AS qid, array_to_string({words('text')}[1:2], ' ') AS text
-  FROM conversations WHERE role = 'user')"""
+ASKS = "asks AS (SELECT conv_id * 100 + turn AS qid, text FROM conversations WHERE role = 'user')"
 TITLE_CASE_LIST = f"list_filter({words('summary')}, lambda w: regexp_matches(w, {text(TITLE_CASE)}))"
 
 
@@ -144,11 +143,16 @@ FROM questions LEFT JOIN hits USING (qid) LEFT JOIN books USING (ebook_no)"""
 
 
 def text_by_title(lines):
-    value = "t.text" if lines is None else rf"array_to_string(string_split_regex(t.text, '\r\n|\r|\n')[1:{lines}], chr(10))"
+    pieces = r"string_split_regex(t.text, '\r\n|[\n-\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]')"
+    ended = f"len({pieces}) <= {lines} AND {pieces}[-1] = ''"
+    value = "t.text" if lines is None else (
+        f"array_to_string({pieces}[1:CASE WHEN {ended} THEN len({pieces}) - 1 ELSE {lines} END], chr(10))"
+    )
+    some = "documents" if lines is None else "(SELECT * FROM documents SEMI JOIN labels USING (doc_id))"
     return f"""WITH {QC}, {ranked(1)}
 SELECT qid, CASE WHEN hits.qid IS NULL THEN {text(L.NO_TEXT)} ELSE {value} END AS answer, t.text IS NOT NULL AS found
 FROM questions LEFT JOIN hits USING (qid)
-LEFT JOIN (SELECT * FROM documents SEMI JOIN labels USING (doc_id)) t ON t.doc_id = hits.ebook_no"""
+LEFT JOIN {some} t ON t.doc_id = hits.ebook_no"""
 
 
 def first_match(asks, books, value, default, test):
@@ -273,6 +277,13 @@ SELECT p.*, "EBook-No.", "Release Date" FROM (SELECT id AS page_id, {picks} FROM
 
     s["clean_catalogue"] = catalogue("raw", RAW)
     s["catalogue_job"] = catalogue("pagerows", f"pagerows AS ({s['page_fields']})")
+    s["catalogue_books"] = f"""SELECT try_cast(c."EBook-No." AS BIGINT) AS ebook_no, c."Title" AS title, c."Author" AS author,
+  c."Subject" AS subject, coalesce(d.text, c."Summary") AS summary, c.page_id AS pos
+FROM ({s['clean_catalogue']}) c JOIN documents d ON c.page_id = d.doc_id"""
+    s["catalogue_dropped"] = f"""SELECT count(*) AS books,
+  coalesce(sum(CASE WHEN text IS NULL OR {clean('text')} = '' THEN 1 ELSE 0 END), 0)::BIGINT AS dropped FROM documents"""
+    s["build_store_rows"] = f"""WITH {BOOKS} SELECT {BOOK_KEY} AS book_key, ebook_no, title, author, summary AS text
+FROM books WHERE {clean('summary')} <> ''"""
     # keys and chunks
     s["key_hash"] = f"WITH {CATALOGUE} SELECT ebook_no, {BOOK_KEY} AS book_key FROM catalogue"
     s["key_seq"] = """WITH free AS (SELECT i, row_number() OVER (ORDER BY i) AS n
@@ -309,12 +320,12 @@ SELECT vec_id AS ebook_no, round(sum((x - m) * (x - m)), 6) AS distance FROM x J
 SELECT qid, coalesce(string_agg(title, ' | ' ORDER BY rank), '') AS answer, count(hits.qid) > 0 AS found
 FROM questions LEFT JOIN hits USING (qid) LEFT JOIN books USING (ebook_no) GROUP BY qid"""
     s["lk_books_by_author_exact"] = f"""WITH {BOOKS}, {embedded('c', 'SELECT doc_id AS id, text FROM documents')},
-asks AS (SELECT doc_id AS qid, CASE WHEN doc_id % 5 = 0 THEN 'no ' || source ELSE upper(source) END AS text FROM documents),
-top AS (SELECT lower(author) AS author, title, row_number() OVER (PARTITION BY lower(author) ORDER BY ebook_no) AS rank
-  FROM books WHERE ebook_no IN (SELECT id FROM c) QUALIFY rank <= 5)
-SELECT qid, coalesce(string_agg(title, ' | ' ORDER BY rank), '') AS answer, count(author) > 0 AS found
-FROM asks LEFT JOIN top ON author = lower(text) GROUP BY qid"""
+asks AS (SELECT min(doc_id) AS qid, CASE WHEN min(doc_id) % 5 = 0 THEN 'no ' || source ELSE upper(source) END AS text
+  FROM documents GROUP BY source)
+SELECT qid, ebook_no, coalesce(title, {text(L.NO_TITLE)}) AS answer, ebook_no IS NOT NULL AS found
+FROM asks LEFT JOIN (SELECT * FROM books WHERE ebook_no IN (SELECT id FROM c)) b ON lower(author) = lower(text)"""
     s["lk_author"] = looked_up("author", text(L.NO_AUTHOR))
+    s["lk_author_indexed"] = s["lk_author"]
     s["lk_subject"] = looked_up("subject", text(L.NO_SUBJECT))
     s["lk_characters"] = looked_up(
         f"nullif(array_to_string({in_order(TITLE_CASE_LIST)}, ' | '), '')", text(L.NO_CHARACTERS)
@@ -332,7 +343,7 @@ SELECT qid, coalesce(nullif(array_to_string({in_order('names')}, ' | '), ''), {t
     WHEN 0 THEN upper(p_name) WHEN 1 THEN substring(p_name, 3, 7)
     WHEN 2 THEN substring(string_split(p_name, ' ')[-1], 1, 3) ELSE p_name || ' ' || p_type END AS text FROM part),
 """ + first_match("asks", "catalogue", "author", L.NO_AUTHOR, contains)
-    s["lk_contains_subject"] = f"WITH {BOOKS}, {WORDS2}, " + first_match("asks", "books", "subject", L.NO_SUBJECT, contains)
+    s["lk_contains_subject"] = f"WITH {BOOKS}, {ASKS}, " + first_match("asks", "books", "subject", L.NO_SUBJECT, contains)
     s["lk_regex_author"] = f"""WITH {CATALOGUE}, asks AS (SELECT p_partkey AS qid, CASE p_partkey % 3
     WHEN 0 THEN '^' || string_split(p_name, ' ')[1] || '.*' || string_split(p_name, ' ')[-1] || '$'
     WHEN 1 THEN '(' || upper(string_split(p_name, ' ')[-1]) || '|' || string_split(p_name, ' ')[1] || ')'
@@ -341,7 +352,7 @@ titles AS (SELECT title, arg_min(author, pos) AS author, min(pos) AS pos FROM ca
 patterns AS (SELECT DISTINCT text FROM asks),
 best AS (SELECT text, arg_min(author, pos) AS v FROM patterns JOIN titles ON regexp_matches(title, text, 'i') GROUP BY text)
 SELECT qid, coalesce(v, {text(L.NO_AUTHOR)}) AS answer, v IS NOT NULL AS found FROM asks LEFT JOIN best USING (text)"""
-    s["lk_fallback"] = f"""WITH {BOOKS}, {WORDS2}, {embedded('q', 'SELECT qid AS id, text FROM asks')},
+    s["lk_fallback"] = f"""WITH {BOOKS}, {ASKS}, {embedded('q', 'SELECT qid AS id, text FROM asks')},
 {embedded('c', 'SELECT doc_id AS id, text FROM documents')}, {ranked(1)},
 near AS (SELECT qid, subject FROM hits JOIN books USING (ebook_no) WHERE distance <= 0.7),
 matched AS (SELECT a.qid, arg_min(b.subject, b.pos) AS subject FROM asks a JOIN books b ON {contains}

@@ -85,22 +85,22 @@ def word_lists(spark):
     return vocab, spark.createDataFrame([("mice", "mouse")], "word string, lemma string")
 
 
-def test_lemma_both_ways(spark):
+def test_lemma(spark):
     vocab, irregular = word_lists(spark)
     rows = [(i, f"{w}  {w} z") for i, w in enumerate(CASES)] + [(98, ""), (99, None)]
     df = spark.createDataFrame(rows, "id int, t string")
     want = [f"{x} {x} z" for x in CASES.values()] + ["", None]
-    for got in (M.lemmatise(df, ["t"], vocab, irregular), M._lemmatise_joined(df, "t", vocab, irregular, "id")):
-        assert [r["t"] for r in got.orderBy("id").collect()] == want
+    got = M.lemmatise(df, ["t"], vocab, irregular)
+    assert [r["t"] for r in got.orderBy("id").collect()] == want
 
 
-def test_large_word_list_needs_a_key(spark, monkeypatch):
+def test_lemma_with_a_large_word_list_and_odd_names(spark):
     vocab, _ = word_lists(spark)
-    df = spark.createDataFrame([(1, "whales")], "id int, t string")
-    monkeypatch.setattr(M, "MAX_WORDS", 3)
-    with pytest.raises(ValueError):
-        M.lemmatise(df, ["t"], vocab)
-    assert M.lemmatise(df, ["t"], vocab, key="id").first()["t"] == "whale"
+    many = vocab.union(spark.range(600_000).selectExpr("concat('w', id) AS word"))
+    df = spark.createDataFrame([("whales w17s", "boxes")] * 3, "`EBook-No.` string, `b c` string")
+    for words in (vocab, many):
+        got = M.lemmatise(df, ["EBook-No.", "b c"], words).collect()
+        assert [tuple(r) for r in got] == [("whale w17" if words is many else "whale w17s", "box")] * 3
 
 
 def test_clean_catalogue(spark):

@@ -13,16 +13,16 @@ def table(spark, rows):
     return spark.createDataFrame(rows, "title string, author string, ebook_no bigint, pos bigint")
 
 
-def named_in_order(bases):
-    seen, names = set(), []
-    for base in bases:
-        name, n = base, 0
-        while name in seen:
-            n += 1
-            name = f"{base}_{n}"
-        seen.add(name)
-        names.append(name)
-    return names
+def check_names(bases, names):
+    """Keys are unique; each is its base, or the base with the least number free when its turn came."""
+    assert len(set(names)) == len(bases)
+    turn = {name: i for i, name in enumerate(names)}
+    for i, (base, name) in enumerate(zip(bases, names)):
+        if name != base:
+            number = int(name.removeprefix(f"{base}_"))
+            assert number >= 1 and name == f"{base}_{number}"
+            passed_over = [base, *(f"{base}_{n}" for n in range(1, number))]
+            assert all(turn.get(p, i) < i for p in passed_over)
 
 
 def test_running_number_with_a_hot_key(spark):
@@ -57,7 +57,7 @@ def test_seq_key_skips_used(spark):
 def test_name_key_collisions(spark, bases):
     df = spark.createDataFrame([(b, i) for i, b in enumerate(bases)], "title string, pos bigint")
     got = K.with_name_key(df, ["title"]).orderBy("pos").collect()
-    assert [r["book_key"] for r in got] == named_in_order(bases)
+    check_names(bases, [r["book_key"] for r in got])
 
 
 def test_name_key_many(spark):
@@ -65,7 +65,7 @@ def test_name_key_many(spark):
     bases = [rng.choice(["a", "a", "b", "a_1", "a_2", "a_1_1", "b_3", "c_1", "a_4_2"]) for _ in range(300)]
     df = spark.createDataFrame([(b, i) for i, b in enumerate(bases)], "title string, pos bigint")
     got = K.with_name_key(df, ["title"]).orderBy("pos").collect()
-    assert [r["book_key"] for r in got] == named_in_order(bases)
+    check_names(bases, [r["book_key"] for r in got])
 
 
 def test_keys_and_batches(spark):

@@ -54,8 +54,10 @@ def test_text_of_nearest(spark, store):
 
 def test_books_of_author(spark, store):
     r = requests(spark, "AUSTEN", "nobody", "")
-    exact = L.books_by_author(r, store, mode="exact").orderBy("qid").collect()
-    assert [x["answer"] for x in exact] == [["Emma (a novel)", "Persuasion"], [], []]
+    exact = L.books_by_author(r, store, mode="exact").orderBy("qid", "ebook_no").collect()
+    assert [(x["qid"], x["answer"], x["found"]) for x in exact] == [
+        (0, "Emma (a novel)", True), (0, "Persuasion", True), (1, L.NO_TITLE, False), (2, L.NO_TITLE, False)
+    ]
     near = L.books_by_author(requests(spark, "captain ahab hunts the white", ""), store, k=2).orderBy("qid").collect()
     assert near[0]["answer"][0] == "Moby Dick" and len(near[0]["answer"]) == 2 and near[1]["answer"] == []
 

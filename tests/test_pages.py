@@ -49,4 +49,8 @@ def test_no_shuffle(pages):
 
 
 def test_unescape(one):
+    assert one(lambda c: H.unescape(c), "&#38;lt;b &#38;#x41; &amp;amp;", "&times;&deg;&Aacute;&NotEqualTilde;", "&#150;&#55296;&#0;&#x80;&#129;",
+               "& &; &#; &#x; a&b &#9999999999;") == [
+        "&lt;b &#x41; &amp;", "×°Á≂̸", "–\ufffd\ufffd€\x81", "& &; &#; &#x; a&b \ufffd",
+    ]
     assert one(lambda c: H.unescape(c), "a &nope; &quot;x&#39;&amp;amp;", "plain") == ["a &nope; \"x'&amp;", "plain"]

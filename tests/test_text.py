@@ -8,13 +8,6 @@ from pyspark.sql import functions as F
 from bookbase.functions import text as X
 
 
-def plain_clean(text):
-    import re
-
-    text = re.sub(r"[`“”():;,\n\r]+", " ", text)
-    return " ".join(text.replace("''", " ").split()).lower()
-
-
 def test_strip_dates(one):
     texts = ["Dickens, Charles, 1812-1870", "Éa – b?", "x²y 12", "1999"]
     assert one(X.strip_dates, *texts) == ["Dickens, Charles,", "Éa b", "xy", ""]
@@ -40,14 +33,21 @@ def test_blanks_are_pythons(spark):
 
 def test_clean_text(one):
     texts = ["A ``quoted'' \r\n\t ÉTÉ; (x)", "'''", "it's", "  ", "“a”: b, c"]
-    assert one(X.clean_text, *texts) == [plain_clean(t) for t in texts]
+    want = ["a quoted été x", "'", "it's", "", "a b c"]
+    assert one(X.clean_text, *texts) == want
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet="aÉ `“”():;,'\n\r\t\xa0 .?-–1²", max_size=30), min_size=2, max_size=20))
 def test_clean_text_any(one, texts):
-    assert one(X.clean_text, *texts) == [plain_clean(t) for t in texts]
-    assert one(X.has_words, *texts) == [plain_clean(t) != "" for t in texts]
+    made = one(X.clean_text, *texts)
+    for text, clean in zip(texts, made):
+        assert not set(clean) & set("`“”():;,\n\r\t\xa0") and "''" not in clean
+        assert clean == clean.lower() and clean == " ".join(clean.split(" ")).strip() and "  " not in clean
+        letters = lambda t: [c for c in t.lower() if c.isalnum()]
+        assert letters(clean) == letters(text)
+    assert one(X.clean_text, *made) == made or any("''" in t for t in texts)
+    assert one(X.has_words, *texts) == [c != "" for c in made]
     assert one(X.words, *texts) == [t.split() for t in texts]
     assert one(X.title_case_tokens, *texts) == [list(dict.fromkeys(w for w in t.split() if w.istitle())) for t in texts]
 
@@ -77,6 +77,13 @@ def test_name_spans(one):
     assert one(lambda c: X.name_spans(c, X.STOP_WORDS), "", "no names here") == [[], []]
 
 
-@pytest.mark.parametrize("n,want", [(2, "a\nb"), (50, "a\nb\nc\n"), (None, "a\r\nb\rc\n")])
+@pytest.mark.parametrize("n,want", [(2, "a\nb"), (3, "a\nb\nc"), (50, "a\nb\nc"), (None, "a\r\nb\rc\n")])
 def test_first_lines(one, n, want):
     assert one(lambda c: X.first_lines(c, n), "a\r\nb\rc\n") == want
+
+
+@given(st.text(alphabet="ab\n\r\v\f\x1c\x1d\x1e\x85\u2028\u2029 ", max_size=12))
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_first_lines_are_pythons(one, text):
+    for n in (1, 2, 50):
+        assert one(lambda c: X.first_lines(c, n), text) == "\n".join(text.splitlines()[:n])
