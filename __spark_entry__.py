@@ -221,7 +221,12 @@ def key_hash(spark, d):
 
 
 def key_uuid(spark, d):
-    return materialise(keys.with_uuid(B.catalogue(spark, d)).select("ebook_no", "book_key"), "uuid")
+    made = materialise(keys.with_uuid(B.catalogue(spark, d)).select("ebook_no", "book_key"), "uuid")
+    form = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    return made.agg(
+        F.count("ebook_no").alias("keyed"), F.countDistinct("book_key").alias("different"),
+        F.count(F.when(~F.col("book_key").rlike(form), 1)).alias("malformed"),
+    )
 
 
 def key_seq(spark, d):
@@ -313,7 +318,8 @@ def knn_filtered(spark, d):
 
 def knn_approx(spark, d):
     q, c = _self(spark, d)
-    index = knn.build_cells(c, scratch_path(spark, "cells"), cells=16)
+    given = c.filter("ebook_no < 16").orderBy("ebook_no").collect()  # 16 vectors
+    index = knn.build_cells(c, scratch_path(spark, "cells"), centres=[r["embedding"] for r in given])
     return knn.knn_approx(q, index, 5, probe=8).withColumnRenamed("cid", "ebook_no")
 
 
@@ -345,6 +351,10 @@ def lk_author(spark, d):
     return L.author_by_title(_requests(spark, d), _store(spark, d))
 
 
+def lk_author_on_title(spark, d):
+    return L.author_by_title(_requests(spark, d), book_vectors(B.books(spark, d), on="title"))
+
+
 def lk_author_indexed(spark, d):
     store, index = _built(spark, d)
     return L.author_by_title(_requests(spark, d), store, index=index)
@@ -464,7 +474,7 @@ _QUERIES = [
     text_to_fields, vec_load_or_create, vec_append_new, vec_count, vec_peek, page_pairs, page_fields,
     page_fields_multi, page_head, clean_fill, clean_author, clean_text, clean_stopwords, clean_lemma,
     clean_lemma_joined, clean_keywords, clean_catalogue, catalogue_job, catalogue_books, catalogue_dropped,
-    build_store_rows, lk_author_indexed, key_hash, key_uuid, key_seq, key_name,
+    build_store_rows, lk_author_indexed, lk_author_on_title, key_hash, key_uuid, key_seq, key_name,
     batch_no, meta_struct, chunk_fixed, chunk_recursive, embed_hash, embed_idf, embed_norm, embed_questions,
     embed_model, knn_filtered, knn_approx, knn_rank_all, knn_sparse, lk_books_by_author,
     lk_books_by_author_exact, lk_author, lk_subject, lk_characters, lk_character_spans, lk_text_head, lk_text_full,

@@ -124,7 +124,7 @@ def _centres(c, n, cells, metric, top, seed):
 
 
 def build_cells(
-    corpus: DataFrame, path, cells=None, metric="l2", cid="ebook_no", vector="embedding", seed=7
+    corpus: DataFrame, path, cells=None, metric="l2", cid="ebook_no", vector="embedding", seed=7, centres=None
 ) -> str:
     """Write the corpus split into cells around centres, and the cells themselves; give back `path`.
 
@@ -133,7 +133,9 @@ def build_cells(
     into blocks of about BLOCK rows, so a cell with a third of all rows is a third of all blocks.
     Without `cells` there are as many as the root of the number of vectors, up to MAX_CELLS, whose
     centres every task holds; asking for more is an error. A corpus without vectors has no cell.
+    `centres`, a list of vectors, takes the place of those that k-means finds.
     """
+    cells = len(centres) if centres is not None else cells
     if cells is not None and not 1 <= cells <= MAX_CELLS:
         raise ValueError(f"cells goes from 1 to {MAX_CELLS}")
     spark = corpus.sparkSession
@@ -150,7 +152,10 @@ def build_cells(
     if metric == "dot":
         square = F.aggregate("cv", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
         top = float(c.agg(F.sqrt(F.max(square))).first()[0])
-    centres = _centres(c, n, cells, metric, top, seed)
+    if centres is None:
+        centres = _centres(c, n, cells, metric, top, seed)
+    else:
+        centres = D.metric_space(np.array(centres, np.float64), metric, "corpus", top)
     shared = spark.sparkContext.broadcast(centres)
 
     def assign(batches):

@@ -15,15 +15,15 @@ from bookbase.sources.vectors import load_or_create
 RAW_SUMMARY = "Raw Summary"
 
 
-def book_vectors(books: DataFrame, embedder=None) -> DataFrame:
-    """The vector table of a book table; a book whose text has no word gets no row.
+def book_vectors(books: DataFrame, embedder=None, on="summary") -> DataFrame:
+    """The vector table of a book table; a book whose `on` column has no word gets no row.
 
     `text` is the summary in its own case, so names can still be found in it; the vector is
-    made of the cleaned text.
+    made of the cleaned `on` column, the summary or the title.
     """
-    keyed = with_meta(with_hash_key(books.filter(X.has_words("summary")))).withColumn("text", F.col("summary"))
+    keyed = with_meta(with_hash_key(books.filter(X.has_words(on)))).withColumn("text", F.col("summary"))
     if embedder is None:
-        made = embed(keyed.withColumn("__clean", X.clean_text("summary")), "__clean").drop("__clean")
+        made = embed(keyed.withColumn("__clean", X.clean_text(on)), "__clean").drop("__clean")
     else:
         made = embedder(keyed)
     return made.select("book_key", "ebook_no", "text", "meta", "embedding")

