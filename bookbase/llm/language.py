@@ -150,7 +150,7 @@ def fit(docs: DataFrame, sample=SAMPLE) -> Model:
             })
 
     texts = fine.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])  # sample rows a language
-    rows = texts.mapInPandas(run, "lang string, at binary, share binary").toPandas()
+    rows = texts.mapInPandas(run, "lang string, at binary, share binary").toArrow().to_pandas()
     languages = sorted(rows["lang"].unique())
     if not languages:
         return Model(np.zeros((BUCKETS, 1), np.float32), np.zeros(1, np.float32), [UNKNOWN])

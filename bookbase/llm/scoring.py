@@ -25,8 +25,8 @@ START, END = 0, 1
 SINGLE, GROUPS = 94, 32
 CLASSES = 2 + SINGLE + GROUPS
 
-#: Words whose counts go to every task (a dozen MB at most); others meet theirs in a join.
-FREQUENT = 1 << 18
+#: Words whose counts go to every task (some MB); others meet theirs in a join.
+FREQUENT = 1 << 17
 
 SMOOTH = 0.1
 
@@ -198,7 +198,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     ends = docs.filter(_learned()).count()
     top = counted.filter(_octave() >= _least_octave(counted))
     spelled = made.filter("word IS NOT NULL").groupBy("h").agg(F.first("word").alias("word"))
-    named = top.join(spelled, "h").toPandas().sort_values(["n", "h"], ascending=[False, True])  # FREQUENT rows at most
+    named = top.join(spelled, "h").toArrow().to_pandas().sort_values(["n", "h"], ascending=[False, True])  # FREQUENT rows at most
     frequent = Frequent([bytes(w) for w in named["word"]], named["n"].to_numpy(np.int64), named["g"].to_numpy(np.int64))
     sent = spark.sparkContext.broadcast(frequent)
 
@@ -213,7 +213,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     all_tokens = int(sum(r["n"] for r in totals)) + ends
     all_kinds = int(sum(r["v"] for r in totals)) + (1 if ends else 0)
 
-    triples = _triples(docs, sent).toPandas().sort_values("t")  # CLASSES³ rows at most
+    triples = _triples(docs, sent).toArrow().to_pandas().sort_values("t")  # CLASSES³ rows at most
     table = train(triples["t"].to_numpy(np.int64), triples["n"].to_numpy(np.int64))
     inside = np.log10(size + SMOOTH * (kinds + 1))  # of a group; a class of its own has one word
     model = spark.sparkContext.broadcast((table, inside))

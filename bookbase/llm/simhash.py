@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from bookbase.llm.common import components, small_batches, words_of
 from bookbase.session import materialise
 
-#: Pairs compared at once inside a leaf.
-CHUNK = 2_000_000
+#: Pairs compared at once inside a leaf, and rows of whole leaves taken at once.
+CHUNK, ROWS = 250_000, 50_000
 
 #: Vantage point of every tree, one 64-bit word for each word of the fingerprint (any value does).
 VANTAGE = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5]
@@ -181,18 +181,22 @@ def links(points: DataFrame, words, parts, levels, radius, limit, more=False) ->
         return low[keep], high[keep], d[keep]
 
     def run(batches):
-        held = None
+        parts, rows, enough = [], 0, ROWS
         for pdf in itertools.chain(batches, [None]):
             if pdf is not None:
-                held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-                last = np.searchsorted(held["leaf"].to_numpy(), held["leaf"].iat[-1]) if len(held) else 0
-                if not last:
+                parts.append(pdf)
+                rows += len(pdf)
+                if rows < enough:
                     continue
-                ready, held = held.iloc[:last], held.iloc[last:].reset_index(drop=True)
-            elif held is None or not len(held):
+            if not rows:
                 return
-            else:
-                ready = held
+            ready, parts, rows = pd.concat(parts, ignore_index=True), [], 0
+            if pdf is not None:  # the last leaf may go on
+                last = int(np.searchsorted(ready["leaf"].to_numpy(), ready["leaf"].iat[-1]))
+                ready, rest = ready.iloc[:last], ready.iloc[last:]
+                parts, rows, enough = [rest], len(rest), max(ROWS, 2 * len(rest))
+                if not last:
+                    continue
             a, b, _ = search(
                 ready["leaf"].to_numpy(), ready["home"].to_numpy().astype(bool), ready["id"].to_numpy(),
                 [ready[w].to_numpy().view(np.uint64) for w in words],

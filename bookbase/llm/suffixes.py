@@ -115,6 +115,7 @@ def repeats(docs: DataFrame, length=LENGTH, gram=GRAM) -> DataFrame:
     groups = kept.filter("key IS NOT NULL").groupBy("same").agg(
         F.min("id").alias("first"), F.max("id").alias("last")
     )
+    groups = materialise(groups, "groups")
     shared = kept.filter("key IS NOT NULL").groupBy("key").agg(F.min("same").alias("low"), F.max("same").alias("high"))
     # Written tables on both sides of a join let Spark split a hot key of it.
     shared = materialise(shared.filter("low <> high").select("key"), "shared")

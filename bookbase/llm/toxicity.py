@@ -29,12 +29,15 @@ from bookbase.llm.common import small_batches, some_by_hash
 ORDER, SPAN, DECAY = 4, 7, 0.6
 
 #: Rows of each label that are used at most.
-SAMPLE = 3000
+SAMPLE = 2000
 
 THRESHOLD = 0.7
 
 #: Word scores that a worker keeps at most.
-CACHE = 300_000
+CACHE = 150_000
+
+#: Words whose subsequences are held at once.
+BLOCK = 4000
 
 #: Letters written apart.
 APART = re.compile(rb"(?<![^\s])(?:[a-z][\s.*_-]{1,2}){3,}[a-z](?![^\s.,;:!?])")
@@ -101,8 +104,12 @@ class Machine:
 
     def words(self, words):
         """Decision values of words (bytes); words of fewer than ORDER letters get the offset."""
-        rows, code, weight = subsequences([letters(w) for w in words])
-        return np.bincount(rows, self.table[code] * weight, len(words)) + self.offset
+        out = np.full(len(words), self.offset, float)
+        for i in range(0, len(words), BLOCK):
+            part = words[i:i + BLOCK]
+            rows, code, weight = subsequences([letters(w) for w in part])
+            out[i:i + BLOCK] += np.bincount(rows, self.table[code] * weight, len(part))
+        return out
 
     def texts(self, texts):
         """Highest decision value of each text's words, and the mean of the next two; -2 for missing words."""
@@ -110,8 +117,7 @@ class Machine:
         if len(self.known) > CACHE:
             self.known = {}
         new = list(set().union(*sets).difference(self.known)) if sets else []
-        for i in range(0, len(new), 20_000):
-            self.known.update(zip(new[i:i + 20_000], self.words(new[i:i + 20_000]).tolist()))
+        self.known.update(zip(new, self.words(new).tolist()))
         top = [heapq.nlargest(3, map(self.known.__getitem__, s)) + [-2.0] * 3 for s in sets]
         return np.array([(t[0], (t[1] + t[2]) / 2) for t in top]).reshape(-1, 2)
 
@@ -136,8 +142,8 @@ def _columns(words):
 def _kernels(words, dense, place):
     """Kernels of words with the landmarks."""
     out = np.zeros((len(words), dense.shape[1]))
-    for i in range(0, len(words), 500):
-        rows, code, weight = subsequences([letters(w) for w in words[i:i + 500]])
+    for i in range(0, len(words), 100):
+        rows, code, weight = subsequences([letters(w) for w in words[i:i + 100]])
         at = place[code]
         keep = np.flatnonzero(at)
         keep = keep[np.argsort(rows[keep], kind="stable")]
@@ -249,7 +255,7 @@ def train(sets, labels, landmarks=256, rounds=4, seed=0):
         table = np.zeros(32**ORDER, np.float32)
         table[used] = dense[1:] @ (white @ w)
         machine = Machine(table, offset, np.zeros(2), 0.0)
-        score = np.concatenate([machine.words(negative[i:i + 20_000]) for i in range(0, len(negative), 20_000)])
+        score = machine.words(negative)
         hard = sorted(set(hard).union(negative[i] for i in np.argsort(-score)[:500]))
     shown = [b"\n".join(t).decode("utf-8", "replace") for t in toxic[:1500] + clean[:1500]]
     y = np.r_[np.ones(len(toxic[:1500])), np.zeros(len(clean[:1500]))]
@@ -290,8 +296,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample=SAMPLE) -> Machine:
 
     small_batches(docs.sparkSession)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # 2 * sample rows
-    rows = texts.mapInPandas(run, "toxic int, words binary").toPandas()
-    return train([set(bytes(w).split(b"\n")) - {b""} for w in rows["words"]], rows["toxic"].tolist())
+    rows = texts.mapInPandas(run, "toxic int, words binary").toArrow().to_pandas()
+    one = {}  # the texts share most of their words
+    sets = [{one.setdefault(w, w) for w in bytes(words).split(b"\n") if w} for words in rows["words"]]
+    return train(sets, rows["toxic"].tolist())
 
 
 def score(docs: DataFrame, machine: Machine, out="score") -> DataFrame:
