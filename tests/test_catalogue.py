@@ -145,3 +145,64 @@ def test_append_skips_known_and_repeated(spark):
     V.append_vectors(store(spark, "bccd"), path)
     assert V.append_vectors(store(spark, ""), path).count() == 4
     assert V.describe_vectors(store(spark, "")).first()["note"] != ""
+
+
+def test_store_is_told_by_its_data(spark):
+    from bookbase.session import path_exists, scratch_path
+    from bookbase.sources import vectors as V
+
+    made = spark.createDataFrame([("k1", [1.0]), ("k2", [2.0])], "book_key string, embedding array<double>")
+    path = scratch_path(spark, "store")
+    V.load_or_create(spark, path, lambda: made)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(hadoop(f"{path}/_SUCCESS"), False)
+    assert not path_exists(spark, f"{path}/_SUCCESS")
+    assert V.load_or_create(spark, path, lambda: made.limit(0)).count() == 2
+    assert V.append_vectors(made, path).count() == 2
+    system.mkdirs(hadoop(f"{path}/_temporary"))
+    with pytest.raises(RuntimeError):
+        V.append_vectors(made, path)
+
+
+def test_scopes_in_two_threads_keep_apart(spark):
+    import threading
+
+    from bookbase.session import materialise, scratch_scope
+
+    first_in, second_out, seen = threading.Event(), threading.Event(), []
+
+    def first():
+        with scratch_scope(spark):
+            table = materialise(spark.range(5))
+            first_in.set()
+            second_out.wait(60)
+            seen.append(table.count())
+
+    thread = threading.Thread(target=first)
+    thread.start()
+    first_in.wait(60)
+    with scratch_scope(spark):
+        materialise(spark.range(3)).count()
+    second_out.set()
+    thread.join()
+    assert seen == [5]
+
+
+def test_catalogue_to_books_and_store(spark):
+    from bookbase.plans import catalogue as P
+    from bookbase.session import scratch_path
+
+    rows = [(1, "A", "T", "whales swim", "S", "10", "Whales Swim In Town"), (2, "B", "U", "", "S", "x", ""), (3, "C", "V", "", "S", "12", None)]
+    clean = spark.createDataFrame(rows, "page_id bigint, Author string, Title string, Summary string, Subject string, `EBook-No.` string, `Raw Summary` string")
+    books = P.books_from_catalogue(clean)
+    assert [tuple(r) for r in books.orderBy("pos").select("ebook_no", "summary", "pos").collect()] == [
+        (10, "Whales Swim In Town", 1), (None, "", 2), (12, "", 3)
+    ]
+    assert P.dropped_books(books).first().asDict() == {"books": 3, "dropped": 2}
+    path, index = scratch_path(spark, "store"), scratch_path(spark, "index")
+    store, where = P.build_store(books, path, index)
+    assert store.count() == 1 and where == index
+    assert P.build_store(books.limit(0), path, index)[0].count() == 1
+    with pytest.raises(ValueError):
+        P.books_from_catalogue(clean.drop("Title"))

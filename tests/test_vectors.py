@@ -158,3 +158,36 @@ def test_no_plan_crosses(spark, data):
     q, c = data
     plan = K.knn(vectors(spark, q, "qid"), vectors(spark, c, "ebook_no"), 3)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "dot"])
+@pytest.mark.parametrize("corpus", [
+    [], [[1.0, 2.0]], [None, None], [[1.0, 2.0], None, [3.0, 1.0]], [[0.5, 0.5]] * 60 + [[1.0, 0.0]] * 5,
+    [[8e6 + i % 7, 8e6 - i] for i in range(80)],
+])
+def test_both_ways_agree_on_odd_corpora(spark, metric, corpus, monkeypatch):
+    q, c = vectors(spark, [[1.0, 1.0], [8e6, 8e6], None], "qid"), vectors(spark, corpus, "ebook_no")
+    want = rows(K.knn(q, c, 4, metric))
+    assert len({r[0] for r in want}) == (2 if any(v is not None for v in corpus) else 0)
+    monkeypatch.setattr(K, "MAX_QUERIES", 0)
+    assert rows(K.knn(q, c, 4, metric)) == want
+    index = K.build_cells(c, scratch_path(spark, "cells"), metric=metric)
+    assert rows(K.knn(q, c.limit(0), 4, metric, index=index)) == want
+    with pytest.raises(ValueError):
+        K.knn(q, c, 4, "dot" if metric == "l2" else "l2", index=index)
+
+
+def test_a_task_gives_k_rows_for_each_query(spark):
+    c = vectors(spark, [[1.0, 0.0]] * 5000, "ebook_no").coalesce(1)
+    q = vectors(spark, [[1.0, 0.5]] * 3, "qid")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        qq, cc = K._inputs(q, c, "qid", "ebook_no", "embedding", None)
+        assert K._broadcast_knn(qq, cc, 4, "l2").count() == 12
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_cells_are_never_fewer_than_asked_for(spark):
+    with pytest.raises(ValueError):
+        K.build_cells(vectors(spark, [[1.0]], "ebook_no"), scratch_path(spark, "cells"), cells=K.MAX_CELLS + 1)
