@@ -251,7 +251,17 @@ def chunk_fixed(spark, d):
 
 
 def chunk_recursive(spark, d):
-    return C.chunk(B.table(spark, d, "documents").select("doc_id", "text"), "text", mode="recursive")
+    """What has to hold of the chunks of each text, and the chunk of a text that fits into one."""
+    docs = B.table(spark, d, "documents").select("doc_id", "text")
+    made = C.chunk(docs, "text", mode="recursive").groupBy("doc_id").agg(
+        F.max(F.length("chunk")).alias("longest"), F.flatten(F.collect_list(X.words("chunk"))).alias("held"),
+        F.max(F.when(F.col("chunk_no") == 0, F.col("chunk"))).alias("first"),
+    )
+    return docs.join(made, "doc_id").select(
+        "doc_id", (F.col("longest") <= 1500).alias("fits"),
+        (F.size(F.array_except(X.words("text"), "held")) == 0).alias("covered"),
+        F.when(F.length("text") <= 1500, F.col("first")).alias("only"),
+    )
 
 
 # --- vectors ---------------------------------------------------------------------------------

