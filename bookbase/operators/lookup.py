@@ -6,7 +6,9 @@ Every request keeps its row; a miss gives the default. `store` is a vector table
 """
 
 import re
+from re import _parser as sre
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,7 +174,8 @@ def first_match(requests: DataFrame, books: DataFrame, columns=("author",), lite
     Copies of a title and of a request are collapsed first, and only titles and positions are
     moved; the other columns are fetched for the matched books at the end.
     """
-    titles = books.groupBy(F.lower("title").alias("key")).agg(F.min("pos").alias("pos"))
+    key = F.lower("title") if literal else F.col("title")
+    titles = books.groupBy(key.alias("key")).agg(F.min("pos").alias("pos"))
     titles = materialise(titles, "titles").filter("key IS NOT NULL")
     want = F.lower("text") if literal else F.col("text")
     r = requests.filter(F.col("text").isNotNull()).select("qid", want.alias("want"))
@@ -219,10 +222,67 @@ def _literal_match(wants, titles):
     return short.unionByName(empty.select("want", "pos")).unionByName(long)
 
 
+def required_literal(pattern):
+    """A run of ASCII characters, in lower case, that every match of `pattern` holds; '' without one of GRAM."""
+    try:
+        parsed = sre.parse(pattern)
+    except (re.error, OverflowError, RecursionError):
+        return ""
+    runs = [""]
+
+    def walk(items):
+        for op, value in items:
+            if op is sre.LITERAL and value < 128:
+                runs[-1] += chr(value).lower()
+                continue
+            runs.append("")
+            if op is sre.SUBPATTERN:
+                walk(value[-1])
+            elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and value[0] > 0:
+                walk(value[-1])
+            runs.append("")
+
+    walk(parsed)
+    best = max(runs, key=len)
+    return best if len(best) >= GRAM else ""
+
+
 def _regex_match(wants, titles):
+    """(want, pos) of the first title that each pattern is found in.
+
+    A pattern that cannot match without some literal piece is tried on the titles that hold the
+    rarest gram of that piece alone; one without is tried on every title.
+    """
+
+    @F.pandas_udf("string")
+    def literals(patterns: pd.Series) -> pd.Series:
+        return patterns.map(required_literal)
+
+    @F.pandas_udf("boolean")
+    def matches(patterns: pd.Series, texts: pd.Series) -> pd.Series:
+        tests = dict(_compiled(patterns.unique()))
+        return pd.Series([p in tests and tests[p].search(t) is not None for p, t in zip(patterns, texts)], dtype=bool)
+
+    known = materialise(wants.select("want", literals("want").alias("literal")), "patterns")
+    # What Python takes for an s or an i when case does not count.
+    folded = titles.select("key", "pos", F.translate(F.lower("key"), "ſı", "si").alias("low"))
+    grams = folded.select("key", "pos", "low", F.explode(_pieces(F.col("low"), [GRAM])).alias("gram"))
+    stats = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    asked = known.filter("literal <> ''").select("want", "literal", F.explode(_pieces(F.col("literal"), [GRAM])).alias("gram"))
+    rated = lookup_join(asked, stats, "gram", "want").select("want", "literal", "gram", F.coalesce("df", F.lit(0)).alias("df"))
+    rarest = rated.groupBy("want", "literal").agg(F.min(F.struct("df", "gram")).alias("pick")).filter("pick.df > 0")
+    parts = F.array(*[F.lit(i).cast("bigint") for i in range(PARTS)])
+    left = rarest.select("want", "literal", F.col("pick.gram").alias("gram"), F.explode(parts).alias("part"))
+    right = grams.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(PARTS)))
+    near = left.join(right, ["gram", "part"]).filter(F.col("low").contains(F.col("literal")))
+    found = near.filter(matches("want", "key")).groupBy("want").agg(F.min("pos").alias("pos"))
+    return found.unionByName(_regex_everywhere(known.filter("literal = ''").select("want"), titles))
+
+
+def _regex_everywhere(wants, titles):
     """(want, pos) with every request tried on every distinct title, and one row kept per request.
 
-    Patterns cannot be indexed. Up to MAX_PATTERNS go to every task and the titles stay where
+    Up to MAX_PATTERNS go to every task and the titles stay where
     they are; more are dealt into blocks that meet blocks of titles, both of bounded size.
     """
     spark = wants.sparkSession

@@ -157,3 +157,19 @@ def test_stream_equals_batch_and_survives_replay(spark, store):
         prepare_stream(stream, table, out, scratch_path(spark, "progress"), available_now=True).awaitTermination()
     got = sorted(tuple(r) for r in read_prepared(spark, out).drop("batch").collect())
     assert got == want and len(got) == 2
+
+
+@pytest.mark.parametrize("pattern,want", [
+    ("^whale.*moby$", "whale"), ("(cat|dog)fish", "fish"), ("(?:abc)+x?de", "abc"), ("(abc)*d", ""), ("a.b", ""),
+    ("[", ""), ("ABCd{2}", "abc"), ("(?i)Straße", "stra"), ("x?yzzy|q", ""),
+])
+def test_required_literal(pattern, want):
+    assert L.required_literal(pattern) == want
+
+
+def test_regex_keeps_the_case_of_titles(spark, books):
+    more = spark.createDataFrame([("Iſland Ship", "A", 100, "s", 100, "x"), ("ISLAND SHIP", "B", 101, "s", 101, "x")],
+                                 "title string, author string, ebook_no bigint, subject string, pos bigint, summary string")
+    r = requests(spark, "(?-i:ISLAND)", "island", ".*", "[a-z]{3}nothing")
+    got = L.match_value(r, more, "author", "none", literal=False).orderBy("qid").collect()
+    assert [x["answer"] for x in got] == ["B", "A", "A", "none"]
