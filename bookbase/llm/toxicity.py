@@ -16,6 +16,7 @@ negative ones.
 
 import heapq
 import math
+import pickle
 import re
 
 import numpy as np
@@ -283,8 +284,9 @@ def held_out(parts, part):
 def fit(docs: DataFrame, labels: DataFrame, sample=SAMPLE) -> Machine:
     """A Machine trained on up to `sample` texts of each label (`toxic` 0 or 1).
 
-    Which rows is decided by a hash of doc_id; they are all that comes to the driver, as sets of
-    words. Without toxic or without clean rows the machine scores every text by their share.
+    Which rows is decided by a hash of doc_id. One task gets them as sets of words and trains; the
+    driver gets the machine, a few MB. Without toxic or without clean rows the machine scores every
+    text by their share.
     """
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -296,10 +298,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample=SAMPLE) -> Machine:
 
     small_batches(docs.sparkSession)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # 2 * sample rows
-    rows = texts.mapInPandas(run, "toxic int, words binary").toArrow().to_pandas()
-    one = {}  # the texts share most of their words
-    sets = [{one.setdefault(w, w) for w in bytes(words).split(b"\n") if w} for words in rows["words"]]
-    return train(sets, rows["toxic"].tolist())
+    rows = texts.mapInPandas(run, "toxic int, words binary")
+
+    def learn(batches):
+        parts = list(batches)
+        if not parts:
+            return
+        part = pd.concat(parts).sort_values(["toxic", "words"])
+        one = {}  # the texts share most of their words
+        sets = [{one.setdefault(w, w) for w in bytes(words).split(b"\n") if w} for words in part["words"]]
+        yield pd.DataFrame({"machine": [pickle.dumps(train(sets, part["toxic"].tolist()))]})
+
+    made = rows.repartition(1).mapInPandas(learn, "machine binary").collect()
+    return pickle.loads(made[0]["machine"]) if made else train([], [])
 
 
 def score(docs: DataFrame, machine: Machine, out="score") -> DataFrame:
