@@ -142,10 +142,22 @@ def links(points: DataFrame, words, parts, levels, radius, limit, more=False) ->
 
     Links are pairs within `limit` bits over all words. A leaf gives the edges of its shortest
     spanning forest rather than all its pairs; with `more`, also each point's links to its
-    nearest ones and to the hub of its group. Rows arrive sorted by leaf, homes first, and
+    nearest ones and to the hub of its group. A pair that meets in several trees counts in the first
+    whose part differs by `radius` bits at most. Rows arrive sorted by leaf, homes first, and
     pairs are compared in chunks; a task holds one leaf of fingerprints at a time.
     """
 
+    span = (parts[0][2] // levels + 1 + 2 * radius) ** levels  # leaves of a tree
+
+    def first_met(tree, i, j, prints):
+        """Which pairs have this tree for the first whose part they differ in by `radius` at most."""
+        met = np.full(len(i), len(parts))
+        for t in reversed(range(len(parts))):
+            word, start, width = parts[t]
+            apart = (prints[word][i] ^ prints[word][j]) >> np.uint64(start) & np.uint64((1 << width) - 1)
+            met[np.bitwise_count(apart) <= radius] = t
+        return met == tree
+
     def search(keys, home, ids, prints):
         ends = np.searchsorted(keys, keys, side="right")
         first = np.arange(len(keys))
@@ -159,7 +171,8 @@ def links(points: DataFrame, words, parts, levels, radius, limit, more=False) ->
             if len(i):
                 j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
                 bits = sum(np.bitwise_count(p[i] ^ p[j]).astype(np.int64) for p in prints)
-                near = bits <= limit
+                near = np.flatnonzero(bits <= limit)
+                near = near[first_met(keys[i[near]] // span, i[near], j[near], prints)]
                 found.append((ids[i[near]], ids[j[near]], bits[near]))
                 if sum(len(f[0]) for f in found) > CHUNK:
                     found = [shrunk(found)]
