@@ -52,13 +52,6 @@ def shingle_fingerprint(text, size=3, seed=42):
     return simhash(hashes[:, None])[0]
 
 
-def word_fingerprint(text):
-    """128-bit SimHash of the distinct words of a text."""
-    digest = xxhash.xxh3_128_digest
-    words = set(words_of(text))
-    return simhash(np.frombuffer(b"".join(map(digest, words)), np.uint64).reshape(-1, 2))
-
-
 def fingerprints(docs: DataFrame, size=3, seed=42) -> DataFrame:
     """`docs` (doc_id, text) as doc_id, fp (bigint); a null text counts as empty."""
 
@@ -124,25 +117,11 @@ def _spanning(a, b, distance):
     return np.array(keep, np.int64)
 
 
-def _telling(a, b, distance, nearest=3):
-    """Positions of the links of each point to its nearest ones and to the one linked with most others."""
-    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    degree = np.bincount(at, minlength=len(ids))
-    own, other = at, np.concatenate([at[len(a):], at[: len(a)]])
-    link, far = np.tile(np.arange(len(a)), 2), np.tile(distance, 2)
-    picked = []
-    for order, most in ((np.lexsort((other, far, own)), nearest), (np.lexsort((other, far, -degree[other], own)), 1)):
-        rank = np.arange(len(order)) - np.searchsorted(own[order], own[order])
-        picked.append(link[order[rank < most]])
-    return np.unique(np.concatenate(picked))
-
-
-def links(points: DataFrame, words, parts, levels, radius, limit, more=False) -> DataFrame:
+def links(points: DataFrame, words, parts, levels, radius, limit) -> DataFrame:
     """(a, b) ids of linked points, enough of them to join every group of points linked in a leaf.
 
     Links are pairs within `limit` bits over all words. A leaf gives the edges of its shortest
-    spanning forest rather than all its pairs; with `more`, also each point's links to its
-    nearest ones and to the hub of its group. A pair that meets in several trees counts in the first
+    spanning forest rather than all its pairs. A pair that meets in several trees counts in the first
     whose part differs by `radius` bits at most. Rows arrive sorted by leaf, homes first, and
     pairs are compared in chunks; a task holds one leaf of fingerprints at a time.
     """
@@ -189,8 +168,6 @@ def links(points: DataFrame, words, parts, levels, radius, limit, more=False) ->
         new = np.r_[True, (np.diff(low) != 0) | (np.diff(high) != 0)]
         low, high, d = low[new], high[new], d[new]
         keep = _spanning(low, high, d)
-        if more:
-            keep = np.union1d(keep, _telling(low, high, d))
         return low[keep], high[keep], d[keep]
 
     def run(batches):
@@ -253,9 +230,9 @@ def near_groups(docs: DataFrame, size=3, seed=42, radius=2) -> DataFrame:
     return marked.join(materialise(all_points, "named"), "fp").select("doc_id", "fp", "component_id")
 
 
-#: Word fingerprints (128 bits) of texts whose shingles agree in 0.8 differ in fewer bits than this;
-#: eight trees find every pair within 15 bits, and nearly all of those up to here.
-CANDIDATE_BITS, PARTS = 22, [(w, first, 16) for w in (0, 1) for first in (0, 16, 32, 48)]
+#: The commonest shingles of a sample go to every task, to be put last in the order of shingles, and
+#: pivots that the members of a bucket meet in the first round; PIVOTS times as many in each later one.
+COMMON, PIVOTS = 1 << 18, 16
 
 
 def shingle_set(text, size):
@@ -281,36 +258,70 @@ def _same_shingles(pairs, similarity):
     return pairs.mapInPandas(run, "a bigint, b bigint")
 
 
-def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
-    """same (hash of a text), least (smallest doc_id of its rows), copies (rows with that doc_id), root.
+def _tokens(text, size):
+    """Sorted distinct 64-bit hashes of the shingles of a text, as in `shingle_set`."""
+    words = words_of(text)
+    if len(words) < size:
+        shingles = {b" ".join(words)}
+    else:
+        shingles = set(map(b" ".join, zip(*(words[i:] for i in range(size)))))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64, len(shingles))).view(np.int64)
+
+
+def _common(rows, size):
+    """Shingles met often in a sixteenth of the texts or more, ascending, and how often.
 
-    Texts with one root form a group. Candidates come from the trees over the SimHash of each
-    text's distinct words; they are linked if the Jaccard similarity of their shingles of `size`
-    words is `similarity` or more, counted exactly. A leaf hands over its shortest spanning
-    forest and each text's nearest candidates and hub, not all its pairs.
+    They only set the order of shingles, in which any choice gives the same groups.
     """
+    share = max(64, min(1024, int(1024 * 20_000 / max(1, rows.count()))))
 
-    def printed(batches):
+    def run(batches):
         for pdf in batches:
-            prints = np.array([word_fingerprint(t) for t in pdf["text"]], np.uint64).reshape(-1, 2).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "same": pdf["same"], "f0": prints[:, 0], "f1": prints[:, 1]})
+            token, n = np.unique(np.concatenate([_tokens(t, size) for t in pdf["text"]]), return_counts=True)
+            yield pd.DataFrame({"token": token, "n": n})
+
+    some = rows.filter(F.pmod("same", F.lit(1024)) < share).select("text")
+    counted = some.mapInPandas(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).filter("n >= 4")
+    counted = materialise(counted, "common")
+    octave = F.floor(F.log2("n") * 8).cast("int")
+    least, total = 1 << 20, 0
+    for o, n in sorted(counted.groupBy(octave.alias("o")).count().collect(), reverse=True):  # a few hundred rows
+        total += n
+        if total > COMMON:
+            break
+        least = o
+    found = counted.filter(octave >= least).toArrow().to_pandas().sort_values("token")  # COMMON rows at most
+    return found["token"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+
+
+def _prefixes(rows, size, similarity):
+    """doc_id, same, n (shingles) and the first shingles of each row, rare ones before common ones.
+
+    Two sets of which one must hold `similarity` of the other share one of these: of n shingles
+    only the last ceil(similarity * n) - 1 are left out.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(_common(rows, size))
 
-    spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("same", F.xxhash64("text"))
-    marked = materialise(rows.mapInPandas(printed, "doc_id bigint, same bigint, f0 bigint, f1 bigint"), "fingerprints")
-    by_id = marked.groupBy("same", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("f0").alias("f0"), F.first("f1").alias("f1"))
+    def run(batches):
+        common, count = sent.value
+        for pdf in batches:
+            sizes, first = [], []
+            for text in pdf["text"]:
+                tokens = _tokens(text, size)
+                n = len(tokens)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+                    tokens = tokens[np.argsort(np.where(common[at] == tokens, count[at], 0), kind="stable")]
+                sizes.append(n)
+                first.append(tokens[: n - int(np.ceil(similarity * n - 1e-6)) + 1])
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "same": pdf["same"], "n": np.array(sizes, np.int32), "tokens": first})
+
+    return rows.mapInPandas(run, "doc_id bigint, same bigint, n int, tokens array<bigint>")
+
+
+def _alike(rows, points, near, size, similarity):
+    """The pairs (a, b) of `near` whose shingles agree in `similarity` or more."""
     least = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    points = by_id.groupBy("same").agg(
-        F.min(least).alias("least"), F.first("f0").alias("f0"), F.first("f1").alias("f1"),
-    )
-    points = materialise(points, "points")
-    words = ["f0", "f1"]
-    levels = depth(points.count())
-    near = links(points.select(F.col("same").alias("id"), *words), words, PARTS, levels, 1, CANDIDATE_BITS, more=True)
-    near = materialise(near, "candidates")
-
     ends = near.select("a").union(near.select("b")).distinct().withColumnRenamed("a", "same")
     wanted = ends.join(points, "same").select(F.col("same").alias("w_same"), "least")
     asked = rows.join(wanted, (F.col("same") == F.col("w_same")) & (least == F.col("least")))
@@ -323,8 +334,65 @@ def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
     known = known.dropDuplicates(["same"])
     left = near.join(known.select(F.col("same").alias("a"), F.col("shingles").alias("one")), "a")
     pairs = left.join(known.select(F.col("same").alias("b"), F.col("shingles").alias("two")), "b")
-    roots = components(_same_shingles(pairs.select("a", "b", "one", "two"), similarity))
-    grouped = points.select("same", "least").join(roots.withColumnRenamed("node", "same"), "same", "left")
+    return materialise(_same_shingles(pairs.select("a", "b", "one", "two"), similarity), "alike")
+
+
+def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
+    """same (hash of a text), least (smallest doc_id of its rows), copies (rows with that doc_id), root.
+
+    Texts with one root form a group: those that chain together by pairs whose shingles of `size`
+    words have a Jaccard similarity of `similarity` or more. Two such texts share one of their
+    first shingles in an order that puts common ones last, and meet in its bucket. All members of a
+    bucket are checked with its smallest one; then, round by round, members that are still in
+    different groups are checked with ever more of the others, until none is left unchecked.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("same", F.xxhash64("text"))
+    marked = materialise(_prefixes(rows, size, similarity), "prefixes")
+    by_id = marked.groupBy("same", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    least = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    points = materialise(by_id.groupBy("same").agg(F.min(least).alias("least")), "points")
+
+    posted = marked.select("same", "n", F.posexplode("tokens").alias("pos", "token"))
+    shared = posted.groupBy("token").agg(F.min(F.struct("same", "n", "pos")).alias("low"), F.max("same").alias("high"))
+    # Written tables on both sides of a join let Spark split a hot key of it.
+    shared = materialise(shared.filter("low.same <> high").select("token", "low"), "shared")
+    met = materialise(posted.join(shared.select("token"), "token").distinct(), "buckets")
+
+    def may(n, pos, other_n, other_pos):
+        """Whether enough shingles can agree if this is the first that both have."""
+        return F.least(n - pos, other_n - other_pos) >= similarity / (1 + similarity) * (n + other_n) - 1e-6
+
+    def paired(same, other):
+        return F.least(same, other).alias("a"), F.greatest(same, other).alias("b")
+
+    low = F.col("low")
+    star = met.join(shared, "token").filter((F.col("same") != low["same"]) & may(F.col("n"), F.col("pos"), low["n"], low["pos"]))
+    near = materialise(star.select(*paired("same", low["same"])).distinct(), "candidates")
+    linked, asked, done = _alike(rows, points, near, size, similarity), near, 0
+    turn = F.pmod(F.xxhash64("token", "same"), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("k")
+    while True:
+        roots = materialise(components(linked), "roots")
+        held = met.select("token", "same", "n", "pos").join(roots, F.col("same") == F.col("node"), "left")
+        held = materialise(held.select("token", "same", "n", "pos", F.coalesce("root", "same").alias("root")), "held")
+        mixed = held.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("k"))
+        mixed = materialise(mixed.filter((F.col("r0") != F.col("r1")) & (F.col("k") > done)).select("token", "k"), "mixed")
+        if mixed.isEmpty():
+            break
+        met = materialise(held.join(mixed, "token"), "buckets")
+        upto = PIVOTS * max(1, done)
+        pivots = met.filter((turn >= done) & ((turn < upto) | (F.col("k") <= upto)))
+        pivots = materialise(pivots.select("token", *[F.col(c).alias(f"p_{c}") for c in ("same", "n", "pos", "root")]), "pivots")
+        pairs = met.join(pivots, "token").filter(
+            (F.col("root") != F.col("p_root")) & may(F.col("n"), F.col("pos"), F.col("p_n"), F.col("p_pos"))
+        )
+        near = materialise(pairs.select(*paired("same", "p_same")).distinct().join(asked, ["a", "b"], "left_anti"), "candidates")
+        linked = linked.union(_alike(rows, points, near, size, similarity))
+        asked, done = asked.union(near), upto
+
+    grouped = points.join(roots.withColumnRenamed("node", "same"), "same", "left")
     copies = by_id.select(F.col("same").alias("c_same"), least.alias("c_least"), F.col("n").alias("copies"))
     return grouped.join(copies, (F.col("same") == F.col("c_same")) & (F.col("least") == F.col("c_least"))).select(
         "same", "least", "copies", F.coalesce("root", "same").alias("root")

@@ -115,3 +115,45 @@ def test_numbers_are_gapless_in_hot_groups(spark):
     for k in (None, 0, 1):
         part = sorted(r["n"] for r in got if r["k"] == k)
         assert part == list(range(len(part)))
+
+
+def shingled(text):
+    w = edge.words(text)
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
+
+
+def kept_by_brute_force(rows):
+    sets = {d: shingled(t) for d, t, *_ in rows}
+    names = sorted(sets)
+    pairs = [
+        (a, b) for i, a in enumerate(names) for b in names[i + 1:]
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    assert pairs
+    return sorted(set(edge.groups(pairs, names).values()))
+
+
+def test_near_duplicates_with_parts_added_cut_off_or_swapped(spark):
+    rng = random.Random(8)
+    texts = []
+    for i in range(60):
+        base = [f"w{rng.randrange(50_000)}" for _ in range(200)]
+        more = [f"v{rng.randrange(50_000)}" for _ in range(rng.randrange(40, 52))]
+        cut = rng.randrange(38, 44)
+        texts += [base, [base + more, base[cut:], base[:-cut], base[120:] + base[:120]][i % 4]]
+    rows = [(i, " ".join(t), "en", "a") for i, t in enumerate(texts)]
+    kept = simhash.drop_near_duplicates(edge.documents(spark, rows))
+    assert sorted(r["doc_id"] for r in kept.collect()) == kept_by_brute_force(rows)
+
+
+def test_near_duplicates_over_a_small_vocabulary(spark):
+    rng = random.Random(9)
+    names, texts = [f"w{i}" for i in range(20)], []
+    for i in range(60):  # all of the same distinct words
+        base = [rng.choice(names) for _ in range(300)] + names
+        texts += [base, base[:150] + base[160:]] if i % 3 == 0 else [base]
+    line = [f"line{i}" for i in range(60)]  # in most of them, and most of some
+    texts += [line + [f"x{rng.randrange(10**6)}" for _ in range(rng.choice([9, 14, 19]))] for _ in range(60)]
+    rows = [(i, " ".join(t), "en", "a") for i, t in enumerate(texts)]
+    kept = simhash.drop_near_duplicates(edge.documents(spark, rows))
+    assert sorted(r["doc_id"] for r in kept.collect()) == kept_by_brute_force(rows)
