@@ -77,17 +77,17 @@ def _retained(docs, length, gram):
 
 
 def _extended(met, length, gram):
-    """id, start and hash of the passages around the retained suffixes in `keys`."""
+    """id, same, last, start and hash of the passages around the retained suffixes in `keys`."""
 
     def run(batches):
         for pdf in batches:
-            for who, text, keys in zip(pdf["id"], pdf["text"], pdf["keys"]):
+            for who, same, last, text, keys in zip(pdf["id"], pdf["same"], pdf["last"], pdf["text"], pdf["keys"]):
                 least, whole = passages(word_hashes(text), length, gram)
                 at = np.flatnonzero(np.isin(least.view(np.int64), keys))
                 if len(at):
-                    yield pd.DataFrame({"id": who, "start": at.astype(np.int32), "run": whole[at].view(np.int64)})
+                    yield pd.DataFrame({"id": who, "same": same, "last": last, "start": at.astype(np.int32), "run": whole[at].view(np.int64)})
 
-    return met.mapInPandas(run, "id bigint, start int, run bigint")
+    return met.mapInPandas(run, "id bigint, same bigint, last bigint, start int, run bigint")
 
 
 def _spans(starts, length):
@@ -100,12 +100,12 @@ def _spans(starts, length):
 
 
 def repeats(docs: DataFrame, length=LENGTH, gram=GRAM) -> DataFrame:
-    """id, n (words), spans and cuts of each document that shares a passage of `length` words with another.
+    """id, same (hash of a text), n (words), spans and cuts of each text that shares a passage of `length` words with another document.
 
     Takes doc_id and text. Words are runs of anything but blanks. spans: array of (start, end) in
     words that lie in such passages; cuts: the part of them that a document with a smaller id
     holds already. Copies of a whole text follow from its first one. Rows that share a doc_id are one
-    document; rows without one go by their text. Texts shorter than `length`, empty or null never
+    document, of which each text has its own spans and cuts; rows without one go by their text. Texts shorter than `length`, empty or null never
     appear; an empty table gives no rows. Other columns aren't read.
     """
     small_batches(docs.sparkSession)
@@ -119,38 +119,38 @@ def repeats(docs: DataFrame, length=LENGTH, gram=GRAM) -> DataFrame:
     shared = kept.filter("key IS NOT NULL").groupBy("key").agg(F.min("same").alias("low"), F.max("same").alias("high"))
     # Written tables on both sides of a join let Spark split a hot key of it.
     shared = materialise(shared.filter("low <> high").select("key"), "shared")
-    firsts = groups.select(F.col("same").alias("first_same"), "first")
+    firsts = groups.select(F.col("same").alias("first_same"), "first", "last")
     own = kept.join(shared, "key").groupBy("id", "same").agg(F.collect_set("key").alias("keys"))
     own = own.join(firsts, (F.col("same") == F.col("first_same")) & (F.col("id") == F.col("first")))
-    met = rows.join(own.select(F.col("id").alias("own"), F.col("same").alias("own_same"), "keys"),
+    met = rows.join(own.select(F.col("id").alias("own"), F.col("same").alias("own_same"), "last", "keys"),
                     (F.col("id") == F.col("own")) & (F.col("same") == F.col("own_same")))
-    found = materialise(_extended(met.select("id", "text", "keys"), length, gram), "passages")
-    holders = found.groupBy("run").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
+    found = materialise(_extended(met.select("id", "same", "last", "text", "keys"), length, gram), "passages")
+    holders = found.groupBy("run").agg(F.min("id").alias("low"), F.max("last").alias("high")).filter("low <> high")
     holders = materialise(holders, "holders")
-    marked = found.join(holders, "run").select("id", "start", (F.col("id") != F.col("low")).alias("cut"))
-    starts = marked.groupBy("id").agg(
+    marked = found.join(holders, "run").select("id", "same", "start", (F.col("id") != F.col("low")).alias("cut"))
+    starts = marked.groupBy("id", "same").agg(
         F.collect_list("start").alias("starts"), F.collect_list(F.when(F.col("cut"), F.col("start"))).alias("cut_starts")
-    )  # of one document
+    )  # of one text of a document
 
     many = groups.filter("first <> last").withColumnRenamed("same", "many_same").drop("last")
     long_enough = texts.filter(F.col("n") >= length)
     whole = long_enough.join(many, F.col("same") == F.col("many_same"), "left").drop("many_same")
-    every = whole.join(starts, "id", "left").filter("first IS NOT NULL OR starts IS NOT NULL")
+    every = whole.join(starts, ["id", "same"], "left").filter("first IS NOT NULL OR starts IS NOT NULL")
 
     def run(batches):
         for pdf in batches:
             out = []
-            for who, n, first, starts, cuts in zip(pdf["id"], pdf["n"], pdf["first"], pdf["starts"], pdf["cut_starts"]):
+            for who, same, n, first, starts, cuts in zip(pdf["id"], pdf["same"], pdf["n"], pdf["first"], pdf["starts"], pdf["cut_starts"]):
                 spans, cut = _spans([] if starts is None else starts, length), _spans([] if cuts is None else cuts, length)
                 if not pd.isna(first):
                     spans = [(0, n)]
                     cut = [(0, n)] if who != first else cut
-                out.append((who, n, spans, cut))
-            yield pd.DataFrame(out, columns=["id", "n", "spans", "cuts"])
+                out.append((who, same, n, spans, cut))
+            yield pd.DataFrame(out, columns=["id", "same", "n", "spans", "cuts"])
 
     pair = "array<struct<start: int, end: int>>"
-    picked = every.select("id", "n", "first", "starts", "cut_starts")
-    return picked.mapInPandas(run, f"id bigint, n int, spans {pair}, cuts {pair}")
+    picked = every.select("id", "same", "n", "first", "starts", "cut_starts")
+    return picked.mapInPandas(run, f"id bigint, same bigint, n int, spans {pair}, cuts {pair}")
 
 
 def passage_rows(docs: DataFrame, length=LENGTH, gram=GRAM) -> DataFrame:
@@ -182,9 +182,12 @@ def cut_repeats(docs: DataFrame, length=LENGTH, gram=GRAM) -> DataFrame:
 
     Keeps all columns and rows; n_chars, if there, is that of the new text. See `repeats`.
     """
-    found = repeats(docs, length, gram).filter(F.size("cuts") > 0).select(F.col("id").alias("__id"), "cuts")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), _identity().alias("__own"))
-    met = rows.join(found, F.col("__own") == F.col("__id"), "left")
+    found = repeats(docs, length, gram).filter(F.size("cuts") > 0).select(F.col("id").alias("__id"), F.col("same").alias("__same"), "cuts")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), _identity().alias("__own"),
+        F.xxhash64("text").alias("__hash"),
+    )
+    met = rows.join(found, (F.col("__own") == F.col("__id")) & (F.col("__hash") == F.col("__same")), "left")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, cuts: pd.Series) -> pd.Series:

@@ -74,3 +74,31 @@ def test_odd_rows(spark):
     assert suffixes.repeats(docs).count() == 0
     none = edge.documents(spark, [])
     assert suffixes.passage_rows(none).count() == 0 and suffixes.cut_repeats(none).count() == 0
+
+
+def test_texts_of_one_document_keep_apart(spark):
+    rng = random.Random(4)
+    new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, clean = new(60), new(200)
+    first, second = new(30) + passage + new(90), new(55)
+    rows = [
+        (1, " ".join(new(10) + passage + new(10)), "en", "a"), (2, " ".join(first), "en", "a"),
+        (2, " ".join(clean), "en", "a"), (2, " ".join(second), "en", "a"), (2, "", "en", "a"),
+    ]
+    docs = edge.documents(spark, rows)
+    made = sorted((r["doc_id"], r["text"]) for r in suffixes.cut_repeats(docs).select("doc_id", "text").collect())
+    left = " ".join(first[:30] + first[90:])
+    assert made == sorted((d, left if i == 1 else t) for i, (d, t, *_) in enumerate(rows))
+    spans = sorted((r["doc_id"], r["start_word"], r["end_word"], r["cut_words"]) for r in suffixes.passage_rows(docs).collect())
+    assert spans == [(1, 10, 70, 0), (2, 30, 90, 60)]
+
+
+def test_a_copy_counts_as_another_document(spark):
+    rng = random.Random(6)
+    new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = new(60)
+    copied, other = new(5) + passage + new(5), new(20) + passage
+    rows = [(1, " ".join(copied), "en", "a"), (1, " ".join(other), "en", "a"), (5, " ".join(copied), "en", "a")]
+    spans = suffixes.passage_rows(edge.documents(spark, rows)).collect()
+    got = sorted((r["doc_id"], r["start_word"], r["end_word"], r["cut_words"]) for r in spans)
+    assert got == [(1, 0, 70, 0), (1, 20, 80, 0), (5, 0, 70, 70)]
