@@ -4,7 +4,8 @@ Words belong to classes: each of the most frequent words is one, the others are
 last letters. The model predicts the class of a token from those of the two before it: context
 classes' embeddings pass through a matrix each and are summed, and the inner product with the
 next class's embedding plus its bias is the score. It is trained in numpy on the counts of all
-class triples of the training texts, telling them from noise drawn by class frequency. One
+class triples of the training texts, telling them from noise by class frequency: every step takes
+all triples by their counts and the expected noise of each context, so nothing is drawn. One
 batched matrix product over all contexts, normalised by its row sums, gives every class's log
 probability. Inside its class a word has its smoothed share of the training tokens, so the
 probabilities of all words and one unseen word of each class add up to 1.
@@ -121,7 +122,7 @@ def _triples(docs, sent):
     return made.groupBy("t").agg(F.sum("n").alias("n"))
 
 
-def train(triples, counts, width=24, noise=8, steps=1500, batch=1024, seed=0):
+def train(triples, counts, width=24, noise=8, steps=400, seed=0):
     """Log probabilities (natural) of each class after each pair of classes, as CLASSES² × CLASSES."""
     rng = np.random.default_rng(seed)
     n = np.bincount(triples % CLASSES, counts, CLASSES) + 1e-3
@@ -131,33 +132,34 @@ def train(triples, counts, width=24, noise=8, steps=1500, batch=1024, seed=0):
     target = rng.normal(0, 0.1, (CLASSES, width))
     bias = np.log(share)
     if len(triples):
-        places = np.cumsum(counts) / counts.sum()
-        drawn = np.cumsum(share)
+        pairs, row = np.unique(triples // CLASSES, return_inverse=True)
+        a, b = pairs // CLASSES, pairs % CLASSES
+        real = np.zeros((len(pairs), CLASSES), np.float32)
+        np.add.at(real, (row, triples % CLASSES), counts / counts.sum())
+        both = real + noise * real.sum(1, keepdims=True) * share.astype(np.float32)
         log_noise = np.log(noise * share)
         speed = [np.zeros_like(x) for x in (context, mix, target, bias)]
         for step in range(steps):
-            t = triples[np.minimum(np.searchsorted(places, rng.random(batch)), len(triples) - 1)]
-            a, b, y = t // CLASSES**2, t // CLASSES % CLASSES, t % CLASSES
-            fake = np.minimum(np.searchsorted(drawn, rng.random((batch, noise))), CLASSES - 1)
-            seen = np.column_stack([y, fake])
-            q = context[0][a] @ mix[0] + context[1][b] @ mix[1]
-            score = np.einsum("bd,bkd->bk", q, target[seen]) + bias[seen]
-            p = 1 / (1 + np.exp(-np.clip(score - log_noise[seen], -30, 30)))
-            p[:, 0] -= 1
-            p /= batch
-            dq = np.einsum("bk,bkd->bd", p, target[seen])
+            q = ((context[0] @ mix[0])[a] + (context[1] @ mix[1])[b]).astype(np.float32)
+            p = q @ target.T.astype(np.float32)
+            p += (bias - log_noise).astype(np.float32)
+            np.clip(p, -30, 30, out=p)
+            np.negative(p, out=p)
+            np.exp(p, out=p)
+            p += 1
+            np.divide(both, p, out=p)
+            p -= real
+            dq = p @ target.astype(np.float32)
             grads = [np.zeros_like(x) for x in (context, mix, target, bias)]
-            np.add.at(grads[0][0], a, dq @ mix[0].T)
-            np.add.at(grads[0][1], b, dq @ mix[1].T)
-            grads[1][0], grads[1][1] = context[0][a].T @ dq, context[1][b].T @ dq
-            flat = seen.ravel()
-            np.add.at(grads[2], flat, (p[:, :, None] * q[:, None, :]).reshape(-1, width))
-            grads[3] = np.bincount(flat, p.ravel(), CLASSES)
+            for side, at in enumerate((a, b)):
+                part = np.column_stack([np.bincount(at, dq[:, d], CLASSES) for d in range(width)])
+                grads[0][side], grads[1][side] = part @ mix[side].T, context[side].T @ part
+            grads[2], grads[3] = p.T @ q, p.sum(0)
             rate = 0.05 * (1 - step / steps)
             for value, grad, s in zip((context, mix, target, bias), grads, speed):
                 s *= 0.99
                 s += 0.01 * grad * grad
-                value -= rate * grad / (np.sqrt(s / (1 - 0.99 ** (step + 1))) + 1e-8)
+                value -= rate * grad / (np.sqrt(s / (1 - 0.99 ** (step + 1))) + 1e-15)
     left = (context[0] @ mix[0])[:, None, :] + (context[1] @ mix[1])[None, :, :]
     logits = left.reshape(-1, width) @ target.T + bias
     logits[:, START] = -np.inf

@@ -111,3 +111,10 @@ def test_empty_tables(spark):
     assert scoring.score_documents(none).count() == 0
     some = edge.documents(spark, edge.rows()[:5])
     assert toxicity.score_documents(some, no_labels).count() == 5
+
+
+def test_training_sees_every_triple():
+    at = lambda a, b, y: (a * scoring.CLASSES + b) * scoring.CLASSES + y
+    triples = np.array([at(2, 3, 4), at(50, 51, 60)])
+    table = scoring.train(triples, np.array([10**8, 5]))
+    assert table[50 * scoring.CLASSES + 51, 60] > np.log(0.05)  # of all tokens it is 5 in 10**8
