@@ -24,6 +24,9 @@ from bookbase.session import materialise
 #: Pairs compared at once inside a leaf, and rows of whole leaves taken at once.
 CHUNK, ROWS = 250_000, 50_000
 
+#: Rows of a leaf that are compared in one task; a larger leaf is cut into blocks of about so many.
+BLOCK = 20_000
+
 #: Vantage point of every tree, one 64-bit word for each word of the fingerprint (any value does).
 VANTAGE = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5]
 
@@ -99,6 +102,28 @@ def leaves(points: DataFrame, words, parts, levels, radius) -> DataFrame:
     return met.select("at.leaf", "at.home", "id", *words)
 
 
+def _dealt(met, words):
+    """Rows of `leaves` with the pair of blocks (i, j) they are compared in and `home` for the block i.
+
+    A leaf of BLOCK rows or fewer is one block. Homes of block i meet the homes and visits of block
+    j there; if i is not j, pairs inside i are left to (i, i), and homes of two blocks meet once.
+    """
+    sizes = met.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).filter("blocks > 1")
+    large = materialise(sizes.withColumnRenamed("leaf", "large"), "large")
+    cut = met.join(F.broadcast(large), F.col("leaf") == F.col("large"), "left").withColumn("n", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64("id"), F.col("n"))
+    every = F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)
+
+    def place(i, j, home):
+        return F.struct(i.cast("bigint").alias("i"), j.cast("bigint").alias("j"), F.lit(home).alias("home"))
+
+    asks = F.transform(every, lambda j: place(own, j, True))
+    asked = F.transform(F.filter(every, lambda i: ~F.col("home") | (i < own)), lambda i: place(i, own, False))
+    at = F.explode(F.when(F.col("home"), F.concat(asks, asked)).otherwise(asked)).alias("at")
+    placed = cut.select("leaf", "id", *words, at)
+    return placed.select("leaf", "at.i", "at.j", "at.home", "id", *words)
+
+
 def _spanning(a, b, distance):
     """Positions of the edges of a shortest spanning forest of the links."""
     parent, keep = {}, []
@@ -123,7 +148,7 @@ def links(points: DataFrame, words, parts, levels, radius, limit) -> DataFrame:
     Links are pairs within `limit` bits over all words. A leaf gives the edges of its shortest
     spanning forest rather than all its pairs. A pair that meets in several trees counts in the first
     whose part differs by `radius` bits at most. Rows arrive sorted by leaf, homes first, and
-    pairs are compared in chunks; a task holds one leaf of fingerprints at a time.
+    pairs are compared in chunks; a task holds two blocks of a leaf at a time.
     """
 
     span = (parts[0][2] // levels + 1 + 2 * radius) ** levels  # leaves of a tree
@@ -137,10 +162,12 @@ def links(points: DataFrame, words, parts, levels, radius, limit) -> DataFrame:
             met[np.bitwise_count(apart) <= radius] = t
         return met == tree
 
-    def search(keys, home, ids, prints):
+    def search(keys, leaf, same_block, home, ids, prints):
         ends = np.searchsorted(keys, keys, side="right")
         first = np.arange(len(keys))
-        counts = np.where(home, ends - first - 1, 0)
+        visits = np.searchsorted(keys, keys) + np.bincount(keys, home).astype(np.int64)[keys]
+        begin = np.where(same_block, first + 1, visits)
+        counts = np.where(home, ends - begin, 0)
         total, at, found = np.cumsum(counts), 0, []
         while at < len(keys):
             done = total[at - 1] if at else 0
@@ -148,10 +175,10 @@ def links(points: DataFrame, words, parts, levels, radius, limit) -> DataFrame:
             c = counts[at:to]
             i = np.repeat(first[at:to], c)
             if len(i):
-                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
+                j = begin[i] + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
                 bits = sum(np.bitwise_count(p[i] ^ p[j]).astype(np.int64) for p in prints)
                 near = np.flatnonzero(bits <= limit)
-                near = near[first_met(keys[i[near]] // span, i[near], j[near], prints)]
+                near = near[first_met(leaf[i[near]] // span, i[near], j[near], prints)]
                 found.append((ids[i[near]], ids[j[near]], bits[near]))
                 if sum(len(f[0]) for f in found) > CHUNK:
                     found = [shrunk(found)]
@@ -181,20 +208,23 @@ def links(points: DataFrame, words, parts, levels, radius, limit) -> DataFrame:
             if not rows:
                 return
             ready, parts, rows = pd.concat(parts, ignore_index=True), [], 0
-            if pdf is not None:  # the last leaf may go on
-                last = int(np.searchsorted(ready["leaf"].to_numpy(), ready["leaf"].iat[-1]))
+            place = ready[["leaf", "i", "j"]].to_numpy()
+            keys = np.r_[0, np.cumsum((np.diff(place, axis=0) != 0).any(1))]
+            if pdf is not None:  # the last pair of blocks may go on
+                last = int(np.searchsorted(keys, keys[-1]))
                 ready, rest = ready.iloc[:last], ready.iloc[last:]
                 parts, rows, enough = [rest], len(rest), max(ROWS, 2 * len(rest))
                 if not last:
                     continue
+                keys, place = keys[:last], place[:last]
             a, b, _ = search(
-                ready["leaf"].to_numpy(), ready["home"].to_numpy().astype(bool), ready["id"].to_numpy(),
+                keys, place[:, 0], place[:, 1] == place[:, 2], ready["home"].to_numpy().astype(bool), ready["id"].to_numpy(),
                 [ready[w].to_numpy().view(np.uint64) for w in words],
             )
             yield pd.DataFrame({"a": a, "b": b})
 
-    met = leaves(points, words, parts, levels, radius)
-    dealt = met.repartition("leaf").sortWithinPartitions("leaf", F.desc("home"))
+    met = _dealt(leaves(points, words, parts, levels, radius), words)
+    dealt = met.repartition("leaf", "i", "j").sortWithinPartitions("leaf", "i", "j", F.desc("home"))
     return dealt.mapInPandas(run, "a bigint, b bigint").distinct()
 
 

@@ -157,3 +157,23 @@ def test_near_duplicates_over_a_small_vocabulary(spark):
     rows = [(i, " ".join(t), "en", "a") for i, t in enumerate(texts)]
     kept = simhash.drop_near_duplicates(edge.documents(spark, rows))
     assert sorted(r["doc_id"] for r in kept.collect()) == kept_by_brute_force(rows)
+
+
+def test_large_leaves_are_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 40)
+    rng = random.Random(12)
+    start = rng.getrandbits(64)
+    prints = {start}
+    while len(prints) < 300:  # near one another, so that they crowd in few leaves
+        p = rng.choice(sorted(prints))
+        prints.add(p ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)))
+    prints = sorted(prints)
+    signed = [int(np.uint64(p).astype(np.int64)) for p in prints]
+    points = spark.createDataFrame([(s, s) for s in signed], "id bigint, fp bigint")
+    parts = [(0, 0, 32), (0, 32, 32)]
+    sizes = simhash._dealt(simhash.leaves(points, ["fp"], parts, 4, 1), ["fp"]).groupBy("leaf", "i", "j").count().collect()
+    assert max(r["j"] for r in sizes) > 0 and max(r["count"] for r in sizes) < 160
+    found = {(r["a"], r["b"]) for r in simhash.links(points, ["fp"], parts, 4, 1, 2).collect()}
+    pairs = [(a, b) for i, a in enumerate(signed) for b in signed[i + 1:] if ((a ^ b) & (2**64 - 1)).bit_count() <= 2]
+    assert found <= {(min(p), max(p)) for p in pairs}
+    assert edge.groups(found, signed) == edge.groups(pairs, signed)
