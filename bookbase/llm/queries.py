@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from bookbase.llm import (
-    language, mixing, packing, sampling, scoring, sharding, simhash, suffixes, topk, toxicity,
+    audit, bpe, language, mixing, packing, periodic, sampling, scoring, sharding, simhash, suffixes, topk, toxicity,
 )
 
 
@@ -64,7 +64,44 @@ def op10_mixing(spark, d):
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "shards")
 
 
-QUERIES = [op1_simhash, op2_packing, op3_suffixes, op4_topk, op5_sharding, op6_language, op7_toxicity, op8_scoring, op9_fingerprints, op10_mixing]
+def planted_words(docs):
+    """Words of every text, with the contract's periodic tail planted where crc32(doc_id) ends in 0.
+
+    h = crc32 of the decimal doc_id, g = h div 10; when h % 10 = 0 and the text has n > 0 words,
+    word i >= a becomes word a + (i - a) % p, a = g % n, p = 1 + (n - a) div (3 + g % 8).
+    """
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), audit.SPLIT), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = docs.select("doc_id", words.alias("words"), h.alias("h"))
+    docs = docs.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    planted = F.transform(
+        "words", lambda w, i: F.when(i >= F.col("a"), F.col("words")[(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")]).otherwise(w)
+    )
+    chosen = (F.col("h") % 10 == 0) & (F.col("n") > 0)
+    return docs.select("doc_id", F.when(chosen, planted).otherwise(F.col("words")).alias("words"))
+
+
+def op11_periodic(spark, d):
+    return periodic.periodic_runs(planted_words(_documents(spark, d)))
+
+
+def op12_bpe(spark, d):
+    import public_tokenizers
+
+    return bpe.encode_documents(_documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_audit(spark, d):
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    return audit.interaction_audit(_documents(spark, d), labels)
+
+
+QUERIES = [
+    op1_simhash, op2_packing, op3_suffixes, op4_topk, op5_sharding, op6_language, op7_toxicity, op8_scoring,
+    op9_fingerprints, op10_mixing, op11_periodic, op12_bpe, op13_audit,
+]
 
 OP3_SQL = r"""
 WITH worded AS (
@@ -108,10 +145,59 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part FROM documents
+), w AS (
+  SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d
+), firsts AS (
+  SELECT t, min(doc_id) AS first FROM d GROUP BY t
+), f AS (
+  SELECT w.doc_id, part,
+    (CASE WHEN len(words) < 100 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * (length(w.t) - length(regexp_replace(w.t, '[A-Z]', '', 'g'))) > 10 * length(w.t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(w.t, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN (w.doc_id IS NULL AND firsts.first IS NOT NULL) OR w.doc_id > firsts.first THEN 16 ELSE 0 END) AS mask
+  FROM w JOIN firsts ON w.t = firsts.t
+), lab AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), cells AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM f LEFT JOIN lab ON f.doc_id = lab.doc_id GROUP BY part, mask
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, b)
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.b + b.b + c.b + d.b + e.b = 31
+), steps AS (
+  SELECT filter_order, s AS step, bits[s] AS bit, coalesce(list_sum(bits[1:s - 1]), 0) AS before
+  FROM orders, range(1, 6) r(s)
+), grid AS (
+  SELECT part, filter_order, step, bit, n, good, toxic,
+         (mask & bit) <> 0 AS here, (mask & before) <> 0 AS earlier, mask = bit AS alone
+  FROM cells, steps
+), tab AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN NOT here AND NOT earlier THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN here AND NOT earlier THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN here AND earlier THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN here AND NOT earlier THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN here AND NOT earlier THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM grid GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM tab
+"""
+
+
 def queries():
     return {f.__name__: f for f in QUERIES}
 
 
 def statements():
     """SQL for those that SQL can state."""
-    return {"op3_suffixes": OP3_SQL, "op4_topk": OP4_SQL}
+    return {"op3_suffixes": OP3_SQL, "op4_topk": OP4_SQL, "op13_audit": OP13_SQL}
