@@ -15,7 +15,7 @@ from bookbase import fixtures as B
 from bookbase.functions import text as X
 from bookbase.operators import ask as A
 from bookbase.operators import chunk as C
-from bookbase.operators import clean, embed, extract, keys, knn, lemma
+from bookbase.operators import clean, embed, extract, generations, keys, knn, lemma
 from bookbase.operators import lookup as L
 from bookbase.plans.catalogue import book_vectors, books_from_catalogue, build_store, catalogue_from_pages, dropped_books
 from bookbase.plans.questions import prepare_batch
@@ -112,6 +112,17 @@ def vec_load_or_create(spark, d):
     return again.select("book_key", "ebook_no", "meta.title", "meta.author", "meta.subject")
 
 
+def store_append_indexed(spark, d):
+    """The store grows in two appends and its index with it, one generation each; every vector
+    is then asked for its 5 nearest through the newest generation (exact search by cells)."""
+    path, root = scratch_path(spark, "vectors"), scratch_path(spark, "generations")
+    labelled = B.table(spark, d, "labels").select(F.col("doc_id").alias("ebook_no"))
+    generations.append_indexed(B.vectors(spark, d).join(labelled, "ebook_no", "left_semi"), path, root)
+    store, newest = generations.append_indexed(B.vectors(spark, d), path, root)
+    q = store.select(F.col("ebook_no").alias("qid"), "embedding")
+    return knn.knn_cells(q, newest, 5).withColumnRenamed("cid", "ebook_no")
+
+
 def vec_append_new(spark, d):
     path = scratch_path(spark, "vectors")
     labelled = B.table(spark, d, "labels").select(F.col("doc_id").alias("ebook_no"))
@@ -209,7 +220,7 @@ def _built(spark, d):
 
 def build_store_rows(spark, d):
     store, index = _built(spark, d)
-    indexed = spark.read.parquet(f"{index}/vectors").select(F.col("cid").alias("ebook_no"))
+    indexed = knn.index_vectors(spark, index).select(F.col("cid").alias("ebook_no"))
     return store.join(indexed, "ebook_no").select("book_key", "ebook_no", "meta.title", "meta.author", "text")
 
 
@@ -481,7 +492,7 @@ def q_tools(spark, d):
 
 _QUERIES = [
     src_page_ids, src_pages, sink_raw_roundtrip, src_first_n, sink_clean_roundtrip, src_clean, row_to_text,
-    text_to_fields, vec_load_or_create, vec_append_new, vec_count, vec_peek, page_pairs, page_fields,
+    text_to_fields, vec_load_or_create, vec_append_new, store_append_indexed, vec_count, vec_peek, page_pairs, page_fields,
     page_fields_multi, page_head, clean_fill, clean_author, clean_text, clean_stopwords, clean_lemma,
     clean_lemma_joined, clean_keywords, clean_catalogue, catalogue_job, catalogue_books, catalogue_dropped,
     build_store_rows, lk_author_indexed, lk_author_on_title, key_hash, key_uuid, key_seq, key_name,

@@ -185,10 +185,43 @@ def build_cells(
     return path
 
 
+def resolve_index(spark, index):
+    """`index` itself when it holds a cell table, else the newest complete generation under it."""
+    if path_exists(spark, f"{index}/cells"):
+        return index
+    from bookbase.operators.generations import current
+
+    newest = current(spark, index)
+    if newest is None:
+        raise FileNotFoundError(index)
+    return newest
+
+
+def index_vectors(spark, index) -> DataFrame:
+    """(cid, cv, cell) of the live rows of an index: one folder of vectors, or the folders that its
+    `parts` table lists (an index generation), read only for cells its cell table still has."""
+    index = resolve_index(spark, index)
+    if not path_exists(spark, f"{index}/parts"):
+        return spark.read.parquet(f"{index}/vectors").select("cid", "cv", "cell")
+    paths = [r["path"] for r in spark.read.parquet(f"{index}/parts").orderBy("path").collect()]
+    live = spark.read.parquet(f"{index}/cells").filter("size > 0").select("cell")
+    return read_parts(spark, paths).join(live, "cell", "left_semi")
+
+
+def read_parts(spark, paths) -> DataFrame:
+    """(cid, cv, cell) of folders partitioned by cell, one read each: Spark reads one partitioned root at a time."""
+    reads = [spark.read.parquet(p).select("cid", "cv", "cell") for p in paths]
+    out = reads[0]
+    for more in reads[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 class _Cells:
     """The cell facts of an index; at most MAX_CELLS rows by construction."""
 
     def __init__(self, spark, path):
+        path = resolve_index(spark, path)
         if not path_exists(spark, f"{path}/cells/_SUCCESS"):
             raise FileNotFoundError(path)
         rows = spark.read.parquet(f"{path}/cells").orderBy("cell").collect()
@@ -275,10 +308,11 @@ def knn_approx(
 ) -> DataFrame:
     """The k nearest rows among the `probe` nearest cells of each query; more cells, higher recall."""
     spark = queries.sparkSession
+    index = resolve_index(spark, index)
     facts = _Cells(spark, index)
     q = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
     asked = materialise(_ask(q, spark.sparkContext.broadcast(facts), _probe(probe), ["qid", "qv"]), "asked")
-    found = _meet(asked, spark.read.parquet(f"{index}/vectors").select("cid", "cv", "cell"), facts, k)
+    found = _meet(asked, index_vectors(spark, index), facts, k)
     return _rank(found, k, *(names or (qid, "cid")))
 
 
@@ -292,9 +326,10 @@ def knn_cells(
     its centre, less its radius, is within the bound: just those cells are asked next.
     """
     spark = queries.sparkSession
+    index = resolve_index(spark, index)
     facts = _Cells(spark, index)
     shared = spark.sparkContext.broadcast(facts)
-    vectors = spark.read.parquet(f"{index}/vectors").select("cid", "cv", "cell")
+    vectors = index_vectors(spark, index)
     q = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
     q = materialise(q, "queries")
     asked = materialise(_ask(q, shared, _probe(1), ["qid", "qv"]), "asked")

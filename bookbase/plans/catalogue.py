@@ -8,7 +8,7 @@ from bookbase.operators.clean import clean_catalogue, require_columns
 from bookbase.operators.embed import embed
 from bookbase.operators.extract import page_fields
 from bookbase.operators.keys import with_hash_key, with_meta
-from bookbase.operators.knn import build_cells
+from bookbase.operators.generations import sync
 from bookbase.session import path_exists
 from bookbase.sources.vectors import load_or_create
 
@@ -61,10 +61,13 @@ def dropped_books(books: DataFrame) -> DataFrame:
 def build_store(books: DataFrame, path, index, metric="l2", embedder=None):
     """(store, index): the vector table of `books` at `path` and the cells of its vectors at `index`.
 
-    Both are built once and read again afterwards; lookups take the pair.
+    The store is built once and read again afterwards. `index` is a root of index generations
+    (`operators.generations`): its newest generation is brought to the rows of the store, by
+    appending what it lacks or, if it holds rows the store no longer has, by a new build. An index
+    of the older single-folder layout at `index` is used as it is. Lookups take the pair.
     """
     spark = books.sparkSession
     store = load_or_create(spark, path, lambda: book_vectors(books, embedder))
     if not path_exists(spark, f"{index}/cells/_SUCCESS"):
-        build_cells(store, index, metric=metric)
+        sync(store, index, metric)
     return store, index
