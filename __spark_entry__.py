@@ -15,7 +15,7 @@ from bookbase import fixtures as B
 from bookbase.functions import text as X
 from bookbase.operators import ask as A
 from bookbase.operators import chunk as C
-from bookbase.operators import clean, embed, extract, generations, keys, knn, lemma
+from bookbase.operators import centre_tree, clean, embed, extract, generations, keys, knn, lemma
 from bookbase.operators import lookup as L
 from bookbase.plans.catalogue import book_vectors, books_from_catalogue, build_store, catalogue_from_pages, dropped_books
 from bookbase.plans.questions import prepare_batch
@@ -344,6 +344,20 @@ def knn_approx(spark, d):
     return knn.knn_approx(q, index, 5, probe=8).withColumnRenamed("cid", "ebook_no")
 
 
+def knn_tree_l2(spark, d):
+    """Exact 5 nearest of every vector through a two-level centre tree (no limit on cells)."""
+    q, c = _self(spark, d)
+    path = centre_tree.build_tree(c, scratch_path(spark, "tree"))
+    return centre_tree.knn_tree(q, path, 5).withColumnRenamed("cid", "ebook_no")
+
+
+def knn_tree_approx(spark, d):
+    """Beam search of the tree: the 3 nearest groups, then the 8 nearest of their cells."""
+    q, c = _self(spark, d)
+    path = centre_tree.build_tree(c, scratch_path(spark, "tree"))
+    return centre_tree.knn_tree_approx(q, path, 5, beam=3, probe=8).withColumnRenamed("cid", "ebook_no")
+
+
 def knn_rank_all(spark, d):
     _, c = _self(spark, d)
     mean = c.select(F.posexplode("embedding").alias("at", "x")).groupBy("at").agg(F.avg(F.col("x").cast("double")).alias("x"))
@@ -497,7 +511,7 @@ _QUERIES = [
     clean_lemma_joined, clean_keywords, clean_catalogue, catalogue_job, catalogue_books, catalogue_dropped,
     build_store_rows, lk_author_indexed, lk_author_on_title, key_hash, key_uuid, key_seq, key_name,
     batch_no, meta_struct, chunk_fixed, chunk_recursive, embed_hash, embed_idf, embed_norm, embed_questions,
-    embed_model, knn_filtered, knn_approx, knn_rank_all, knn_sparse, lk_books_by_author,
+    embed_model, knn_filtered, knn_approx, knn_tree_l2, knn_tree_approx, knn_rank_all, knn_sparse, lk_books_by_author,
     lk_books_by_author_exact, lk_author, lk_subject, lk_characters, lk_character_spans, lk_text_head, lk_text_full,
     lk_contains_author, lk_contains_subject, lk_regex_author, lk_fallback, chars_title_case, chars_spans, q_guard,
     q_retrieve, q_context, q_prompt, q_parse_reply, q_route, q_default, q_batch, q_stream, q_tools,

@@ -312,7 +312,7 @@ SELECT id AS doc_id, bucket, round((x / sqrt(sum(x * x) OVER (PARTITION BY id)))
     s["embed_model"] = f"SELECT doc_id, length(t) AS size, length(t) - length(replace(t, ' ', '')) AS blanks FROM ({cleaned}) WHERE t <> ''"
     for metric in ("l2", "cosine", "dot"):
         s[f"knn_{metric}"] = s[f"knn_{metric}_cells"] = dense_knn(metric)
-    s["store_append_indexed"] = dense_knn("l2")
+    s["store_append_indexed"] = s["knn_tree_l2"] = dense_knn("l2")
     apart = "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE)))"
     s["knn_approx"] = f"""WITH v AS (SELECT vec_id AS id, embedding AS e FROM embeddings SEMI JOIN documents ON doc_id = vec_id),
 away AS (SELECT v.id, v.e, c.id AS cell, row_number() OVER (PARTITION BY v.id ORDER BY {apart.format('v.e', 'c.e')}, c.id) AS near
