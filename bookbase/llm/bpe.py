@@ -31,6 +31,8 @@ import regex
 #: Characters read at a time; a pre-token is final once this many characters past its end are read.
 CHUNK = 1 << 16
 LOOKAHEAD = 2
+#: Pre-tokens whose ids a Python worker keeps (about 150 bytes each); the table is emptied when full.
+WORDS_HELD = 1 << 20
 #: Pre-tokens of more characters than this are merged by the streaming rule instead of whole.
 LONG = 256
 
@@ -64,6 +66,7 @@ class Vocabulary:
             self.tokens[i] = content
         self.byte_char = _byte_alphabet()
         self.char_byte = {c: b for b, c in self.byte_char.items()}
+        self.byte_table = {b: c for b, c in self.byte_char.items()}
         # The longest token in bytes bounds how far back a new byte can change the last tokens.
         self.span = max(len(t) for t in self.ids)
         self.suffixes = {t[i:] for t in self.ids for i in range(len(t))}
@@ -106,12 +109,12 @@ class Vocabulary:
         known = self._words.get(piece)
         if known is not None:
             return known
-        mapped = "".join(self.byte_char[b] for b in piece.encode("utf-8", "surrogatepass"))
+        mapped = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.byte_table)
         if len(mapped) > LONG:
             return tuple(_stable_prefix_tokens(self, mapped))
-        if len(self._words) >= 1 << 17:
+        if len(self._words) >= WORDS_HELD:
             self._words.clear()
-        known = self._words[piece] = self._cache(mapped)
+        known = self._words[piece] = self._merge_word(mapped)
         return known
 
 
