@@ -1,10 +1,10 @@
 """How five quality filters interact: a sparse document-term matrix and failure masks.
 
 Words (maximal runs of anything but blanks, tabs and line ends, case kept) are dictionary-encoded
-over the whole table: every distinct word gets one integer id, written once. Each document's
-(term id, count) pairs are then dealt to CSR shards by row: a shard sorts its entries by row and
-term and keeps indptr / indices / data arrays, whose row sums give the number of words and whose
-row lengths give the number of distinct words. Those decide the filters A and B; C, D and E
+over the whole table: every distinct word gets one integer id, written once. CSR shards (indptr /
+indices / data arrays for a batch of rows) are built where the rows are read, with shard-local
+term ids; only the shards' vocabularies go to the dictionary, and its ids replace the local ones.
+Row sums give the number of words and row lengths the number of distinct words. Those decide the filters A and B; C, D and E
 are Spark expressions and a grouping by text, and the five flags form a 5-bit mask per document.
 Masks are counted per part, and every order of the five filters is applied to the counts: 32
 masks a part, never a document at a time.
@@ -36,75 +36,144 @@ SYMBOLS = "[#$%&*|]"
 SPLIT = r"[\x20\x09-\x0D]+"
 
 
-def dictionary(terms: DataFrame) -> DataFrame:
-    """(word, term) for every distinct word of `terms`; ids are unique, written once so they stay put."""
-    words = terms.select("word").distinct()
-    return materialise(words.withColumn("term", F.monotonically_increasing_id()), "dictionary")
+LOCAL = "shard long, rows array<long>, indptr array<int>, indices array<int>, data array<int>, words array<binary>"
+GLOBAL = "shard long, rows array<long>, indptr array<int>, indices array<long>, data array<int>"
 
 
-def _csr_counts(frames):
-    """Per row of the CSR shard: number of words (row sum) and of distinct words (row length).
+#: Entries (distinct words of a row, summed over its rows) after which a shard is closed; bounds a task's memory.
+SHARD_ENTRIES = 1 << 18
 
-    Entries come sorted by (row, term); a row cut between two batches is carried to the next.
+
+def _local_shards(frames):
+    """CSR shards of about SHARD_ENTRIES entries, built where the rows are, each with its own vocabulary.
+
+    Words are the byte runs that `bytes.split` gives, which cuts at exactly \\x20 and \\x09-\\x0D.
+    The shard id is the task's partition and the shard's place in it, the same when a task is rerun.
+    A row is never cut: a shard closes after the row that reaches the bound.
     """
+    from collections import Counter
+
+    import numpy as np
+    import pandas as pd
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    made = 0
+    vocab, rows, indptr, indices, data = {}, [], [0], [], []
+
+    def close():
+        return pd.DataFrame({
+            "shard": [(part << 24) | made], "rows": [np.array(rows, np.int64)],
+            "indptr": [np.array(indptr, np.int32)], "indices": [np.array(indices, np.int32)],
+            "data": [np.array(data, np.int32)], "words": [list(vocab)],
+        })
+
+    for frame in frames:
+        for row, text in zip(frame["__row"].tolist(), frame["__text"].tolist()):
+            rows.append(row)
+            for word, n in Counter(text.encode("utf-8", "surrogatepass").split()).items():
+                indices.append(vocab.setdefault(word, len(vocab)))
+                data.append(n)
+            indptr.append(len(indices))
+            if len(indices) >= SHARD_ENTRIES:
+                yield close()
+                made += 1
+                vocab, rows, indptr, indices, data = {}, [], [0], [], []
+    if rows:
+        yield close()
+
+
+def _globalise(frames):
+    """Shards with their local term ids replaced by the dictionary's."""
+    import numpy as np
+    import pandas as pd
+
+    for frame in frames:
+        out = []
+        for indices, locals_, terms in zip(frame["indices"], frame["locals"], frame["terms"]):
+            indices = np.asarray(indices, np.int64)
+            if not len(indices):
+                out.append(np.zeros(0, np.int64))
+                continue
+            table = np.zeros(len(locals_), np.int64)
+            table[np.asarray(locals_, np.int64)] = np.asarray(terms, np.int64)
+            out.append(table[indices])
+        yield pd.DataFrame({
+            "shard": frame["shard"], "rows": frame["rows"], "indptr": frame["indptr"], "indices": out, "data": frame["data"],
+        })
+
+
+def _row_counts(frames):
+    """Per row of every shard: row sum (words) and row length (distinct words)."""
     import numpy as np
     import pandas as pd
 
-    carry = None
     for frame in frames:
-        if not len(frame):
-            continue
-        row = frame["__row"].to_numpy()
-        data = frame["n"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        indptr = np.r_[starts, len(row)]
-        sums = np.add.reduceat(data, indptr[:-1])
-        lengths = np.diff(indptr)
-        rows = row[indptr[:-1]]
-        if carry is not None:
-            if rows[0] == carry[0]:
-                sums[0] += carry[1]
-                lengths[0] += carry[2]
-            else:
-                yield pd.DataFrame({"__row": [carry[0]], "n_words": [carry[1]], "n_distinct": [carry[2]]})
-        carry = (rows[-1], int(sums[-1]), int(lengths[-1]))
-        if len(rows) > 1:
-            yield pd.DataFrame({"__row": rows[:-1], "n_words": sums[:-1], "n_distinct": lengths[:-1]})
-    if carry is not None:
-        yield pd.DataFrame({"__row": [carry[0]], "n_words": [carry[1]], "n_distinct": [carry[2]]})
-
-
-def word_counts(rows: DataFrame, text="__text") -> DataFrame:
-    """(__row, n_words, n_distinct) for every row of `rows` with at least one word."""
-    words = F.filter(F.split(F.col(text), SPLIT), lambda w: w != "")
-    terms = rows.select("__row", F.explode(words).alias("word")).groupBy("__row", "word").agg(F.count(F.lit(1)).alias("n"))
-    terms = materialise(terms, "terms")
-    coo = terms.join(dictionary(terms), "word").select("__row", "term", "n")
-    shards = coo.repartition(shuffle_partitions(rows.sparkSession), "__row").sortWithinPartitions("__row", "term")
-    return shards.mapInPandas(_csr_counts, "__row long, n_words long, n_distinct long")
+        rows, sums, lengths = [], [], []
+        for r, indptr, data in zip(frame["rows"], frame["indptr"], frame["data"]):
+            indptr = np.asarray(indptr, np.int64)
+            data = np.asarray(data, np.int64)
+            total = np.r_[0, np.cumsum(data)]
+            rows.append(np.asarray(r, np.int64))
+            sums.append(total[indptr[1:]] - total[indptr[:-1]])
+            lengths.append(np.diff(indptr))
+        if rows:
+            yield pd.DataFrame({"__row": np.concatenate(rows), "n_words": np.concatenate(sums), "n_distinct": np.concatenate(lengths)})
+
+
+def csr_shards(rows: DataFrame) -> DataFrame:
+    """The document-term matrix of `rows` (__row, __text) as CSR shards with global term ids.
+
+    Shards are made where the rows are (about SHARD_ENTRIES entries each) with local ids. Each distinct word is one
+    group that gathers its (shard, local id) pairs (a word is in at most every shard once) and gets
+    its dictionary id there, written once; the ids go back to the shards as integers only.
+    """
+    local = materialise(rows.select("__row", "__text").mapInPandas(_local_shards, LOCAL), "csr_local")
+    vocab = local.select("shard", F.posexplode("words").alias("local", "word"))
+    words = vocab.groupBy("word").agg(F.collect_list(F.struct("shard", "local")).alias("at"))
+    words = materialise(words.select("word", F.monotonically_increasing_id().alias("term"), "at"), "dictionary")
+    # Both lists are filled from the same rows in the same order.
+    mapping = words.select("term", F.explode("at").alias("at")).groupBy(F.col("at.shard").alias("shard")).agg(
+        F.collect_list(F.col("at.local")).alias("locals"), F.collect_list("term").alias("terms")
+    )
+    joined = local.drop("words").join(mapping, "shard", "left")
+    return joined.mapInPandas(_globalise, GLOBAL)
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(__row, n_words, n_distinct) for every row of `rows` (__row, __text), from the CSR shards."""
+    return csr_shards(rows).mapInPandas(_row_counts, "__row long, n_words long, n_distinct long")
 
 
 def failure_masks(docs: DataFrame, labels: DataFrame | None = None, id_col="doc_id", text_col="text", part_col="lang") -> DataFrame:
-    """Per document: doc_id, part, mask (bit k set: filter FILTERS[k] fails), good, toxic."""
+    """Per document: doc_id, part, mask (bit k set: filter FILTERS[k] fails), good, toxic.
+
+    Rows are numbered as they are scanned (`monotonically_increasing_id`: a file scan gives every
+    row the same number each time it is read, also when a lost task is run again); the texts are
+    read twice, once for the word counts and once for the other filters, and never written.
+    """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).cast("long").alias("__id"), text.alias("__text"),
         F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
     ).withColumn("__row", F.monotonically_increasing_id())
-    rows = materialise(rows, "audit_rows")
     counts = word_counts(rows)
-    key = F.concat(F.sha2("__text", 256), F.lit(":"), F.length("__text").cast("string"))
-    rows = rows.withColumn("__key", key)
-    first = rows.groupBy("__key").agg(F.min("__id").alias("__first"))
     upper = F.length("__text") - F.length(F.regexp_replace("__text", "[A-Z]", ""))
-    flagged = rows.join(counts, "__row", "left").join(first, "__key")
+    meta = rows.select(
+        "__row", "__id", "part",
+        F.concat(F.sha2("__text", 256), F.lit(":"), F.length("__text").cast("string")).alias("__key"),
+        (100 * upper > UPPER_PERCENT * F.length("__text")).alias("__c"),
+        F.col("__text").rlike(SYMBOLS).alias("__d"),
+    )
+    first = meta.groupBy("__key").agg(F.min("__id").alias("__first"))
+    flagged = meta.join(counts, "__row", "left").join(first, "__key")
     n_words, n_distinct = F.coalesce("n_words", F.lit(0)), F.coalesce("n_distinct", F.lit(0))
     fails = [
         n_words < MIN_WORDS,
         100 * n_distinct < DISTINCT_PERCENT * n_words,
-        100 * upper > UPPER_PERCENT * F.length("__text"),
-        F.col("__text").rlike(SYMBOLS),
+        F.col("__c"),
+        F.col("__d"),
         F.when(F.col("__id").isNull(), F.col("__first").isNotNull()).otherwise(F.col("__id") > F.col("__first")),
     ]
     mask = sum(F.when(f, F.lit(1 << k)).otherwise(F.lit(0)) for k, f in enumerate(fails))
