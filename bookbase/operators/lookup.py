@@ -228,6 +228,11 @@ def required_literal(pattern):
         parsed = sre.parse(pattern)
     except (re.error, OverflowError, RecursionError):
         return ""
+    return _longest_run(parsed)
+
+
+def _longest_run(items):
+    """The longest run of ASCII literals (lower case) that every match of the parsed `items` holds; '' if under GRAM."""
     runs = [""]
 
     def walk(items):
@@ -242,41 +247,75 @@ def required_literal(pattern):
                 walk(value[-1])
             runs.append("")
 
-    walk(parsed)
+    walk(items)
     best = max(runs, key=len)
     return best if len(best) >= GRAM else ""
 
 
+def required_choices(pattern):
+    """Literal pieces (lower case, GRAM characters or more) of which every match holds at least one.
+
+    One piece when the pattern requires one outright; else, for an alternation that every match
+    passes through (not inside an optional part), the longest required run of each alternative,
+    if every alternative has one. [] when neither holds: such a pattern is tried on every title.
+    """
+    try:
+        parsed = sre.parse(pattern)
+    except (re.error, OverflowError, RecursionError):
+        return []
+    return _choices(parsed)
+
+
+def _choices(items):
+    single = _longest_run(items)
+    if single:
+        return [single]
+    for op, value in items:
+        if op is sre.BRANCH:
+            alternatives = [_choices(alternative) for alternative in value[1]]
+            if all(alternatives):
+                return sorted({piece for pieces in alternatives for piece in pieces})
+        elif op is sre.SUBPATTERN or (op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and value[0] > 0):
+            found = _choices(value[-1])
+            if found:
+                return found
+    return []
+
+
 def _regex_match(wants, titles):
     """(want, pos) of the first title that each pattern is found in.
 
-    A pattern that cannot match without some literal piece is tried on the titles that hold the
-    rarest gram of that piece alone; one without is tried on every title.
+    A pattern is tried only on the titles that hold one of its required pieces (`required_choices`:
+    one piece, or one per alternative), each piece found by its rarest gram; a pattern without any
+    is tried on every title.
     """
 
-    @F.pandas_udf("string")
-    def literals(patterns: pd.Series) -> pd.Series:
-        return patterns.map(required_literal)
+    @F.pandas_udf("array<string>")
+    def choices(patterns: pd.Series) -> pd.Series:
+        return patterns.map(required_choices)
 
     @F.pandas_udf("boolean")
     def matches(patterns: pd.Series, texts: pd.Series) -> pd.Series:
         tests = dict(_compiled(patterns.unique()))
         return pd.Series([p in tests and tests[p].search(t) is not None for p, t in zip(patterns, texts)], dtype=bool)
 
-    known = materialise(wants.select("want", literals("want").alias("literal")), "patterns")
+    known = materialise(wants.select("want", choices("want").alias("choices")), "patterns")
     # What Python takes for an s or an i when case does not count.
     folded = titles.select("key", "pos", F.translate(F.lower("key"), "ſı", "si").alias("low"))
     grams = folded.select("key", "pos", "low", F.explode(_pieces(F.col("low"), [GRAM])).alias("gram"))
     stats = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    asked = known.filter("literal <> ''").select("want", "literal", F.explode(_pieces(F.col("literal"), [GRAM])).alias("gram"))
+    pieces = known.select("want", F.explode("choices").alias("literal"))
+    asked = pieces.select("want", "literal", F.explode(_pieces(F.col("literal"), [GRAM])).alias("gram"))
     rated = lookup_join(asked, stats, "gram", "want").select("want", "literal", "gram", F.coalesce("df", F.lit(0)).alias("df"))
     rarest = rated.groupBy("want", "literal").agg(F.min(F.struct("df", "gram")).alias("pick")).filter("pick.df > 0")
     parts = F.array(*[F.lit(i).cast("bigint") for i in range(PARTS)])
     left = rarest.select("want", "literal", F.col("pick.gram").alias("gram"), F.explode(parts).alias("part"))
     right = grams.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(PARTS)))
     near = left.join(right, ["gram", "part"]).filter(F.col("low").contains(F.col("literal")))
+    # A title that holds two alternatives of one pattern is tried once.
+    near = near.select("want", "key", "pos").dropDuplicates(["want", "key"])
     found = near.filter(matches("want", "key")).groupBy("want").agg(F.min("pos").alias("pos"))
-    return found.unionByName(_regex_everywhere(known.filter("literal = ''").select("want"), titles))
+    return found.unionByName(_regex_everywhere(known.filter(F.size("choices") == 0).select("want"), titles))
 
 
 def _regex_everywhere(wants, titles):

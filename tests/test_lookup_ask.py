@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,3 +175,23 @@ def test_regex_keeps_the_case_of_titles(spark, books):
     r = requests(spark, "(?-i:ISLAND)", "island", ".*", "[a-z]{3}nothing")
     got = L.match_value(r, more, "author", "none", literal=False).orderBy("qid").collect()
     assert [x["answer"] for x in got] == ["B", "A", "A", "none"]
+
+
+@pytest.mark.parametrize("pattern,want", [
+    ("(LAST|first)", ["first", "last"]), ("(foo|bar)|bazz", ["bar", "bazz", "foo"]), ("x?yzzy|q", []),
+    ("(abcd|efg)+h", ["abcd", "efg"]), ("((ab|cd)e)*xy", []), ("(cat|dog)fish", ["fish"]), ("(abc|de)?xyz", ["xyz"]), ("[", []),
+])
+def test_required_choices(pattern, want):
+    assert L.required_choices(pattern) == want
+
+
+def test_alternatives_find_what_every_title_would(spark, books):
+    r = requests(spark, "(EMMA|persuasion)", "(emma|xyzzy)", "(nothing|never)", "(?i)(EMMA|PERS)", "ab|(emma)")
+    got = {x["qid"]: x["ebook_no"] for x in L.first_match(r, books, ["ebook_no"], literal=False).collect()}
+    titles = sorted((b["pos"], b["title"], b["ebook_no"]) for b in books.collect() if b["title"] is not None)
+    want = {}
+    for i, pattern in enumerate(["(EMMA|persuasion)", "(emma|xyzzy)", "(nothing|never)", "(?i)(EMMA|PERS)", "ab|(emma)"]):
+        hit = next((e for _, t, e in titles if re.search(pattern, t, re.IGNORECASE)), None)
+        if hit is not None:
+            want[i] = hit
+    assert got == want
