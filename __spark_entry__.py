@@ -337,6 +337,14 @@ def knn_filtered(spark, d):
     return knn.knn(q, c.join(labels, "ebook_no"), k=5, where=F.col("quality") == 1)
 
 
+def knn_filtered_indexed(spark, d):
+    """As knn_filtered, through a stored index of the whole corpus: only rows that pass count."""
+    labels = B.table(spark, d, "labels").select(F.col("doc_id").alias("ebook_no"), "quality")
+    q, c = _self(spark, d)
+    index = knn.build_cells(c, scratch_path(spark, "cells"))
+    return knn.knn(q, c.join(labels, "ebook_no"), k=5, where=F.col("quality") == 1, index=index)
+
+
 def knn_approx(spark, d):
     q, c = _self(spark, d)
     given = c.filter("ebook_no < 16").orderBy("ebook_no").collect()  # 16 vectors
@@ -511,7 +519,7 @@ _QUERIES = [
     clean_lemma_joined, clean_keywords, clean_catalogue, catalogue_job, catalogue_books, catalogue_dropped,
     build_store_rows, lk_author_indexed, lk_author_on_title, key_hash, key_uuid, key_seq, key_name,
     batch_no, meta_struct, chunk_fixed, chunk_recursive, embed_hash, embed_idf, embed_norm, embed_questions,
-    embed_model, knn_filtered, knn_approx, knn_tree_l2, knn_tree_approx, knn_rank_all, knn_sparse, lk_books_by_author,
+    embed_model, knn_filtered, knn_filtered_indexed, knn_approx, knn_tree_l2, knn_tree_approx, knn_rank_all, knn_sparse, lk_books_by_author,
     lk_books_by_author_exact, lk_author, lk_subject, lk_characters, lk_character_spans, lk_text_head, lk_text_full,
     lk_contains_author, lk_contains_subject, lk_regex_author, lk_fallback, chars_title_case, chars_spans, q_guard,
     q_retrieve, q_context, q_prompt, q_parse_reply, q_route, q_default, q_batch, q_stream, q_tools,

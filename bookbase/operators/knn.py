@@ -58,16 +58,19 @@ def knn(
 
     metric: `l2` (squared Euclidean), `cosine` (1 - cosine) or `dot` (1 - inner product).
     `where` filters the corpus before the search. Queries without a vector have no rows.
-    `index`, a folder that `build_cells` wrote for this corpus and metric, is searched instead of
-    the corpus whatever the number of queries; it cannot be filtered, so with `where` the corpus
-    is. Without one, queries that fit go to every task, and for more cells are made for this call.
+    `index`, a folder that `build_cells` (or a root of generations) wrote for this corpus and
+    metric, is searched instead of the corpus whatever the number of queries. With `where`, only
+    the index rows whose ids pass the filter take part; a cell's radius still bounds its remaining
+    rows, so the search stays exact and widens to further cells until k rows that pass are found.
+    Without an index, queries that fit go to every task, and for more cells are made for this call.
     """
     q, c = _inputs(queries, corpus, qid, cid, vector, where)
-    if index is not None and where is None:
+    if index is not None:
         made_for = _Cells(q.sparkSession, index).metric
         if made_for != metric:
             raise ValueError(f"the index is for {made_for}, not {metric}")
-        return knn_cells(q, index, k, qid="qid", vector="qv", names=(qid, cid))
+        allowed = c.select("cid") if where is not None else None
+        return knn_cells(q, index, k, qid="qid", vector="qv", names=(qid, cid), allowed=allowed)
     if fits(q, MAX_QUERIES, MAX_BYTES, 8 * F.size("qv")):
         return _rank(_broadcast_knn(q, c, k, metric), k, qid, cid)
     index = build_cells(c, scratch_path(c.sparkSession, "cells"), metric=metric, cid="cid", vector="cv")
@@ -317,19 +320,23 @@ def knn_approx(
 
 
 def knn_cells(
-    queries: DataFrame, index, k=5, qid="qid", vector="embedding", names=None
+    queries: DataFrame, index, k=5, qid="qid", vector="embedding", names=None, allowed=None
 ) -> DataFrame:
     """The exact k nearest rows by way of cells.
 
     First each query is answered inside its nearest cell; its k-th distance there bounds the
     true one from above. By the triangle inequality a cell can only help when the distance to
-    its centre, less its radius, is within the bound: just those cells are asked next.
+    its centre, less its radius, is within the bound: just those cells are asked next. With
+    `allowed` (a table of `cid`), only those rows of the index count; a query whose nearest cell
+    holds fewer than k of them has no bound and asks every cell.
     """
     spark = queries.sparkSession
     index = resolve_index(spark, index)
     facts = _Cells(spark, index)
     shared = spark.sparkContext.broadcast(facts)
     vectors = index_vectors(spark, index)
+    if allowed is not None:
+        vectors = vectors.join(allowed.select("cid").distinct(), "cid", "left_semi")
     q = queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv"))
     q = materialise(q, "queries")
     asked = materialise(_ask(q, shared, _probe(1), ["qid", "qv"]), "asked")

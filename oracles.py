@@ -321,7 +321,9 @@ pairs AS (SELECT q.id AS qid, b.id AS ebook_no, round({apart.format('q.e', 'b.e'
   FROM away q JOIN away b ON q.cell = b.cell WHERE q.near <= 8 AND b.near = 1),
 hits AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, ebook_no) AS rank FROM pairs)
 SELECT qid, rank, ebook_no, distance FROM hits WHERE rank <= 5"""
-    s["knn_filtered"] = dense_knn("l2", "(SELECT e.* FROM embeddings e JOIN labels ON doc_id = vec_id WHERE quality = 1) b")
+    s["knn_filtered"] = s["knn_filtered_indexed"] = dense_knn(
+        "l2", "(SELECT e.* FROM embeddings e JOIN labels ON doc_id = vec_id WHERE quality = 1) b"
+    )
     s["knn_rank_all"] = """WITH v AS (SELECT e.* FROM embeddings e SEMI JOIN documents ON doc_id = vec_id),
 x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM v),
 m AS (SELECT i, avg(x) AS m FROM x GROUP BY i)

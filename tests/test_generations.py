@@ -86,3 +86,12 @@ def test_empty_store_gets_an_empty_generation(spark, vectors):
     root = scratch_path(spark, "gens")
     gen = G.sync(vectors.limit(0), root)
     assert G.vectors(spark, gen).count() == 0
+
+
+@pytest.mark.parametrize("keep", ["ebook_no % 2 = 0", "ebook_no % 97 = 0"])
+def test_filtered_search_through_an_index_equals_filtered_exact_search(spark, vectors, keep):
+    q = vectors.select(F.col("ebook_no").alias("qid"), "embedding")
+    c = vectors.select("ebook_no", "embedding")
+    index = knn.build_cells(c, scratch_path(spark, "cells"))
+    got = rows(knn.knn(q, c, k=5, where=F.expr(keep), index=index))
+    assert got == rows(knn.knn(q, c, k=5, where=F.expr(keep)))
