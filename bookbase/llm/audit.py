@@ -83,24 +83,22 @@ def _local_shards(frames):
         yield close()
 
 
-def _globalise(frames):
-    """Shards with their local term ids replaced by the dictionary's."""
+def _globalise(shard, entries):
+    """One shard with its local term ids replaced by the dictionary's (`entries`: local, term)."""
     import numpy as np
     import pandas as pd
 
-    for frame in frames:
-        out = []
-        for indices, locals_, terms in zip(frame["indices"], frame["locals"], frame["terms"]):
-            indices = np.asarray(indices, np.int64)
-            if not len(indices):
-                out.append(np.zeros(0, np.int64))
-                continue
-            table = np.zeros(len(locals_), np.int64)
-            table[np.asarray(locals_, np.int64)] = np.asarray(terms, np.int64)
-            out.append(table[indices])
-        yield pd.DataFrame({
-            "shard": frame["shard"], "rows": frame["rows"], "indptr": frame["indptr"], "indices": out, "data": frame["data"],
-        })
+    if not len(shard):
+        return pd.DataFrame({"shard": [], "rows": [], "indptr": [], "indices": [], "data": []})
+    row = shard.iloc[0]
+    indices = np.asarray(row["indices"], np.int64)
+    table = np.zeros(len(entries), np.int64)
+    if len(entries):
+        table[entries["local"].to_numpy(np.int64)] = entries["term"].to_numpy(np.int64)
+    return pd.DataFrame({
+        "shard": [row["shard"]], "rows": [row["rows"]], "indptr": [row["indptr"]],
+        "indices": [table[indices] if len(indices) else np.zeros(0, np.int64)], "data": [row["data"]],
+    })
 
 
 def _row_counts(frames):
@@ -126,18 +124,19 @@ def csr_shards(rows: DataFrame) -> DataFrame:
 
     Shards are made where the rows are (about SHARD_ENTRIES entries each) with local ids. Each distinct word is one
     group that gathers its (shard, local id) pairs (a word is in at most every shard once) and gets
-    its dictionary id there, written once; the ids go back to the shards as integers only.
+    its dictionary id there, written once; the ids go back to the shards as integers only, met
+    with their shard one shard at a time.
     """
     local = materialise(rows.select("__row", "__text").mapInPandas(_local_shards, LOCAL), "csr_local")
     vocab = local.select("shard", F.posexplode("words").alias("local", "word"))
     words = vocab.groupBy("word").agg(F.collect_list(F.struct("shard", "local")).alias("at"))
     words = materialise(words.select("word", F.monotonically_increasing_id().alias("term"), "at"), "dictionary")
-    # Both lists are filled from the same rows in the same order.
-    mapping = words.select("term", F.explode("at").alias("at")).groupBy(F.col("at.shard").alias("shard")).agg(
-        F.collect_list(F.col("at.local")).alias("locals"), F.collect_list("term").alias("terms")
+    # One shard and its (local, term) entries at a time: no task holds the lists of many shards.
+    entries = words.select("term", F.explode("at").alias("at")).select(
+        F.col("at.shard").alias("shard"), F.col("at.local").alias("local"), "term"
     )
-    joined = local.drop("words").join(mapping, "shard", "left")
-    return joined.mapInPandas(_globalise, GLOBAL)
+    shards = local.drop("words").groupBy("shard").cogroup(entries.groupBy("shard"))
+    return shards.applyInPandas(_globalise, GLOBAL)
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
