@@ -191,3 +191,25 @@ def test_a_task_gives_k_rows_for_each_query(spark):
 def test_cells_are_never_fewer_than_asked_for(spark):
     with pytest.raises(ValueError):
         K.build_cells(vectors(spark, [[1.0]], "ebook_no"), scratch_path(spark, "cells"), cells=K.MAX_CELLS + 1)
+
+
+def test_far_cells_are_not_written_out_query_by_cell(spark, monkeypatch):
+    """Vectors without structure ask nearly every cell; no written table has a row per query and cell."""
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(200, 12)).round(3).tolist()
+    c = vectors(spark, points, "ebook_no")
+    path = K.build_cells(c, scratch_path(spark, "cells"), cells=14)
+    seen, write = [], K.materialise
+
+    def counted(df, name="step"):
+        made = write(df, name)
+        seen.append(made.count())
+        return made
+
+    monkeypatch.setattr(K, "materialise", counted)
+    monkeypatch.setattr(K, "TILE", 64)
+    monkeypatch.setattr(K, "ASK", 100)
+    monkeypatch.setattr(K, "OUT", 7)
+    got = rows(K.knn_cells(vectors(spark, points, "qid"), path, 3))
+    same(got, brute(points, points, 3, "l2"))
+    assert max(seen) <= 3 * 200
