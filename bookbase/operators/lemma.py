@@ -3,11 +3,13 @@
 The result depends on the word list given: a form the list does not hold is left alone.
 """
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookbase.functions.text import words
-from bookbase.operators.joins import lookup_join
+from bookbase.operators.joins import fits, lookup_join
 from bookbase.session import materialise
 
 # Noun endings and what replaces them, in order of trial.
@@ -16,12 +18,17 @@ NOUN_RULES = [
     ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
 ]
 
+#: Changed words, and their bytes, that are sent to every task.
+MAX_LEMMAS, MAX_LEMMA_BYTES = 200_000, 8 << 20
+
+
 def lemmatise(df: DataFrame, columns, vocab: DataFrame, exceptions: DataFrame = None) -> DataFrame:
     """Put every word of the text `columns` in lemma form, order kept, joined by one space.
 
     vocab(word) is the word list, exceptions(word, lemma) the irregular forms, both of any size.
-    The lemma of each distinct word is found once by a join with the word list, and given back to
-    the words of the texts by a join that deals out frequent words. Nulls stay null.
+    The lemma of each distinct word is found once by a join with the word list. The words that it
+    changes go to every task if they are of checked size, and the texts stay where they are; more
+    are given back to the words of the texts by a join that deals out frequent words. Nulls stay null.
     """
     # Row numbers are only told apart within this call; written down, they stay what they are.
     rows = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
@@ -29,6 +36,8 @@ def lemmatise(df: DataFrame, columns, vocab: DataFrame, exceptions: DataFrame =
     each = rows.select("__row", F.explode(texts).alias("t"))
     tokens = each.select("__row", "t.column", F.posexplode("t.words").alias("pos", "word"))
     changed = materialise(lemma_table(tokens, vocab, exceptions), "lemmas")
+    if fits(changed, MAX_LEMMAS, MAX_LEMMA_BYTES, F.octet_length("word") + F.octet_length("lemma")):
+        return _replaced(rows.select(*[F.col(f"`{c}`") for c in df.columns]), columns, changed)
     used = lookup_join(tokens, changed, "word", "__row")
     joined = used.groupBy("__row", "column").agg(
         F.array_join(
@@ -45,6 +54,27 @@ def lemmatise(df: DataFrame, columns, vocab: DataFrame, exceptions: DataFrame =
     return rows.join(wide, "__row", "left").select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+def _replaced(rows, columns, changed):
+    """`rows` with the lemmas of the small table `changed` put into the text `columns`, row by row."""
+    table = changed.select("word", "lemma").toArrow()
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (table.column("word").combine_chunks(), table.column("lemma").combine_chunks())
+    )
+
+    @F.arrow_udf("string")
+    def joined(texts: pa.Array) -> pa.Array:
+        flat = texts.flatten()
+        word, lemma = (x.cast(flat.type) for x in shared.value)
+        flat = pc.coalesce(lemma.take(pc.index_in(flat, value_set=word)), flat)
+        ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(texts), 0))
+        offsets = pa.concat_arrays([pa.array([0], ends.type), ends])
+        kind = pa.LargeListArray if pa.types.is_int64(ends.type) else pa.ListArray
+        return pc.binary_join(kind.from_arrays(offsets, flat), " ").cast(pa.string())
+
+    new = {c: F.when(F.col(f"`{c}`").isNotNull(), joined(words(f"`{c}`"))) for c in columns}
+    return rows.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in rows.columns])
+
+
 def lemma_table(words_df: DataFrame, vocab: DataFrame, exceptions: DataFrame = None) -> DataFrame:
     """(word, lemma) for the distinct words whose lemma differs from the word."""
     base = words_df.select("word").distinct()

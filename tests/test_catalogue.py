@@ -206,3 +206,20 @@ def test_catalogue_to_books_and_store(spark):
     assert P.build_store(books.limit(0), path, index)[0].count() == 1
     with pytest.raises(ValueError):
         P.books_from_catalogue(clean.drop("Title"))
+
+
+def test_lemmas_by_table_and_by_join_agree(spark, monkeypatch):
+    """A small table of changed words goes to the tasks: no text is taken apart into rows of words and put together again."""
+    from bookbase.operators import lemma
+
+    df = spark.createDataFrame(
+        [(1, "two  Cats cats boxes men", "boys"), (2, "", None), (3, None, "cats boxes"), (1, "two  Cats cats boxes men", "boys"), (4, " ", "x")],
+        "id int, `a.b` string, t string",
+    )
+    vocab = spark.createDataFrame([(w,) for w in ("cat", "box", "boxe", "man", "boy", "cat")], "word string")
+    told = lemma.lemmatise(df, ["a.b", "t"], vocab)
+    assert "collect_list" not in told._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(map(repr, told.collect()))
+    monkeypatch.setattr(lemma, "MAX_LEMMAS", 0)
+    assert got == sorted(map(repr, lemma.lemmatise(df, ["a.b", "t"], vocab).collect()))
+    assert any("two Cats cat box man" in g for g in got)
