@@ -46,9 +46,12 @@ def document_frequency(df: DataFrame, counts="counts") -> DataFrame:
 
 def idf_weights(df: DataFrame, column, dim=DIM):
     """Inverse document frequency per bucket, a list of `dim` numbers: ln((1+N)/(1+df)) + 1."""
-    counted = df.filter(F.size(words(column)) > 0).select(hashed_counts(column, dim).alias("counts"))
-    total = counted.count()
+    # One pass: a text with words hits the mark after the last bucket as well, which counts such texts.
+    counts = hashed_counts(column, dim)
+    some = F.exists("counts", lambda n: n > 0)
+    counted = df.select(counts.alias("counts")).select(F.concat("counts", F.array(some.cast("int"))).alias("counts"))
     seen = dict(document_frequency(counted).collect())
+    total = seen.pop(dim, 0)
     return [math.log((1 + total) / (1 + seen.get(b, 0))) + 1 for b in range(dim)]
 
 
