@@ -156,28 +156,17 @@ def build_tree(corpus: DataFrame, path, cells=None, metric="l2", cid="ebook_no",
     centres = materialise(centres, "centres")
     packs = centres.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("cell", "centre"))).alias("pack"))
 
-    def to_cell(batches):
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cols = batch.schema.names
-            points = D.matrix(batch.column(cols.index("p")))
-            packs_ = batch.column(cols.index("pack")).to_pylist()
-            cell = np.zeros(len(points), np.int32)
-            reach = np.zeros(len(points))
-            for i, pack in enumerate(packs_):
-                centres_ = np.array([x["centre"] for x in pack])
-                d = np.sqrt(((centres_ - points[i]) ** 2).sum(1))
-                j = int(d.argmin())
-                cell[i], reach[i] = pack[j]["cell"], d[j]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(cols.index("cid")), batch.column(cols.index("cv")), pa.array(cell), pa.array(reach)],
-                ["cid", "cv", "cell", "reach"],
-            )
+    def to_cell(rows, pack):
+        cells_, centres_, _ = _unpacked(pack)
+        points = D.matrix(rows.column("p"))
+        cell, reach = np.zeros(len(points), np.int32), np.zeros(len(points))
+        for s, d in _accurate(points, centres_):
+            j = d.argmin(1)
+            cell[s:s + len(d)], reach[s:s + len(d)] = cells_[j], d[np.arange(len(d)), j]
+        return pa.table([rows.column("cid"), rows.column("cv"), pa.array(cell), pa.array(reach)], ["cid", "cv", "cell", "reach"])
 
     rows = space.mapInArrow(to_group, f"cid {types['cid']}, cv {types['cv']}, p array<double>, group int")
-    rows = rows.join(packs, "group").select("cid", "cv", "p", "pack")
-    placed = rows.mapInArrow(to_cell, f"cid {types['cid']}, cv {types['cv']}, cell int, reach double")
+    placed = _with_pack(rows, packs, "cid", n, to_cell, f"cid {types['cid']}, cv {types['cv']}, cell int, reach double")
     placed.hint("rebalance", F.col("cell")).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
     sizes = spark.read.parquet(f"{path}/vectors").groupBy("cell").agg(
         F.count(F.lit(1)).alias("size"), F.max("reach").alias("radius")
@@ -202,6 +191,34 @@ def build_tree(corpus: DataFrame, path, cells=None, metric="l2", cid="ebook_no",
     return path
 
 
+def _unpacked(pack):
+    """Cell ids, centres and radii (if it has them) of the one pack in the table `pack`."""
+    cells = pack.column("pack")[0].as_py()
+    return (
+        np.array([x["cell"] for x in cells], np.int32), np.array([x["centre"] for x in cells]),
+        np.array([x.get("radius", 0.0) for x in cells]),
+    )
+
+
+def _accurate(points, centres):
+    """(first row, distances of some rows of `points` to all centres), without the loss of differences of large squares."""
+    step = max(1, (1 << 20) // max(1, centres.size))
+    for s in range(0, len(points), step):
+        yield s, np.sqrt(((points[s:s + step, None, :] - centres[None, :, :]) ** 2).sum(2))
+
+
+def _with_pack(rows, packs, key, n, work, schema):
+    """`work(rows, pack)` for the rows of each group with the pack of its cells, which travels once
+    per part of a group: parts are of about CHUNK rows if all `n` rows go to one group."""
+    parts = max(1, -(-n // CHUNK))
+    left = rows.withColumn("__part", F.pmod(F.xxhash64(key), F.lit(parts)))
+    asked = left.select("group", "__part").distinct()
+    right = asked.join(packs, "group").select(F.col("group").alias("of"), F.col("__part").alias("part"), "pack")
+
+    # Every group of rows has its pack and every pack some rows.
+    return left.groupBy("group", "__part").cogroup(right.groupBy("of", "part")).applyInArrow(work, schema)
+
+
 def _write_empty(spark, path, metric, top, types):
     spark.createDataFrame([], f"cid {types['cid']}, cv {types['cv']}, reach double, cell int").write.mode(
         "overwrite"
@@ -230,13 +247,13 @@ def _groups(spark, path):
     return _Groups([r for r in rows if len(r["centre"])], rows[0]["metric"], rows[0]["top"])
 
 
-def _choose_cells(q, path, groups, pick_groups, pick_cells, extra=()):
-    """(qid, qv, cell) for the cells each query asks: groups by `pick_groups(distances, batch)`,
-    then, joined to those groups' cells, cells by `pick_cells(query point, distances, radii, row)`."""
+def _choose_cells(q, path, groups, pick_groups, pick_cells):
+    """(qid, qv, cell) for the cells each query asks: groups by `pick_groups(distances)`,
+    then, of those groups' cells, cells by `pick_cells(distances)`; few of each a query."""
     spark = q.sparkSession
     shared = spark.sparkContext.broadcast(groups)
     types = {f.name: f.dataType.simpleString() for f in q.schema}
-    keep = ["qid", "qv", *extra]
+    keep = ["qid", "qv"]
 
     def ask(batches):
         g = shared.value
@@ -245,7 +262,7 @@ def _choose_cells(q, path, groups, pick_groups, pick_cells, extra=()):
             if batch.num_rows == 0 or len(g.ids) == 0:
                 continue
             points = D.metric_space(D.matrix(batch.column(batch.schema.get_field_index("qv"))), g.metric, "query", g.top)
-            i, j = np.nonzero(pick_groups(D.euclid(points, g.centres), batch, g))
+            i, j = np.nonzero(pick_groups(D.euclid(points, g.centres)))
             picked = batch.select(keep).take(pa.array(i))
             yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(g.ids[j])], [*keep, "group"])
 
@@ -254,26 +271,18 @@ def _choose_cells(q, path, groups, pick_groups, pick_cells, extra=()):
     packs = cells.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("cell", "centre", "radius"))).alias("pack"))
     metric, top = groups.metric, groups.top
 
-    def within(batches):
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cols = batch.schema.names
-            points = D.metric_space(D.matrix(batch.column(cols.index("qv"))), metric, "query", top)
-            packs_ = batch.column(cols.index("pack")).to_pylist()
-            rows, picked = [], []
-            for i, pack in enumerate(packs_):
-                centres = np.array([x["centre"] for x in pack])
-                radii = np.array([x["radius"] for x in pack])
-                d = np.sqrt(((centres - points[i]) ** 2).sum(1))
-                for j in np.flatnonzero(pick_cells(points[i], d, radii, batch, i)):
-                    rows.append(i)
-                    picked.append(pack[j]["cell"])
-            taken = batch.select(["qid", "qv"]).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(picked, pa.int32())], ["qid", "qv", "cell"])
-
-    joined = asked.join(packs, "group")
-    return joined.mapInArrow(within, f"qid {types['qid']}, qv {types['qv']}, cell int")
+    def within(batch, pack):
+        cells_, centres_, radii = _unpacked(pack)
+        points = D.metric_space(D.matrix(batch.column("qv")), metric, "query", top)
+        rows, picked = [np.zeros(0, int)], [np.zeros(0, np.int32)]
+        for s, d in _accurate(points, centres_):
+            i, j = np.nonzero(pick_cells(d))
+            rows.append(i + s)
+            picked.append(cells_[j])
+        taken = batch.select(["qid", "qv"]).take(pa.array(np.concatenate(rows)))
+        return pa.table([*taken.columns, pa.array(np.concatenate(picked))], ["qid", "qv", "cell"])
+
+    return _with_pack(asked, packs, "qid", q.count(), within, f"qid {types['qid']}, qv {types['qv']}, cell int")
 
 
 def _nothing(queries, path, qid, names):
@@ -292,14 +301,14 @@ def knn_tree_approx(queries: DataFrame, path, k=5, beam=2, probe=4, qid="qid", v
         return _nothing(queries, path, qid, names)
     q = materialise(queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv")), "queries")
 
-    def pick_groups(away, batch, g):
+    def pick_groups(away):
         mask = np.zeros(away.shape, bool)
         np.put_along_axis(mask, np.argsort(away, axis=1, kind="stable")[:, :beam], True, axis=1)
         return mask
 
-    def pick_cells(point, d, radii, batch, i):
-        mask = np.zeros(len(d), bool)
-        mask[np.argsort(d, kind="stable")[:probe]] = True
+    def pick_cells(d):
+        mask = np.zeros(d.shape, bool)
+        np.put_along_axis(mask, np.argsort(d, axis=1, kind="stable")[:, :probe], True, axis=1)
         return mask
 
     # A query meets `beam` groups: the `probe` nearest cells of each; the nearest `probe` overall win.
@@ -309,19 +318,6 @@ def knn_tree_approx(queries: DataFrame, path, k=5, beam=2, probe=4, qid="qid", v
     return knn._rank(knn._meet(chosen, vectors, facts, k), k, *(names or (qid, "cid")))
 
 
-def _reach(vectors, bounds, metric, top, reach_all):
-    """Euclidean reach in the metric space that a distance bound allows, with room for rounding."""
-    if metric == "cosine":
-        square = 2.0 * bounds
-    elif metric == "dot":
-        square = (vectors * vectors).sum(1) + top**2 - 2.0 * (1.0 - bounds)
-    else:
-        square = bounds
-    points = D.metric_space(vectors, metric, "query", top)
-    slack = knn.ROUNDING * ((points * points).sum(1) + reach_all)
-    return np.sqrt(np.maximum(square, 0.0) + 4 * knn.HALF_PLACE + slack) + 2 * np.sqrt(slack)
-
-
 def knn_tree(queries: DataFrame, path, k=5, qid="qid", vector="embedding", names=None) -> DataFrame:
     """The exact k nearest rows by way of the tree (module notes)."""
     spark = queries.sparkSession
@@ -332,45 +328,42 @@ def knn_tree(queries: DataFrame, path, k=5, qid="qid", vector="embedding", names
     vectors = spark.read.parquet(f"{path}/vectors").select("cid", "cv", "cell")
     q = materialise(queries.select(F.col(qid).alias("qid"), F.col(vector).alias("qv")), "queries")
 
-    def nearest_group(away, batch, g):
+    def nearest(away):
         mask = np.zeros(away.shape, bool)
         mask[np.arange(len(away)), away.argmin(1)] = True
         return mask
 
-    def nearest_cell(point, d, radii, batch, i):
-        mask = np.zeros(len(d), bool)
-        mask[d.argmin()] = True
-        return mask
-
-    home_cells = materialise(_choose_cells(q, path, groups, nearest_group, nearest_cell), "home")
+    home_cells = materialise(_choose_cells(q, path, groups, nearest, nearest), "home")
     home = materialise(knn._rank(knn._meet(home_cells, vectors, facts, k), k, "qid", "cid"), "home")
     bound = home.filter(F.col("rank") == k).select("qid", F.col("distance").alias("bound"))
-    asked = q.join(bound, "qid", "left").join(home_cells.select("qid", F.col("cell").alias("home")), "qid", "left")
+    asked = materialise(home_cells.withColumnRenamed("cell", "home").join(bound, "qid", "left"), "bounds")
     # Largest squared length of an indexed point, for the rounding room: from the group radii.
     reach_all = max(((np.linalg.norm(c) + r) ** 2 for c, r in zip(groups.centres, groups.radii)), default=0.0)
-    metric, top = groups.metric, groups.top
+    shared = spark.sparkContext.broadcast(groups)
 
-    def bounds_of(batch):
-        b = batch.column(batch.schema.get_field_index("bound")).to_numpy(zero_copy_only=False).astype(float)
-        return np.where(np.isnan(b), np.inf, b)
-
-    def far_groups(away, batch, g):
-        vectors_ = D.matrix(batch.column(batch.schema.get_field_index("qv")))
-        reach = _reach(vectors_, bounds_of(batch), metric, top, reach_all)
-        return away - g.radii[None, :] <= reach[:, None]
-
-    def far_cells(point, d, radii, batch, i):
-        vectors_ = D.matrix(batch.column(batch.schema.get_field_index("qv")).slice(i, 1))
-        b = batch.column(batch.schema.get_field_index("bound"))[i].as_py()
-        reach = _reach(vectors_, np.array([np.inf if b is None else b]), metric, top, reach_all)[0]
-        return d - radii <= reach
-
-    far = _choose_cells(asked, path, groups, far_groups, far_cells, extra=("bound", "home"))
-    far = far.join(home_cells.select("qid", F.col("cell").alias("home")), "qid", "left").filter(
-        F.col("home").isNull() | (F.col("cell") != F.col("home"))
-    ).select("qid", "qv", "cell")
-    far = materialise(far, "far")
-    found = home.select("qid", "cid", "distance").unionByName(knn._meet(far, vectors, facts, k))
+    def ask(batches):
+        g = shared.value
+        for whole in batches:
+            for batch in knn._slices(whole, len(g.ids)):
+                vectors_ = D.matrix(batch.column(batch.schema.get_field_index("qv")))
+                away = D.euclid(D.metric_space(vectors_, g.metric, "query", g.top), g.centres)
+                reach = knn._reach(vectors_, knn._bounds(batch), g.metric, g.top, reach_all)
+                i, j = np.nonzero(away - g.radii[None, :] <= reach[:, None])
+                for s in range(0, len(i), knn.OUT):
+                    picked = batch.take(pa.array(i[s:s + knn.OUT]))
+                    yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(g.ids[j[s:s + knn.OUT]])], [*picked.schema.names, "bundle"])
+
+    # A group is a bundle of cells: a query goes to a group once, and its cells are pruned there.
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema)
+    far = asked.mapInArrow(ask, f"{types}, bundle int")
+    asks = dict(far.groupBy("bundle").count().collect())  # one row per group
+    cells = spark.read.parquet(f"{path}/cells").select("cell", F.col("group").alias("bundle"), "size")
+    sizes = dict(cells.groupBy("bundle").agg(F.sum("size")).collect())
+    found = home.select("qid", "cid", "distance")
+    if asks:
+        bundled = vectors.join(cells.select("cell", "bundle"), "cell")
+        rows = knn._tile_rows(sum(sizes.values()))
+        found = found.unionByName(knn._tiles(far, asks, bundled, sizes, k, groups.metric, groups.top, rows))
     return knn._rank(found, k, *(names or (qid, "cid")))
 
 
