@@ -264,6 +264,9 @@ def near_groups(docs: DataFrame, size=3, seed=42, radius=2) -> DataFrame:
 #: pivots that the members of a bucket meet in the first round; PIVOTS times as many in each later one.
 COMMON, PIVOTS = 1 << 18, 16
 
+#: Classes of shingles of which a text tells whether it has an odd number.
+PARITY = 512
+
 
 def shingle_set(text, size):
     """Sorted distinct 32-bit hashes of the word shingles of a text; of all its words if they are fewer."""
@@ -325,7 +328,8 @@ def _common(rows, size):
 
 
 def _prefixes(rows, size, similarity):
-    """doc_id, same, n (shingles) and the first shingles of each row, rare ones before common ones.
+    """doc_id, same, n (shingles), the first shingles of each row, rare ones before common ones, and `odd`:
+    for each of PARITY classes of shingles whether their number is odd.
 
     Two sets of which one must hold `similarity` of the other share one of these: of n shingles
     only the last ceil(similarity * n) - 1 are left out.
@@ -335,18 +339,19 @@ def _prefixes(rows, size, similarity):
     def run(batches):
         common, count = sent.value
         for pdf in batches:
-            sizes, first = [], []
+            sizes, first, odd = [], [], []
             for text in pdf["text"]:
                 tokens = _tokens(text, size)
                 n = len(tokens)
+                odd.append(np.packbits(np.bincount(tokens & (PARITY - 1), minlength=PARITY) & 1).view(np.int64))
                 if len(common):
                     at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
                     tokens = tokens[np.argsort(np.where(common[at] == tokens, count[at], 0), kind="stable")]
                 sizes.append(n)
                 first.append(tokens[: n - int(np.ceil(similarity * n - 1e-6)) + 1])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "same": pdf["same"], "n": np.array(sizes, np.int32), "tokens": first})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "same": pdf["same"], "n": np.array(sizes, np.int32), "tokens": first, "odd": odd})
 
-    return rows.mapInPandas(run, "doc_id bigint, same bigint, n int, tokens array<bigint>")
+    return rows.mapInPandas(run, "doc_id bigint, same bigint, n int, tokens array<bigint>, odd array<bigint>")
 
 
 def _alike(rows, points, near, size, similarity):
@@ -367,14 +372,37 @@ def _alike(rows, points, near, size, similarity):
     return materialise(_same_shingles(pairs.select("a", "b", "one", "two"), similarity), "alike")
 
 
+def forest_pairs(rows, size, seed=42, radius=2) -> DataFrame:
+    """(a, b) of texts (`same`) enough to join all whose SimHash fingerprints chain together within `radius` bits.
+
+    Texts of one fingerprint hang on the smallest of them; fingerprints meet in the leaves of the
+    forest, as in `near_groups`.
+    """
+    texts = fingerprints(rows.select(F.col("same").alias("doc_id"), "text"), size, seed)
+    texts = materialise(texts.select(F.col("doc_id").alias("same"), "fp").distinct(), "fingerprints")
+    points = materialise(texts.groupBy("fp").agg(F.min("same").alias("first")), "points")
+    found = links(
+        points.select(F.col("fp").alias("id"), "fp"), ["fp"], [(0, 0, 32), (0, 32, 32)], depth(points.count()), radius // 2, radius
+    )
+    named = found.join(points.select(F.col("fp").alias("a"), F.col("first").alias("one")), "a")
+    named = named.join(points.select(F.col("fp").alias("b"), F.col("first").alias("two")), "b").select("one", "two")
+    hung = texts.join(points, "fp").filter("same <> first").select("first", "same")
+    both = hung.union(named).toDF("one", "two")
+    return both.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
+
+
 def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
     """same (hash of a text), least (smallest doc_id of its rows), copies (rows with that doc_id), root.
 
     Texts with one root form a group: those that chain together by pairs whose shingles of `size`
-    words have a Jaccard similarity of `similarity` or more. Two such texts share one of their
-    first shingles in an order that puts common ones last, and meet in its bucket. All members of a
-    bucket are checked with its smallest one; then, round by round, members that are still in
-    different groups are checked with ever more of the others, until none is left unchecked.
+    words have a Jaccard similarity of `similarity` or more. Pairs come from the forest of
+    vantage-point trees over SimHash fingerprints (`forest_pairs`) first and are checked. An exact
+    pass follows for what fingerprints miss: two such texts share one of their first shingles in an order that
+    puts common ones last, and meet in its bucket. All members of a bucket are checked with
+    its smallest one; then, round by round, members that are still in different groups are checked
+    with ever more of the others, until none is left unchecked. Of these only pairs are made whose
+    counts of shingles by class allow the similarity: each shingle that one of the two lacks
+    changes one class from odd to even or back, at most.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -384,6 +412,7 @@ def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
     by_id = marked.groupBy("same", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     least = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     points = materialise(by_id.groupBy("same").agg(F.min(least).alias("least")), "points")
+    odd = materialise(marked.groupBy("same").agg(F.first("odd").alias("odd")), "odd")
 
     posted = marked.select("same", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = posted.groupBy("token").agg(F.min(F.struct("same", "n", "pos")).alias("low"), F.max("same").alias("high"))
@@ -400,8 +429,16 @@ def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
 
     low = F.col("low")
     star = met.join(shared, "token").filter((F.col("same") != low["same"]) & may(F.col("n"), F.col("pos"), low["n"], low["pos"]))
-    near = materialise(star.select(*paired("same", low["same"])).distinct(), "candidates")
-    linked, asked, done = _alike(rows, points, near, size, similarity), near, 0
+    def apart(one, other):
+        """The classes of shingles that are odd in one of the two texts alone."""
+        bits = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        return F.aggregate(bits, F.lit(0), lambda acc, x: acc + x)
+
+    seen = materialise(forest_pairs(rows, size), "candidates")
+    near = star.select(*paired("same", low["same"])).distinct().join(seen, ["a", "b"], "left_anti")
+    near = materialise(near, "candidates")
+    asked, done = seen.union(near), 0
+    linked = _alike(rows, points, asked, size, similarity)
     turn = F.pmod(F.xxhash64("token", "same"), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("k")
     while True:
         roots = materialise(components(linked), "roots")
@@ -411,12 +448,13 @@ def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
         mixed = materialise(mixed.filter((F.col("r0") != F.col("r1")) & (F.col("k") > done)).select("token", "k"), "mixed")
         if mixed.isEmpty():
             break
-        met = materialise(held.join(mixed, "token"), "buckets")
+        met = materialise(held.join(mixed, "token").join(odd, "same"), "buckets")
         upto = PIVOTS * max(1, done)
         pivots = met.filter((turn >= done) & ((turn < upto) | (F.col("k") <= upto)))
-        pivots = materialise(pivots.select("token", *[F.col(c).alias(f"p_{c}") for c in ("same", "n", "pos", "root")]), "pivots")
+        pivots = materialise(pivots.select("token", *[F.col(c).alias(f"p_{c}") for c in ("same", "n", "pos", "root", "odd")]), "pivots")
+        few = apart("odd", "p_odd") <= (1 - similarity) / (1 + similarity) * (F.col("n") + F.col("p_n")) + 1e-6
         pairs = met.join(pivots, "token").filter(
-            (F.col("root") != F.col("p_root")) & may(F.col("n"), F.col("pos"), F.col("p_n"), F.col("p_pos"))
+            (F.col("root") != F.col("p_root")) & may(F.col("n"), F.col("pos"), F.col("p_n"), F.col("p_pos")) & few
         )
         near = materialise(pairs.select(*paired("same", "p_same")).distinct().join(asked, ["a", "b"], "left_anti"), "candidates")
         linked = linked.union(_alike(rows, points, near, size, similarity))

@@ -177,3 +177,25 @@ def test_large_leaves_are_cut_into_blocks(spark, monkeypatch):
     pairs = [(a, b) for i, a in enumerate(signed) for b in signed[i + 1:] if ((a ^ b) & (2**64 - 1)).bit_count() <= 2]
     assert found <= {(min(p), max(p)) for p in pairs}
     assert edge.groups(found, signed) == edge.groups(pairs, signed)
+
+
+def test_near_duplicates_come_from_the_forest_and_few_pairs_from_a_shared_line(spark, monkeypatch):
+    """Unlike texts that share a line make few pairs, near copies meet in the forest, and the groups are exact."""
+    rng = random.Random(8)
+    line = " ".join(f"common{i}" for i in range(9))
+    body = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(12))
+    rows = [(i, f"{line} {body()}") for i in range(300)]
+    rows += [(1000 + i, rows[i][1].upper()) for i in range(0, 30, 3)]
+    made, write = {}, simhash.materialise
+
+    def counted(df, name="step"):
+        out = write(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    pairs, forest = [], simhash.forest_pairs
+    monkeypatch.setattr(simhash, "forest_pairs", lambda *a: (pairs.append(forest(*a).count()), forest(*a))[1])
+    monkeypatch.setattr(simhash, "materialise", counted)
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(edge.documents(spark, rows)).select("doc_id").collect()}
+    assert kept == set(range(300)) and pairs[0] >= 10
+    assert made["candidates"] < 3 * len(rows)
