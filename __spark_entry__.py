@@ -496,7 +496,8 @@ def q_batch(spark, d):
 
 def q_stream(spark, d):
     schema = spark.read.parquet(f"{d}/conversations.parquet").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(d)
+    # As a pattern, the path may be a file or a folder of files.
+    rows = spark.readStream.schema(schema).parquet(f"{d}/{{conversations.parquet}}")
     stream = rows.filter("role = 'user'").select((F.col("conv_id") * 100 + F.col("turn")).alias("qid"), "text")
     out = scratch_path(spark, "prompts")
     run = prepare_stream(stream, _store(spark, d), out, scratch_path(spark, "progress"), available_now=True)
