@@ -199,13 +199,18 @@ def _literal_match(wants, titles):
         .groupBy("gram")
         .agg(F.count(F.lit(1)).alias("df"), F.min("pos").alias("pos"))
     )
+    # Texts of requests can be long: their grams carry a number in their place. A request longer than
+    # every title is in none.
+    longest = titles.agg(F.max(F.length("key"))).first()[0] or 0
+    wants = wants.filter(F.length("want") <= longest).withColumn("no", F.monotonically_increasing_id())
+    wants = materialise(wants, "wants")
     whole = F.length("want") <= GRAM
     grams = F.when(whole, F.array("want")).otherwise(_pieces(F.col("want"), [GRAM]))
-    asked = wants.filter("want <> ''").select("want", F.explode(grams).alias("gram"))
+    asked = wants.filter("want <> ''").select("no", F.explode(grams).alias("gram"))
     # A gram no title has rules the request out: the left join keeps it with a count of zero.
-    rated = lookup_join(asked, stats, "gram", "want").select("want", "gram", "pos", F.coalesce("df", F.lit(0)).alias("df"))
-    rarest = rated.groupBy("want").agg(F.min(F.struct("df", "gram", "pos")).alias("pick")).filter("pick.df > 0")
-    rarest = materialise(rarest, "grams")
+    rated = lookup_join(asked, stats, "gram", "no").select("no", "gram", "pos", F.coalesce("df", F.lit(0)).alias("df"))
+    rarest = rated.groupBy("no").agg(F.min(F.struct("df", "gram", "pos")).alias("pick")).filter("pick.df > 0")
+    rarest = materialise(rarest.join(wants, "no").select("want", "pick"), "grams")
 
     short = rarest.filter(whole).select("want", "pick.pos")
     # An empty request is found in every title.

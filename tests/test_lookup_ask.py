@@ -195,3 +195,31 @@ def test_alternatives_find_what_every_title_would(spark, books):
         if hit is not None:
             want[i] = hit
     assert got == want
+
+
+def test_stream_reads_a_table_of_many_files(spark):
+    import __spark_entry__ as entry
+    from bookbase.session import scratch_path
+
+    d = scratch_path(spark, "tables")
+    ask = "who wrote the long book about the green whale"
+    said = [(i, 0, "user", f"{ask} {i}") for i in range(6)] + [(1, 1, "assistant", ask)]
+    spark.createDataFrame(said, "conv_id bigint, turn bigint, role string, text string").repartition(3).write.parquet(f"{d}/conversations.parquet")
+    docs = [(i, f"green whale {i}", "en", "s", 12) for i in range(3)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{d}/documents.parquet")
+    got = entry.q_stream(spark, d).collect()
+    assert sorted(r["qid"] for r in got) == [i * 100 for i in range(6)] and all(r["context"] for r in got)
+
+
+def test_grams_of_requests_do_not_carry_their_texts(spark, monkeypatch):
+    from bookbase.operators import lookup
+
+    books = spark.createDataFrame([("The Green Whale", "a", 1), ("A Sea", "b", 2)], "title string, author string, pos bigint")
+    asked = [(1, "green wh"), (2, "the green whale " * 50), (3, ""), (4, "sea"), (5, None), (6, "Green Whales")]
+    written, joined, write, join = {}, [], lookup.materialise, lookup.lookup_join
+    monkeypatch.setattr(lookup, "materialise", lambda df, name: written.setdefault(name, write(df, name)))
+    monkeypatch.setattr(lookup, "lookup_join", lambda left, right, key, *a, **b: (joined.append((key, left.columns)), join(left, right, key, *a, **b))[1])
+    got = lookup.first_match(spark.createDataFrame(asked, "qid int, text string"), books).collect()
+    assert sorted(map(tuple, got)) == [(1, "a"), (3, "a"), (4, "b")]
+    assert [c for key, c in joined if key == "gram"] == [["no", "gram"]]
+    assert written["wants"].count() == 4
