@@ -184,8 +184,8 @@ def test_near_duplicates_come_from_the_forest_and_few_pairs_from_a_shared_line(s
     rng = random.Random(8)
     line = " ".join(f"common{i}" for i in range(9))
     body = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(12))
-    rows = [(i, f"{line} {body()}") for i in range(300)]
-    rows += [(1000 + i, rows[i][1].upper()) for i in range(0, 30, 3)]
+    rows = [(i, f"{line} {body()}", "en", "s") for i in range(300)]
+    rows += [(1000 + i, rows[i][1].upper(), "en", "s") for i in range(0, 30, 3)]
     made, write = {}, simhash.materialise
 
     def counted(df, name="step"):
