@@ -223,3 +223,8 @@ def test_norms_work_out_each_vector_once(spark, tmp_path):
     made = entry.queries()["embed_norm"](spark, str(tmp_path))
     assert made._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
     assert sorted(map(tuple, made.collect())) == [(1, 1.0), (4, 1.0)]
+
+
+def test_tiles_of_long_vectors_have_fewer_rows():
+    assert K._tile_rows(10**7, 64) == 65_536 and K._tile_rows(1000, 64) == 4096
+    assert K._tile_rows(10**7, 3072) * 3072 <= 1 << 22
