@@ -3,7 +3,7 @@
 Words (maximal runs of anything but blanks, tabs and line ends, case kept) are dictionary-encoded
 over the whole table: every distinct word gets one integer id, written once. CSR shards (indptr /
 indices / data arrays for a batch of rows) are built where the rows are read, with shard-local
-term ids; only the shards' vocabularies go to the dictionary, and its ids replace the local ones.
+term ids; only the vocabularies that shards of a task share go to the dictionary, and its ids replace the local ones.
 Row sums give the number of words and row lengths the number of distinct words. Those decide the filters A and B; C, D and E
 are Spark expressions and a grouping by text, and the five flags form a 5-bit mask per document.
 Masks are counted per part, and every order of the five filters is applied to the counts: 32
@@ -36,112 +36,132 @@ SYMBOLS = "[#$%&*|]"
 SPLIT = r"[\x20\x09-\x0D]+"
 
 
-LOCAL = "shard long, rows array<long>, indptr array<int>, indices array<int>, data array<int>, words array<binary>"
+LOCAL = "vocab long, shard long, rows array<long>, indptr array<int>, indices array<int>, data array<int>, words array<binary>"
 GLOBAL = "shard long, rows array<long>, indptr array<int>, indices array<long>, data array<int>"
 
 
-#: Entries (distinct words of a row, summed over its rows) after which a shard is closed; bounds a task's memory.
-SHARD_ENTRIES = 1 << 18
+#: Text that a shard holds (or one longer row), and words and shards after which a vocabulary is
+#: closed; they bound a task's memory.
+SHARD_BYTES, VOCAB_WORDS, VOCAB_SHARDS = 3 << 20, 1 << 18, 16
 
 
-def _local_shards(frames):
-    """CSR shards of about SHARD_ENTRIES entries, built where the rows are, each with its own vocabulary.
+def _pieces(batch, most):
+    """`batch` in slices of at most `most` bytes of text, or one row."""
+    import numpy as np
+    import pyarrow.compute as pc
 
-    Words are the byte runs that `bytes.split` gives, which cuts at exactly \\x20 and \\x09-\\x0D.
-    The shard id is the task's partition and the shard's place in it, the same when a task is rerun.
-    A row is never cut: a shard closes after the row that reaches the bound.
-    """
-    from collections import Counter
+    sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(sizes, dtype=np.int64), 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def _local_shards(batches, most):
+    """CSR shards of about `most` bytes of text, built where the rows are; shards of a task share a vocabulary.
 
+    A shard is a row without `words`; a vocabulary follows its shards as a row with `words` alone.
+    Words are the runs that `ascii_split_whitespace` gives, which cuts at exactly \\x20 and \\x09-\\x0D.
+    The ids are the task's partition and the place in it, the same when a task is rerun.
+    A row is never cut.
+    """
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
     from pyspark import TaskContext
 
-    part = TaskContext.get().partitionId()
-    made = 0
-    vocab, rows, indptr, indices, data = {}, [], [0], [], []
-
-    def close():
-        return pd.DataFrame({
-            "shard": [(part << 24) | made], "rows": [np.array(rows, np.int64)],
-            "indptr": [np.array(indptr, np.int32)], "indices": [np.array(indices, np.int32)],
-            "data": [np.array(data, np.int32)], "words": [list(vocab)],
-        })
-
-    for frame in frames:
-        for row, text in zip(frame["__row"].tolist(), frame["__text"].tolist()):
-            rows.append(row)
-            for word, n in Counter(text.encode("utf-8", "surrogatepass").split()).items():
-                indices.append(vocab.setdefault(word, len(vocab)))
-                data.append(n)
-            indptr.append(len(indices))
-            if len(indices) >= SHARD_ENTRIES:
-                yield close()
-                made += 1
-                vocab, rows, indptr, indices, data = {}, [], [0], [], []
-    if rows:
-        yield close()
-
-
-def _globalise(shard, entries):
-    """One shard with its local term ids replaced by the dictionary's (`entries`: local, term)."""
+    part = TaskContext.get().partitionId() << 24
+    shards, vocabs, held, vocab = 0, 0, 0, {}
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int32())] * 3, pa.list_(pa.binary())]
+
+    def row(*values):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], t) for v, t in zip(values, types)], ["vocab", "shard", "rows", "indptr", "indices", "data", "words"]
+        )
+
+    for piece in (p for batch in batches for p in _pieces(batch, most)):
+        split = pc.ascii_split_whitespace(piece.column(1))
+        coded = split.flatten().dictionary_encode()
+        found = coded.dictionary.cast(pa.binary()).to_pylist()
+        full = np.array([len(w) > 0 for w in found], bool)  # blanks at the ends of a text give an empty piece
+        code, at = coded.indices.to_numpy(), pc.list_parent_indices(split).to_numpy()
+        keep = full[code] if len(code) else np.zeros(0, bool)
+        entries, data = np.unique(at[keep] * max(1, len(found)) + code[keep], return_counts=True)
+        place, code = np.divmod(entries, max(1, len(found)))
+        ids = np.array([vocab.setdefault(w, len(vocab)) if w else 0 for w in found], np.int32)
+        indptr = np.r_[0, np.cumsum(np.bincount(place, minlength=piece.num_rows))]
+        numbers = piece.column(0).to_numpy()
+        yield row(part | vocabs, part | shards, numbers, indptr.astype(np.int32), ids[code], data.astype(np.int32), None)
+        shards, held = shards + 1, held + 1
+        if len(vocab) >= VOCAB_WORDS or held >= VOCAB_SHARDS:
+            yield row(part | vocabs, None, None, None, None, None, list(vocab))
+            vocabs, held, vocab = vocabs + 1, 0, {}
+    if held:
+        yield row(part | vocabs, None, None, None, None, None, list(vocab))
+
+
+def local_shards(rows: DataFrame, most=SHARD_BYTES) -> DataFrame:
+    """The shards and vocabularies of `rows` (__row, __text), as `_local_shards` gives them."""
+    return rows.select("__row", "__text").mapInArrow(lambda batches: _local_shards(batches, most), LOCAL)
+
+
+def _globalise(shards, entries):
+    """The shards of one vocabulary with the dictionary's ids in place of local ones (`entries`: local, term)."""
     import numpy as np
-    import pandas as pd
-
-    if not len(shard):
-        return pd.DataFrame({"shard": [], "rows": [], "indptr": [], "indices": [], "data": []})
-    row = shard.iloc[0]
-    indices = np.asarray(row["indices"], np.int64)
-    table = np.zeros(len(entries), np.int64)
-    if len(entries):
-        table[entries["local"].to_numpy(np.int64)] = entries["term"].to_numpy(np.int64)
-    return pd.DataFrame({
-        "shard": [row["shard"]], "rows": [row["rows"]], "indptr": [row["indptr"]],
-        "indices": [table[indices] if len(indices) else np.zeros(0, np.int64)], "data": [row["data"]],
-    })
-
-
-def _row_counts(frames):
+    import pyarrow as pa
+
+    table = np.zeros(entries.num_rows, np.int64)
+    table[entries.column("local").to_numpy()] = entries.column("term").to_numpy()
+    indices = shards.column("indices").combine_chunks()
+    ends = np.r_[0, np.cumsum(indices.value_lengths().to_numpy())].astype(np.int32)
+    terms = pa.ListArray.from_arrays(pa.array(ends), pa.array(table[indices.flatten().to_numpy()]))
+    names = ["shard", "rows", "indptr", "indices", "data"]
+    return pa.table([terms if n == "indices" else shards.column(n) for n in names], names)
+
+
+def _row_counts(batches):
     """Per row of every shard: row sum (words) and row length (distinct words)."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
-    for frame in frames:
-        rows, sums, lengths = [], [], []
-        for r, indptr, data in zip(frame["rows"], frame["indptr"], frame["data"]):
-            indptr = np.asarray(indptr, np.int64)
-            data = np.asarray(data, np.int64)
-            total = np.r_[0, np.cumsum(data)]
-            rows.append(np.asarray(r, np.int64))
-            sums.append(total[indptr[1:]] - total[indptr[:-1]])
-            lengths.append(np.diff(indptr))
-        if rows:
-            yield pd.DataFrame({"__row": np.concatenate(rows), "n_words": np.concatenate(sums), "n_distinct": np.concatenate(lengths)})
+    for batch in batches:
+        for i in range(batch.num_rows):
+            rows, indptr, data = (
+                batch.column(batch.schema.get_field_index(n))[i].values.to_numpy() for n in ("rows", "indptr", "data")
+            )
+            total = np.r_[0, np.cumsum(data, dtype=np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows), pa.array(np.diff(total[indptr])), pa.array(np.diff(indptr).astype(np.int64))],
+                ["__row", "n_words", "n_distinct"],
+            )
 
 
 def csr_shards(rows: DataFrame) -> DataFrame:
     """The document-term matrix of `rows` (__row, __text) as CSR shards with global term ids.
 
-    Shards are made where the rows are (about SHARD_ENTRIES entries each) with local ids. Each distinct word is one
-    group that gathers its (shard, local id) pairs (a word is in at most every shard once) and gets
+    Shards are made where the rows are (about SHARD_BYTES of text each) with local ids; those of a task
+    share a vocabulary up to VOCAB_WORDS words. Each distinct word is one
+    group that gathers its (vocabulary, local id) pairs (a word is in a vocabulary once at most) and gets
     its dictionary id there, written once; the ids go back to the shards as integers only, met
-    with their shard one shard at a time.
+    with the shards of one vocabulary at a time.
     """
-    local = materialise(rows.select("__row", "__text").mapInPandas(_local_shards, LOCAL), "csr_local")
-    vocab = local.select("shard", F.posexplode("words").alias("local", "word"))
-    words = vocab.groupBy("word").agg(F.collect_list(F.struct("shard", "local")).alias("at"))
+    local = materialise(local_shards(rows), "csr_local")
+    vocab = local.filter("words IS NOT NULL").select("vocab", F.posexplode("words").alias("local", "word"))
+    words = vocab.groupBy("word").agg(F.collect_list(F.struct("vocab", "local")).alias("at"))
     words = materialise(words.select("word", F.monotonically_increasing_id().alias("term"), "at"), "dictionary")
-    # One shard and its (local, term) entries at a time: no task holds the lists of many shards.
+    # One vocabulary and its (local, term) entries at a time: no task holds the lists of many.
     entries = words.select("term", F.explode("at").alias("at")).select(
-        F.col("at.shard").alias("shard"), F.col("at.local").alias("local"), "term"
+        F.col("at.vocab").alias("vocab"), F.col("at.local").alias("local"), "term"
     )
-    shards = local.drop("words").groupBy("shard").cogroup(entries.groupBy("shard"))
-    return shards.applyInPandas(_globalise, GLOBAL)
+    shards = local.filter("shard IS NOT NULL").drop("words").groupBy("vocab").cogroup(entries.groupBy("vocab"))
+    return shards.applyInArrow(_globalise, GLOBAL)
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
     """(__row, n_words, n_distinct) for every row of `rows` (__row, __text), from the CSR shards."""
-    return csr_shards(rows).mapInPandas(_row_counts, "__row long, n_words long, n_distinct long")
+    return csr_shards(rows).mapInArrow(_row_counts, "__row long, n_words long, n_distinct long")
 
 
 def failure_masks(docs: DataFrame, labels: DataFrame | None = None, id_col="doc_id", text_col="text", part_col="lang") -> DataFrame:

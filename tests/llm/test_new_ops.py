@@ -207,3 +207,14 @@ def test_audit_equals_brute_force(spark):
 def test_audit_of_empty_table(spark):
     docs = edge.documents(spark, [])
     assert audit.interaction_audit(docs, None).count() == 0
+
+
+def test_shards_of_a_task_share_a_vocabulary(spark):
+    texts = ["a b a", " \x0bb\tc ", "", "d\x1ca a", "b"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "__row long, __text string").coalesce(1)
+    made = audit.local_shards(rows, most=6).collect()
+    shards, vocabs = [r for r in made if r.words is None], [r for r in made if r.words is not None]
+    assert len(shards) > 1 and len(vocabs) == 1
+    assert sorted(map(bytes, vocabs[0].words)) == [b"a", b"b", b"c", b"d\x1ca"]
+    counts = sorted(map(tuple, audit.word_counts(rows).collect()))
+    assert counts == [(0, 3, 2), (1, 2, 2), (2, 0, 0), (3, 2, 2), (4, 1, 1)]
