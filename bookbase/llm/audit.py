@@ -43,6 +43,9 @@ GLOBAL = "shard long, rows array<long>, indptr array<int>, indices array<long>,
 #: Text that a shard holds (or one longer row), and words and shards after which a vocabulary is
 #: closed; they bound a task's memory.
 SHARD_BYTES, VOCAB_WORDS, VOCAB_SHARDS = 3 << 20, 1 << 18, 16
+#: Words, repeats in other vocabularies included, that meet in a bucket of the dictionary.
+BUCKET_WORDS = 1 << 18
+DICTIONARY = ["first", "vocab", "locals", "terms", "words"]
 
 
 def _pieces(batch, most):
@@ -108,12 +111,13 @@ def local_shards(rows: DataFrame, most=SHARD_BYTES) -> DataFrame:
 
 
 def _globalise(shards, entries):
-    """The shards of one vocabulary with the dictionary's ids in place of local ones (`entries`: local, term)."""
+    """The shards of one vocabulary with the dictionary's ids in place of local ones (`entries`: locals, terms)."""
     import numpy as np
     import pyarrow as pa
 
-    table = np.zeros(entries.num_rows, np.int64)
-    table[entries.column("local").to_numpy()] = entries.column("term").to_numpy()
+    at = entries.column("locals").combine_chunks().flatten().to_numpy()
+    table = np.zeros(len(at), np.int64)
+    table[at] = entries.column("terms").combine_chunks().flatten().to_numpy()
     indices = shards.column("indices").combine_chunks()
     ends = np.r_[0, np.cumsum(indices.value_lengths().to_numpy())].astype(np.int32)
     terms = pa.ListArray.from_arrays(pa.array(ends), pa.array(table[indices.flatten().to_numpy()]))
@@ -121,6 +125,67 @@ def _globalise(shards, entries):
     return pa.table([terms if n == "indices" else shards.column(n) for n in names], names)
 
 
+def _dealt(batches, buckets):
+    """A row for each vocabulary and bucket: the words whose hash falls there and their local ids."""
+    from zlib import crc32
+
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        for vocab, words in zip(batch.column(0).to_pylist(), batch.column(1)):
+            words = words.values
+            hashes = np.fromiter(map(crc32, words.to_pylist()), np.int64, len(words))
+            bucket = (hashes * 2654435761 & 0xFFFFFFFF) * buckets >> 32
+            order = np.argsort(bucket, kind="stable")
+            met, n = np.unique(bucket, return_counts=True)
+            ends = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(met), pa.array([vocab] * len(met), pa.int64()),
+                    pa.ListArray.from_arrays(ends, pa.array(order.astype(np.int32))),
+                    pa.ListArray.from_arrays(ends, words.take(pa.array(order))),
+                ],
+                ["bucket", "vocab", "locals", "words"],
+            )
+
+
+def _numbered(table):
+    """The words of one bucket numbered: its distinct words in a row of their own, and the terms of each vocabulary."""
+    import numpy as np
+    import pyarrow as pa
+
+    words, local = table.column("words").combine_chunks(), table.column("locals").combine_chunks()
+    coded = words.flatten().dictionary_encode()
+    first = table.column("bucket")[0].as_py() << 32
+    ends = pa.array(np.r_[0, np.cumsum(words.value_lengths().to_numpy())].astype(np.int32))
+    terms = pa.ListArray.from_arrays(ends, pa.array(first + coded.indices.to_numpy().astype(np.int64)))
+    n, found = table.num_rows, coded.dictionary
+    one = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found)
+    own = pa.table([
+        pa.array([first], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32())), pa.nulls(1, pa.list_(pa.int64())), one,
+    ], DICTIONARY)
+    rest = pa.table([
+        pa.array([first] * n, pa.int64()), table.column("vocab"), local, terms, pa.nulls(n, pa.list_(pa.binary())),
+    ], DICTIONARY)
+    return pa.concat_tables([own, rest])
+
+
+def dictionary(vocab: DataFrame, buckets) -> DataFrame:
+    """One id for each distinct word of all vocabularies (vocab, words).
+
+    A row without `vocab` holds the words whose ids are `first`, `first` + 1 and so on; a row with one
+    holds local ids of that vocabulary and their terms. A word is in a vocabulary once at most, so a
+    word in every text is not more in its bucket than there are vocabularies.
+    """
+    dealt = vocab.mapInArrow(
+        lambda batches: _dealt(batches, buckets), "bucket long, vocab long, locals array<int>, words array<binary>"
+    )
+    return dealt.groupBy("bucket").applyInArrow(
+        _numbered, "first long, vocab long, locals array<int>, terms array<long>, words array<binary>"
+    )
+
+
 def _row_counts(batches):
     """Per row of every shard: row sum (words) and row length (distinct words)."""
     import numpy as np
@@ -142,26 +207,21 @@ def csr_shards(rows: DataFrame) -> DataFrame:
     """The document-term matrix of `rows` (__row, __text) as CSR shards with global term ids.
 
     Shards are made where the rows are (about SHARD_BYTES of text each) with local ids; those of a task
-    share a vocabulary up to VOCAB_WORDS words. Each distinct word is one
-    group that gathers its (vocabulary, local id) pairs (a word is in a vocabulary once at most) and gets
-    its dictionary id there, written once; the ids go back to the shards as integers only, met
+    share a vocabulary up to VOCAB_WORDS words. The words of all vocabularies meet by their hash (`dictionary`)
+    and get their ids there, written once; the ids go back to the shards as integers only, met
     with the shards of one vocabulary at a time.
     """
     local = materialise(local_shards(rows), "csr_local")
-    vocab = local.filter("words IS NOT NULL").select("vocab", F.posexplode("words").alias("local", "word"))
-    words = vocab.groupBy("word").agg(F.collect_list(F.struct("vocab", "local")).alias("at"))
-    words = materialise(words.select("word", F.monotonically_increasing_id().alias("term"), "at"), "dictionary")
-    # One vocabulary and its (local, term) entries at a time: no task holds the lists of many.
-    entries = words.select("term", F.explode("at").alias("at")).select(
-        F.col("at.vocab").alias("vocab"), F.col("at.local").alias("local"), "term"
-    )
+    vocab = local.filter("words IS NOT NULL").select("vocab", "words")
+    total = vocab.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
+    entries = materialise(dictionary(vocab, total // BUCKET_WORDS + 1), "dictionary").filter("vocab IS NOT NULL")
     shards = local.filter("shard IS NOT NULL").drop("words").groupBy("vocab").cogroup(entries.groupBy("vocab"))
     return shards.applyInArrow(_globalise, GLOBAL)
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
     """(__row, n_words, n_distinct) for every row of `rows` (__row, __text), from the CSR shards."""
-    return csr_shards(rows).mapInArrow(_row_counts, "__row long, n_words long, n_distinct long")
+    return csr_shards(rows).select("rows", "indptr", "data").mapInArrow(_row_counts, "__row long, n_words long, n_distinct long")
 
 
 def failure_masks(docs: DataFrame, labels: DataFrame | None = None, id_col="doc_id", text_col="text", part_col="lang") -> DataFrame:

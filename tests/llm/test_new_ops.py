@@ -218,3 +218,12 @@ def test_shards_of_a_task_share_a_vocabulary(spark):
     assert sorted(map(bytes, vocabs[0].words)) == [b"a", b"b", b"c", b"d\x1ca"]
     counts = sorted(map(tuple, audit.word_counts(rows).collect()))
     assert counts == [(0, 3, 2), (1, 2, 2), (2, 0, 0), (3, 2, 2), (4, 1, 1)]
+
+
+def test_dictionary_gives_a_word_one_id(spark):
+    rows = [(1, [b"a", b"b", b"c"]), (2, [b"c", b"\xff", b"a"]), (3, [])]
+    made = audit.dictionary(spark.createDataFrame(rows, "vocab long, words array<binary>"), 3).collect()
+    ids = {bytes(w): r["first"] + i for r in made if r["vocab"] is None for i, w in enumerate(r["words"])}
+    assert len(set(ids.values())) == len(ids) == 4
+    got = {(r["vocab"], local): term for r in made if r["vocab"] for local, term in zip(r["locals"], r["terms"])}
+    assert got == {(v, i): ids[w] for v, words in rows for i, w in enumerate(words)}
