@@ -77,7 +77,9 @@ class Vocabulary:
         self.special_split = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self._cache = lru_cache(maxsize=1 << 16)(self._merge_word)
         self._words = {}  # pre-token text -> ids, emptied when full
+        self.known = self._words.get
         self.id_bytes = [b""] * (max(self.tokens) + 1)
+        self.id_text = [str(i) for i in range(len(self.id_bytes))]
         for i, token in self.tokens.items():
             special = token in self.special and self.special[token] == i
             self.id_bytes[i] = token.encode("utf-8") if special else bytes(self.char_byte[c] for c in token)
@@ -187,11 +189,11 @@ class Transducer:
 
     def encode(self, text: str | None):
         """Ids of `text`, one at a time."""
-        for ids in self.encode_pieces(text):
+        for ids in self.encode_blocks(text):
             yield from ids
 
-    def encode_pieces(self, text: str | None):
-        """Ids of `text` as tuples, one per pre-token or special token."""
+    def encode_blocks(self, text: str | None):
+        """Ids of `text` as lists, one per special token or piece read."""
         if not text:
             return
         vocab = self.vocab
@@ -207,7 +209,7 @@ class Transducer:
                 pieces.append((False, text[at:]))
         for special, piece in pieces:
             if special:
-                yield (vocab.special[piece],)
+                yield [vocab.special[piece]]
             else:
                 yield from self._plain(piece)
 
@@ -219,13 +221,21 @@ class Transducer:
             read += len(piece)
             buffer += piece
             final = read >= len(text)
-            done = 0
-            for m in vocab.split.finditer(buffer):
-                if not final and m.end() + LOOKAHEAD > len(buffer):
-                    break
-                yield vocab.word_ids(m.group())
-                done = m.end()
-            buffer = buffer[done:]
+            if final:
+                found = vocab.split.findall(buffer)
+            else:
+                found, done = [], 0
+                for m in vocab.split.finditer(buffer):
+                    if m.end() + LOOKAHEAD > len(buffer):
+                        break
+                    found.append(m.group())
+                    done = m.end()
+                buffer = buffer[done:]
+            ids = []
+            for word in found:
+                known = vocab.known(word)
+                ids += vocab.word_ids(word) if known is None else known
+            yield ids
             if final:
                 return
 
@@ -287,25 +297,18 @@ def vocabulary(path) -> Vocabulary:
     return Vocabulary(path)
 
 
-def digest(vocab: Vocabulary, text: str | None, block=4096):
+def digest(vocab: Vocabulary, text: str | None):
     """(n_tokens, sha256 of the decimal ids joined by commas, sha256 of the decoded text)."""
     ids_hash, text_hash = hashlib.sha256(), hashlib.sha256()
-    count = 0
+    count, decimal = 0, vocab.id_text
 
     def ids():
         nonlocal count
-        batch = []
-        for piece in Transducer(vocab).encode_pieces(text):
-            batch.extend(piece)
-            if len(batch) >= block:
-                ids_hash.update(((b"," if count else b"") + ",".join(map(str, batch)).encode()))
-                count += len(batch)
-                yield batch
-                batch = []
-        if batch:
-            ids_hash.update(((b"," if count else b"") + ",".join(map(str, batch)).encode()))
-            count += len(batch)
-            yield batch
+        for block in Transducer(vocab).encode_blocks(text):
+            if block:
+                ids_hash.update(((b"," if count else b"") + ",".join([decimal[i] for i in block]).encode()))
+                count += len(block)
+                yield block
 
     for piece in decode_blocks(vocab, ids()):
         text_hash.update(piece.encode("utf-8", "surrogatepass"))

@@ -119,6 +119,19 @@ def test_bpe_equals_library(library):
         assert text_sha == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_bpe_gives_ids_by_the_piece_read(library, monkeypatch):
+    """Ids come as one list per piece read or special token, not one per pre-token, at any size of piece."""
+    vocab = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "ab 12 cd's, " * 50 + "  \n " + "é" * 300
+    want = library.encode(text, add_special_tokens=False).ids
+    blocks = list(bpe.Transducer(vocab).encode_blocks(text))
+    assert len(blocks) == 1 and blocks[0] == want
+    for size in (1, 7, 64):
+        monkeypatch.setattr(bpe, "CHUNK", size)
+        assert list(bpe.Transducer(vocab).encode(text)) == want
+        assert bpe.digest(vocab, text)[0] == len(want)
+
+
 def test_utf8_state_machine_waits_for_whole_characters():
     vocab = bpe.vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     ids = list(bpe.Transducer(vocab).encode("😀é"))
