@@ -264,7 +264,8 @@ def near_groups(docs: DataFrame, size=3, seed=42, radius=2) -> DataFrame:
 #: pivots that the members of a bucket meet in the first round; PIVOTS times as many in each later one.
 COMMON, PIVOTS = 1 << 18, 16
 
-#: Classes of shingles of which a text tells whether it has an odd number.
+#: Least number of classes of shingles of which a text tells whether it has an odd number; a text of
+#: more shingles has the next power of two, as unlike texts would fill too few classes alike.
 PARITY = 512
 
 
@@ -329,7 +330,7 @@ def _common(rows, size):
 
 def _prefixes(rows, size, similarity):
     """doc_id, same, n (shingles), the first shingles of each row, rare ones before common ones, and `odd`:
-    for each of PARITY classes of shingles whether their number is odd.
+    for each class of shingles whether their number is odd.
 
     Two sets of which one must hold `similarity` of the other share one of these: of n shingles
     only the last ceil(similarity * n) - 1 are left out.
@@ -343,7 +344,8 @@ def _prefixes(rows, size, similarity):
             for text in pdf["text"]:
                 tokens = _tokens(text, size)
                 n = len(tokens)
-                odd.append(np.packbits(np.bincount(tokens & (PARITY - 1), minlength=PARITY) & 1).view(np.int64))
+                classes = max(PARITY, 1 << (n - 1).bit_length())
+                odd.append(np.packbits(np.bincount(tokens & (classes - 1), minlength=classes) & 1).view(np.int64))
                 if len(common):
                     at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
                     tokens = tokens[np.argsort(np.where(common[at] == tokens, count[at], 0), kind="stable")]
@@ -402,7 +404,8 @@ def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
     its smallest one; then, round by round, members that are still in different groups are checked
     with ever more of the others, until none is left unchecked. Of these only pairs are made whose
     counts of shingles by class allow the similarity: each shingle that one of the two lacks
-    changes one class from odd to even or back, at most.
+    changes one class from odd to even or back, at most. Classes grow with the text; texts within
+    the similarity have equally many or twice as many, which are then added in pairs.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -429,9 +432,17 @@ def duplicate_texts(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
 
     low = F.col("low")
     star = met.join(shared, "token").filter((F.col("same") != low["same"]) & may(F.col("n"), F.col("pos"), low["n"], low["pos"]))
+
+    def folded(one, other):
+        """`one`, or its two halves taken together where it has more classes than `other`."""
+        n = F.size(other)
+        halves = F.zip_with(F.slice(one, F.lit(1), n), F.slice(one, n + 1, n), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(one) > n, halves).otherwise(one)
+
     def apart(one, other):
         """The classes of shingles that are odd in one of the two texts alone."""
-        bits = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        one, other = F.col(one), F.col(other)
+        bits = F.zip_with(folded(one, other), folded(other, one), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
         return F.aggregate(bits, F.lit(0), lambda acc, x: acc + x)
 
     seen = materialise(forest_pairs(rows, size), "candidates")

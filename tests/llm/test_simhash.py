@@ -199,3 +199,37 @@ def test_near_duplicates_come_from_the_forest_and_few_pairs_from_a_shared_line(s
     kept = {r["doc_id"] for r in simhash.drop_near_duplicates(edge.documents(spark, rows)).select("doc_id").collect()}
     assert kept == set(range(300)) and pairs[0] >= 10
     assert made["candidates"] < 3 * len(rows)
+
+
+def test_long_unlike_texts_of_one_bucket_are_not_paired(spark, monkeypatch):
+    """Classes grow with the text, so long texts that share a passage alone are told apart; those of which one
+    has twice as many classes are still found."""
+    rng = random.Random(9)
+    body = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    passage = body(80)
+    unlike = [passage + body(1500) for _ in range(3)]
+    long = body(2100)  # 2,096 shingles, and 1,946 without the last words: 4,096 classes and 2,048
+    rows = [(i, " ".join(w), "en", "s") for i, w in enumerate([*unlike, long, long[:-150]])]
+    asked, alike = [], simhash._alike
+
+    def counted(rows, points, near, *a):
+        asked.append(near.count())
+        return alike(rows, points, near, *a)
+
+    monkeypatch.setattr(simhash, "_alike", counted)
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(edge.documents(spark, rows)).select("doc_id").collect()}
+    assert kept == {0, 1, 2, 3}
+    assert len(asked) > 1 and sum(asked[1:]) == 0
+
+
+def test_texts_with_twice_as_many_classes_meet_after_the_first_round(spark):
+    """Three alike texts of 1,900 to 2,200 shingles, and each with one of two unlike texts' passages."""
+    rng = random.Random(10)
+    body = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for i in range(4):
+        base = body(1900)
+        rows += [(10 * i, base), (10 * i + 1, base + body(300)), (10 * i + 2, base[100:] + body(250))]
+    rows = [(i, " ".join(w), "en", "s") for i, w in rows]
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(edge.documents(spark, rows)).select("doc_id").collect()}
+    assert kept == set(kept_by_brute_force(rows))
