@@ -222,8 +222,8 @@ def test_long_unlike_texts_of_one_bucket_are_not_paired(spark, monkeypatch):
     assert len(asked) > 1 and sum(asked[1:]) == 0
 
 
-def test_texts_with_twice_as_many_classes_meet_after_the_first_round(spark):
-    """Three alike texts of 1,900 to 2,200 shingles, and each with one of two unlike texts' passages."""
+def test_groups_whose_texts_have_different_numbers_of_classes(spark):
+    """Groups of three texts of 1,900 to 2,200 shingles, with 2,048 or 4,096 classes, equal brute force."""
     rng = random.Random(10)
     body = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
     rows = []
