@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookbase.llm.common import components, small_batches, words_of
-from bookbase.session import materialise
+from bookbase.session import materialise, settle
 
 #: Pairs compared at once inside a leaf, and rows of whole leaves taken at once.
 CHUNK, ROWS = 250_000, 50_000
@@ -485,9 +485,10 @@ def drop_near_duplicates(docs: DataFrame, size=5, similarity=0.8) -> DataFrame:
     agree in doc_id and text one stays; a row without a doc_id stays only if its whole group
     has none. Ties between different texts of one doc_id go by a hash of the text.
     """
-    groups = duplicate_texts(docs, size, similarity)
     first = F.min(F.struct("least", "same", "copies")).alias("first")
-    kept = materialise(groups.groupBy("root").agg(first).select("first.*"), "kept")
+    # The tables of shingles and pairs are many times the size of what is kept of them.
+    groups = lambda: duplicate_texts(docs, size, similarity).groupBy("root").agg(first).select("first.*")
+    kept = settle(docs.sparkSession, groups, "kept")
     kept = kept.select(F.col("least").alias("__least"), F.col("same").alias("__same"), F.col("copies").alias("__copies"))
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),

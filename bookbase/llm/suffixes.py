@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookbase.llm.common import WORD, small_batches
-from bookbase.session import materialise
+from bookbase.session import materialise, settle
 
 LENGTH, GRAM = 50, 25
 
@@ -182,7 +182,8 @@ def cut_repeats(docs: DataFrame, length=LENGTH, gram=GRAM) -> DataFrame:
 
     Keeps all columns and rows; n_chars, if there, is that of the new text. See `repeats`.
     """
-    found = repeats(docs, length, gram).filter(F.size("cuts") > 0).select(F.col("id").alias("__id"), F.col("same").alias("__same"), "cuts")
+    cuts = lambda: repeats(docs, length, gram).filter(F.size("cuts") > 0).select(F.col("id").alias("__id"), F.col("same").alias("__same"), "cuts")
+    found = settle(docs.sparkSession, cuts, "cuts")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), _identity().alias("__own"),
         F.xxhash64("text").alias("__hash"),

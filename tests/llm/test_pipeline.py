@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 import edge
+from bookbase import session
 from bookbase.llm import simhash
 from bookbase.session import scratch_path
 
@@ -39,3 +40,20 @@ def test_stages_in_order_keep_columns_and_clean_rows(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, d)
     assert {r["doc_id"] for r in packed.collect()} == set(ids[3])
     assert corpus_pipeline.run(spark, d).count() == packed.count()
+
+
+def test_scratch_of_a_stage_goes_before_the_next(spark, monkeypatch):
+    made, path = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: made.append((name, path(spark, name))) or made[-1][1])
+    left = lambda: sorted(name for name, at in made if session.path_exists(spark, at))
+    rng = random.Random(9)
+    new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared = new(60)
+    rows = [(i, " ".join(new(40) + (shared if i in (3, 8) else [])), "en", "a") for i in range(30)]
+    rows.append((30, rows[5][1], "en", "a"))
+    kept = corpus_pipeline.drop_copies(spark, edge.documents(spark, rows), None)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(30))
+    assert left() == ["kept"]
+    cut = corpus_pipeline.cut_passages(spark, kept, None)
+    assert {r["doc_id"]: len(r["text"].split()) for r in cut.collect() if r["doc_id"] in (3, 8)} == {3: 100, 8: 40}
+    assert left() == ["cuts", "kept"] and len(made) > 10
