@@ -362,7 +362,7 @@ def knn_tree(queries: DataFrame, path, k=5, qid="qid", vector="embedding", names
     found = home.select("qid", "cid", "distance")
     if asks:
         bundled = vectors.join(cells.select("cell", "bundle"), "cell")
-        rows = knn._tile_rows(sum(sizes.values()))
+        rows = knn._tile_rows(sum(sizes.values()), groups.centres.shape[-1])
         found = found.unionByName(knn._tiles(far, asks, bundled, sizes, k, groups.metric, groups.top, rows))
     return knn._rank(found, k, *(names or (qid, "cid")))
 

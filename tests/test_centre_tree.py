@@ -68,3 +68,13 @@ def test_empty_corpus_and_null_queries(spark):
     path = T.build_tree(empty, scratch_path(spark, "tree"))
     q = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "qid long, embedding array<double>")
     assert T.knn_tree(q, path, 3).count() == 0
+
+
+def test_small_tree_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(60, 3))
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "ebook_no long, embedding array<double>")
+    path = T.build_tree(df, scratch_path(spark, "tree"))
+    got = sorted(tuple(r) for r in T.knn_tree(df.withColumnRenamed("ebook_no", "qid"), path, 4).collect())
+    assert got == brute(points, np.arange(60), points, np.arange(60), 4)
