@@ -228,3 +228,32 @@ def test_norms_work_out_each_vector_once(spark, tmp_path):
 def test_tiles_of_long_vectors_have_fewer_rows():
     assert K._tile_rows(10**7, 64) == 65_536 and K._tile_rows(1000, 64) == 4096
     assert K._tile_rows(10**7, 3072) * 3072 <= 1 << 22
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "dot"])
+def test_far_pairs_are_not_worked_out_in_full(metric, monkeypatch):
+    from bookbase.operators import distance as D
+
+    rng = np.random.default_rng(2)
+    q, c = rng.gamma(0.5, size=(50, 16)), rng.gamma(0.5, size=(400, 16))
+    c[5] = c[9] = q[0]
+    d = D.distances(q, c, metric)
+    limit = np.sort(d, axis=1)[:, 3]
+    i, j = np.nonzero(d <= limit[:, None])
+    made = []
+    monkeypatch.setattr(D, "_pair_distances", lambda a, b, m, f=D._pair_distances: made.append(len(a)) or f(a, b, m))
+    got = D.nearest_within(q, c, 4, metric, limit)
+    assert sorted(zip(*(x.tolist() for x in got[:2]))) == sorted(zip(i.tolist(), j.tolist()))
+    assert np.allclose(got[2], d[got[0], got[1]], atol=2e-6) and 200 <= sum(made) < 400
+
+
+def test_lookup_vectors_hash_a_word_once_a_batch(spark):
+    from bookbase.functions import text as X
+    from bookbase.operators import lookup as L
+
+    texts = ["Two words, two", "a''b '''c", " ;", "", None, "é　É x\x1cy\x85z", "ΑΣ:Β ΑΣ", "İ “q” (r)\r\nS", "one " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "qid int, text string")
+    made = L.default_embedder()(df)
+    assert "md5(" not in made._jdf.queryExecution().optimizedPlan().toString()
+    want = E.embed(df.withColumn("clean", X.clean_text("text")), "clean")
+    assert sorted(map(tuple, made.select("qid", "embedding").collect())) == sorted(map(tuple, want.select("qid", "embedding").collect()))
