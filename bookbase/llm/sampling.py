@@ -11,6 +11,7 @@ that of the larger ones.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bookbase.functions.bind import let
 from bookbase.session import materialise, shuffle_partitions
 
 SAMPLES = 32
@@ -24,10 +25,25 @@ CUTS = 64
 
 def terms(text):
     """The words of a text column; a text without words has the one term ''."""
-    words = F.filter(F.split(text, BLANKS), lambda w: w != "")
+    words = F.array_remove(F.split(text, BLANKS), "")
     return F.when(F.size(words) > 0, words).otherwise(F.array(F.lit("")))
 
 
+def counted_terms(text):
+    """The distinct terms of a text column, as an array of (h: hash, n: how often), without leaving the row."""
+
+    def ends(ordered):
+        last = F.size(ordered) - 1
+        return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (F.get(ordered, i) != F.get(ordered, i + 1)))
+
+    def counts(ordered, at):
+        return F.transform(at, lambda e, i: F.struct(
+            F.xxhash64(F.get(ordered, e)).alias("h"), (e - F.coalesce(F.get(at, i - 1), F.lit(-1))).alias("n")
+        ))
+
+    return let(F.sort_array(terms(text)), lambda s: let(ends(s), lambda at: counts(s, at)))
+
+
 def draws(hashed, log_weight, samples=SAMPLES):
     """The number of a term in each sample, from its hash and the logarithm of its weight."""
 
@@ -45,12 +61,14 @@ def draws(hashed, log_weight, samples=SAMPLES):
 
 
 def signatures(terms_of: DataFrame, keys, samples=SAMPLES) -> DataFrame:
-    """`keys` and samples (array of double) of rows with `keys` and a `term`, one per occurrence.
+    """`keys` and samples (array of double) of rows with `keys` and a `term`, one per occurrence, or `h` and `n` of `counted_terms`.
 
     Without a shuffle of its own if `terms_of` is clustered by some of `keys` already.
     """
-    counted = terms_of.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("__n"))
-    hashed = counted.select(*keys, F.xxhash64("term").alias("__h"), F.log(F.col("__n").cast("double")).alias("__w"))
+    if "term" in terms_of.columns:
+        counted = terms_of.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
+        terms_of = counted.select(*keys, F.xxhash64("term").alias("h"), "n")
+    hashed = terms_of.select(*keys, F.col("h").alias("__h"), F.log(F.col("n").cast("double")).alias("__w"))
     drawn = draws(F.col("__h"), F.col("__w"), samples)
     least = hashed.groupBy(*keys).agg(*[F.min(a).alias(f"__s{k}") for k, a in enumerate(drawn)])
     return least.select(*keys, F.array(*[f"__s{k}" for k in range(samples)]).alias("samples"))
@@ -127,7 +145,8 @@ def edited_fingerprints(docs: DataFrame, samples=SAMPLES) -> DataFrame:
     both = met.select("slice", F.col("__nth").alias("nth"), F.explode(F.array(
         F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t"))
     )).alias("one"))
-    worded = both.select("slice", "nth", "one.which", F.explode(terms(F.col("one.t"))).alias("term"))
+    # Terms are counted in the row of their text: grouped, all terms of a partition would meet in one table.
+    worded = both.select("slice", "nth", "one.which", F.inline(counted_terms(F.col("one.t"))))
     made = signatures(worded, ["slice", "nth", "which"], samples)
     pair = made.groupBy("slice", "nth").agg(
         F.max(F.when(F.col("which") == 0, F.col("samples"))).alias("samples"),

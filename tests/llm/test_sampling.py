@@ -49,3 +49,16 @@ def test_few_and_no_rows(spark):
 def test_main_path_has_no_python(spark):
     plan = sampling.edited_fingerprints(edge.documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_terms_are_counted_in_their_row(spark):
+    texts = ["b a b\tc", "", None, " x ", "ü u ü Ü"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("t", F.coalesce("t", F.lit("")))
+    counted = df.select("i", F.inline(sampling.counted_terms(F.col("t"))))
+    grouped = df.select("i", F.explode(sampling.terms(F.col("t"))).alias("term"))
+    want = grouped.groupBy("i", "term").agg(F.count(F.lit(1)).alias("n")).select("i", F.xxhash64("term").alias("h"), "n")
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, want.collect()))
+    made = [sorted(map(tuple, sampling.signatures(x, ["i"]).collect())) for x in (counted, grouped)]
+    assert made[0] == made[1] and len(made[0]) == 5
+    plan = sampling.signatures(counted, ["i"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
