@@ -43,6 +43,8 @@ GLOBAL = "shard long, rows array<long>, indptr array<int>, indices array<long>,
 #: Text that a shard holds (or one longer row), and words and shards after which a vocabulary is
 #: closed; they bound a task's memory.
 SHARD_BYTES, VOCAB_WORDS, VOCAB_SHARDS = 3 << 20, 1 << 18, 16
+#: Shards and vocabularies in a file: its writer and its reader hold them all, whatever the task's input.
+FILE_ROWS = 4
 #: Words, repeats in other vocabularies included, that meet in a bucket of the dictionary.
 BUCKET_WORDS = 1 << 18
 DICTIONARY = ["first", "vocab", "locals", "terms", "words"]
@@ -211,7 +213,7 @@ def csr_shards(rows: DataFrame) -> DataFrame:
     and get their ids there, written once; the ids go back to the shards as integers only, met
     with the shards of one vocabulary at a time.
     """
-    local = materialise(local_shards(rows), "csr_local")
+    local = materialise(local_shards(rows), "csr_local", FILE_ROWS)
     vocab = local.filter("words IS NOT NULL").select("vocab", "words")
     total = vocab.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
     entries = materialise(dictionary(vocab, total // BUCKET_WORDS + 1), "dictionary").filter("vocab IS NOT NULL")

@@ -85,14 +85,15 @@ def scratch_scope(spark):
             jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
-def materialise(df: DataFrame, name="step") -> DataFrame:
+def materialise(df: DataFrame, name="step", file_rows=0) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Used where a result is read several times and costs too much to derive again; the
-    files outlive lost executors, unlike cached blocks.
+    files outlive lost executors, unlike cached blocks. For rows of megabytes, `file_rows` is the most
+    of them in a file: Parquet holds a hundred rows before it looks at their size, and up to 4,096 when read.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -240,3 +240,18 @@ def test_dictionary_gives_a_word_one_id(spark):
     assert len(set(ids.values())) == len(ids) == 4
     got = {(r["vocab"], local): term for r in made if r["vocab"] for local, term in zip(r["locals"], r["terms"])}
     assert got == {(v, i): ids[w] for v, words in rows for i, w in enumerate(words)}
+
+
+def test_shards_are_few_to_a_file(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from bookbase.llm import audit as A
+
+    made, real, local = {}, A.materialise, A.local_shards
+    monkeypatch.setattr(A, "materialise", lambda df, name="step", *more: made.setdefault(name, real(df, name, *more)))
+    monkeypatch.setattr(A, "local_shards", lambda rows: local(rows, 40))
+    rows = spark.createDataFrame([(i, f"a b{i} c c") for i in range(60)], "__row long, __text string").coalesce(1)
+    counts = A.word_counts(rows)
+    assert counts.count() == 60 and counts.filter("n_words <> 4 OR n_distinct <> 3").count() == 0
+    held = [r["count"] for r in made["csr_local"].groupBy(F.input_file_name()).count().collect()]
+    assert sum(held) >= 15 and max(held) <= A.FILE_ROWS
